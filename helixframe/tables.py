@@ -48,7 +48,7 @@ class Tables:
         names = None if self._names is None else sorted(set(self._names) | set(frames))
         return Tables(self.spark, lambda name: frames[name] if name in frames else self[name], names)
 
-    def scan(self, name: str, **equals) -> DataFrame:
+    def scan(self, name: str, /, **equals) -> DataFrame:
         """Rows of a table whose columns equal the given values (None matches null)."""
         df = self[name]
         for column, value in equals.items():

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from verification import report_queries  # noqa: F401
+from verification import change_queries, report_queries  # noqa: F401
 from verification.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

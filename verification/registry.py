@@ -18,7 +18,7 @@ class Context:
     tables: Tables
 
     def view(self, sql: str, extra: dict[str, str] | None = None) -> DataFrame:
-        return fixtures.view(self.spark, self.sf_dir, sql, extra)
+        return fixtures.stored_view(self.spark, self.sf_dir, sql, extra)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
