@@ -35,10 +35,11 @@ def nonblank(text: Column) -> Column:
 def xref_parts(text: Column) -> Column:
     """``db:accession[:version]`` as a struct; null when it has not 2 or 3 parts."""
     parts = F.split(text, ":")
-    version = F.when(F.size(parts) == 3, parts[2]).otherwise("")
+    part = lambda i: F.get(parts, F.lit(i))
+    version = F.coalesce(part(2), F.lit(""))
     return F.when(
         F.size(parts).isin(2, 3),
-        F.struct(parts[0].alias("db"), parts[1].alias("accession"), version.alias("version")),
+        F.struct(part(0).alias("db"), part(1).alias("accession"), version.alias("version")),
     )
 
 

@@ -80,19 +80,19 @@ def _default(rule: Rule, name: str) -> Column:
     return F.lit(None).cast(TYPES[column.kind])
 
 
-def insert_rows(batch: DataFrame, rule: Rule) -> DataFrame:
-    """Full table rows for batch rows that have no match."""
+def _insert_value(rule: Rule, name: str, given: list[str]) -> Column:
+    column = next(c for c in TABLES[rule.table].columns if c.name == name)
+    if name not in given:
+        return _default(rule, name)
+    return F.coalesce(F.col(name).cast(TYPES[column.kind]), _default(rule, name))
+
+
+def insert_rows(resolved: DataFrame, rule: Rule) -> DataFrame:
+    """Full table rows for resolved batch rows that have no match."""
     spec = TABLES[rule.table]
-    given = set(batch.columns)
-    values = {
-        c.name: F.coalesce(F.col(c.name).cast(TYPES[c.kind]), _default(rule, c.name)) if c.name in given
-        else _default(rule, c.name)
-        for c in spec.columns[1:]
-    }
-    full = batch.select(*[values[c.name].alias(c.name) for c in spec.columns[1:]])
-    natural = rule.key if spec.name == "cvterm" else spec.unique[0]
-    return full.select(
-        new_id(*natural).alias(spec.key), *spec.column_names[1:],
+    fresh = resolved.where(F.col("_target").isNull())
+    return fresh.select(
+        spec.key, *[_insert_value(rule, c, resolved.columns).alias(c) for c in spec.column_names[1:]],
         F.lit("insert").alias("_action"), F.lit(True).alias("_touched"),
     )
 
@@ -130,31 +130,55 @@ def update_rows(existing: DataFrame, resolved: DataFrame, update: list[str], pk:
     )
 
 
+def with_ids(resolved: DataFrame, rule: Rule) -> DataFrame:
+    """Add the primary key every batch row has after the merge."""
+    spec = TABLES[rule.table]
+    natural = rule.key if rule.table in ("cvterm", "featureprop") else spec.unique[0]
+    fresh = new_id(*[_insert_value(rule, c, resolved.columns) for c in natural])
+    return resolved.withColumn(spec.key, F.coalesce("_target", fresh))
+
+
+def resolve(existing: DataFrame, batch: DataFrame, rule: Rule | str) -> DataFrame:
+    """The batch (one row per match key) with its primary keys: matched or new."""
+    rule = RULES[rule] if isinstance(rule, str) else rule
+    return with_ids(targets(existing, batch, list(rule.key), TABLES[rule.table].key), rule)
+
+
+def merge_resolved(existing: DataFrame, resolved: DataFrame, rule: Rule | str) -> DataFrame:
+    """The table with the resolved batch inserted or updated."""
+    rule = RULES[rule] if isinstance(rule, str) else rule
+    update = [c for c in rule.update if c in resolved.columns]
+    kept = update_rows(existing, resolved, update, TABLES[rule.table].key)
+    return kept.unionByName(insert_rows(resolved, rule).select(*kept.columns))
+
+
 def merge(existing: DataFrame, batch: DataFrame, rule: Rule | str) -> DataFrame:
     """Insert or update the batch (one row per match key) into the table."""
-    rule = RULES[rule] if isinstance(rule, str) else rule
-    pk = TABLES[rule.table].key
-    resolved = targets(existing, batch, list(rule.key), pk)
-    update = [c for c in rule.update if c in batch.columns]
-    kept = update_rows(existing, resolved, update, pk)
-    added = insert_rows(resolved.where(F.col("_target").isNull()).drop("_target"), rule)
-    return kept.unionByName(added.select(*kept.columns))
+    return merge_resolved(existing, resolve(existing, batch, rule), rule)
+
+
+TERM_RULE = Rule("cvterm", ("dbxref_id",))
+
 
+def resolve_terms(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """Vocabulary terms (one row per cross reference): match by it, else by vocabulary and name.
 
-def merge_terms(existing: DataFrame, batch: DataFrame) -> DataFrame:
-    """Vocabulary terms: match by cross reference, else by vocabulary and name; never updated."""
-    by_xref = Rule("cvterm", ("dbxref_id",))
+    New terms that share vocabulary and name become one, under the lowest cross reference.
+    """
     first = targets(existing, batch, ["dbxref_id"], "cvterm_id").withColumnRenamed("_target", "_by_xref")
     second = targets(existing, first, ["cv_id", "name"], "cvterm_id")
-    resolved = second.withColumn("_target", F.coalesce("_by_xref", "_target")).drop("_by_xref")
-    once = resolved.groupBy("cv_id", "name", "_target").agg(
-        F.min_by("dbxref_id", "dbxref_id").alias("dbxref_id"),
-        *[F.min_by(c, "dbxref_id").alias(c) for c in resolved.columns
-          if c not in ("cv_id", "name", "_target", "dbxref_id")],
-    )
-    kept = update_rows(existing, resolved.dropDuplicates(["_target"]), [], "cvterm_id")
-    added = insert_rows(once.where(F.col("_target").isNull()).drop("_target"), by_xref)
-    return kept.unionByName(added.select(*kept.columns))
+    found = second.withColumn("_target", F.coalesce("_by_xref", "_target")).drop("_by_xref")
+    lead = found.where(F.col("_target").isNull()).groupBy("cv_id", "name").agg(F.min("dbxref_id").alias("_lead"))
+    keyed = found.join(lead, ["cv_id", "name"], "left")
+    return keyed.withColumn("cvterm_id", F.coalesce("_target", new_id("_lead")))
+
+
+def merge_terms(existing: DataFrame, resolved: DataFrame) -> DataFrame:
+    """The vocabulary with resolved terms added; existing terms are never changed."""
+    hits = resolved.where(F.col("_target").isNotNull()).select("_target").distinct()
+    kept = update_rows(existing, hits, [], "cvterm_id")
+    fresh = resolved.where(F.col("_target").isNull() & (F.col("dbxref_id") == F.col("_lead"))).drop("_lead")
+    return kept.unionByName(insert_rows(fresh, TERM_RULE).select(*kept.columns))
 
 
 def merge_ranked_properties(existing: DataFrame, batch: DataFrame, bucket: list[str], order: list[str]) -> DataFrame:
@@ -164,21 +188,20 @@ def merge_ranked_properties(existing: DataFrame, batch: DataFrame, bucket: list[
     first position of a value decides its place.
     """
     key = ["feature_id", "type_id", "value"]
+    rule = Rule("featureprop", tuple(key))
     position = F.min(F.struct(*bucket, *order)).alias("_pos")
     distinct = batch.groupBy(*key).agg(position)
-    resolved = targets(existing, distinct, key, "featureprop_id")
-    kept = update_rows(existing, resolved, [], "featureprop_id")
-    fresh = resolved.where(F.col("_target").isNull()).drop("_target")
+    found = targets(existing, distinct, key, "featureprop_id")
+    kept = update_rows(existing, found, [], "featureprop_id")
     numbered = ordered_number(
-        fresh, ["feature_id", "type_id"], [F.col(f"_pos.{b}") for b in bucket],
+        found.where(F.col("_target").isNull()), ["feature_id", "type_id"], [F.col(f"_pos.{b}") for b in bucket],
         [F.col(f"_pos.{o}") for o in order] + [F.col("value")], "_n",
     )
     top = existing.groupBy("feature_id", "type_id").agg(F.max("rank").alias("_top"))
     ranked = numbered.join(top, ["feature_id", "type_id"], "left").withColumn(
         "rank", (F.coalesce(F.col("_top") + 1, F.lit(0)) + F.col("_n") - 1).cast("int")
-    ).select(*key, "rank")
-    added = insert_rows(ranked, Rule("featureprop", tuple(key)))
-    return kept.unionByName(added.select(*kept.columns))
+    )
+    return kept.unionByName(insert_rows(with_ids(ranked, rule), rule).select(*kept.columns))
 
 
 def find_or_insert(existing: DataFrame, batch: DataFrame, table: str) -> DataFrame:

@@ -21,7 +21,7 @@ def parse_gaf(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
     rows = lines.where(~F.startswith("value", F.lit("!"))).withColumn("_c", cells).where(F.size("_c") >= len(GAF_COLUMNS))
 
     def cell(i: int, name: str) -> Column:
-        text = F.col("_c")[i]
+        text = F.get("_c", F.lit(i))
         return (F.split(text, "\\|") if name in LISTS else text).alias(column_name(name))
 
     return rows.select(*(group or []), "pos", *[cell(i, n) for i, n in enumerate(GAF_COLUMNS)])

@@ -44,7 +44,7 @@ def parse_records(lines: DataFrame, group: list[str] | None = None) -> DataFrame
     cells = F.split("value", "\t")
     rows = lines.where(~F.startswith("value", F.lit("#"))).withColumn("c", cells).where(F.size("c") == 9)
     names = ["seqid", "source", "type", "start", "end", "score", "strand", "phase", "attrs"]
-    flat = rows.select(*group, "pos", *[F.col("c")[i].alias(n) for i, n in enumerate(names)])
+    flat = rows.select(*group, "pos", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(names)])
     parsed = flat.select(
         *group, percent_decode(F.col("seqid")).alias("seqid"), percent_decode(F.col("source")).alias("source"),
         percent_decode(F.col("type")).alias("type"), F.col("start").try_cast("long").alias("start"),
@@ -79,7 +79,7 @@ def first_value(key: str) -> Column:
 def sequence_names(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Names declared by ``##sequence-region`` lines."""
     rows = lines.where(F.startswith("value", F.lit("##sequence-region")))
-    return rows.select(*(group or []), F.split(F.trim("value"), "\\s+")[1].alias("name"))
+    return rows.select(*(group or []), F.get(F.split(F.trim("value"), "\\s+"), F.lit(1)).alias("name"))
 
 
 def has_sequences(lines: DataFrame) -> bool:

@@ -115,9 +115,9 @@ def read_owl(spark: SparkSession, path: str) -> DataFrame:
         F.transform(F.col(f"`{name}`"), lambda v: v["_VALUE"]), F.expr("cast(array() AS array<string>)")
     )
     first = lambda name: F.get(texts(name), F.lit(0))
+    scoped = lambda scope: lambda v: F.struct(v.alias("text"), F.lit(scope).alias("scope"))
     synonyms = F.concat(*[
-        F.transform(texts(f"oboInOwl:has{scope.title()}Synonym"),
-                    lambda v, s=scope: F.struct(v.alias("text"), F.lit(s).alias("scope")))
+        F.transform(texts(f"oboInOwl:has{scope.title()}Synonym"), scoped(scope))
         for scope in ["exact", "narrow", "broad", "related"]
     ])
     relations = F.transform(

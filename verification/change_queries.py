@@ -117,7 +117,8 @@ WHERE b.dbxref_id NOT IN (SELECT dbxref_id FROM cvterm)
  AND NOT EXISTS (SELECT 1 FROM cvterm e WHERE e.cv_id = b.cv_id AND e.name = b.name)""",
 )
 def _(c):
-    merged = merge.merge_terms(c.tables["cvterm"], c.view(TERM_BATCH))
+    terms = c.tables["cvterm"]
+    merged = merge.merge_terms(terms, merge.resolve_terms(terms, c.view(TERM_BATCH)))
     return merged.select("dbxref_id", "cv_id", "name", F.col("_action").alias("action"))
 
 

@@ -55,7 +55,7 @@ def main(sf_dir: str = "/root/testdata/sf0.001", *prefixes: str) -> int:
         .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     bad = 0
     for name in catalog.QUERIES:
@@ -64,7 +64,7 @@ def main(sf_dir: str = "/root/testdata/sf0.001", *prefixes: str) -> int:
         try:
             line = compare(spark, con, sf_dir, name)
         except Exception as error:  # noqa: BLE001
-            line = f"FAIL  {name}: {type(error).__name__} {str(error)[:1500]}"
+            line = f"FAIL  {name}: {type(error).__name__} {str(error)[:700]}"
         bad += line.startswith("FAIL")
         print(line, flush=True)
     print(f"{bad} failures")
