@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from verification import change_queries, import_queries, report_queries  # noqa: F401
+from verification import change_queries, export_queries, import_queries, report_queries  # noqa: F401
 from verification.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
