@@ -105,12 +105,19 @@ def _local_id(iri: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(iri, "^.*[/#]", ""), "_(?=[0-9]+$)", ":")
 
 
+OWL_START = "<owl:Class rdf:about="
+OWL_END = "</owl:Class>"
+
+
 def read_owl(spark: SparkSession, path: str) -> DataFrame:
-    """Term records of the classes of an OWL (RDF/XML) file, read with Spark's XML source."""
-    raw = (
-        spark.read.format("xml").option("rowTag", "owl:Class").option("attributePrefix", "_")
-        .schema(OWL_CLASS).load(path)
-    )
+    """Term records of the named classes of an OWL (RDF/XML) file.
+
+    The file is split at the start of each named class, so a large one is read
+    by many tasks; each class is then parsed on its own.
+    """
+    chunks = spark.read.option("lineSep", OWL_START).text(path).where(F.contains("value", F.lit(OWL_END)))
+    whole = F.concat(F.lit(OWL_START), F.regexp_replace("value", f"(?s){OWL_END}(?!.*{OWL_END}).*$", OWL_END))
+    raw = chunks.select(F.from_xml(whole, OWL_CLASS, {"attributePrefix": "_", "valueTag": "_VALUE"}).alias("c")).select("c.*")
     texts = lambda name: F.coalesce(
         F.transform(F.col(f"`{name}`"), lambda v: v["_VALUE"]), F.expr("cast(array() AS array<string>)")
     )

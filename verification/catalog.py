@@ -1,6 +1,8 @@
 """All registered queries."""
 
-from verification import change_queries, export_queries, import_queries, report_queries  # noqa: F401
+from verification import (  # noqa: F401
+    change_queries, export_queries, import_queries, ontology_queries, report_queries,
+)
 from verification.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
