@@ -1,7 +1,7 @@
 """All registered queries."""
 
 from verification import (  # noqa: F401
-    change_queries, export_queries, import_queries, ontology_queries, report_queries,
+    association_queries, change_queries, export_queries, import_queries, ontology_queries, report_queries,
 )
 from verification.registry import ORACLES, QUERIES
 

@@ -134,9 +134,18 @@ def _(c):
     return source.of_authority(source.read_obo(c.spark, obo_file(c))[0], "GO").select("id", "name")
 
 
-@query("S8_owl_terms", FLAT.replace("t.id,", "replace(t.id, ':2', '') AS id,") + " WHERE t.ver = ''", O)
+# OWL has no versioned ids and no other synonym scopes.
+OWL = {
+    "ob_term": O["ob_term"].replace("CASE WHEN s % 16 = 7 THEN '2' ELSE '' END", "''"),
+    "ob_rel": O["ob_rel"], "ob_syn": O["ob_syn"] + " AND scope2 <> 'STRANGE'",
+}
+for _x in ("s", HALF, "(s - 2)"):
+    OWL["ob_term"] = OWL["ob_term"].replace(f" || CASE WHEN {_x} % 16 = 7 THEN ':2' ELSE '' END", "")
+
+
+@query("S8_owl_terms", FLAT, OWL)
 def _(c):
-    rows = c.view("SELECT * FROM ob_term WHERE ver = ''", O)
+    rows = c.view("SELECT * FROM ob_term", OWL)
     esc = lambda col: F.replace(F.replace(col, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
     tag = lambda name, col: F.when(col.isNotNull(), F.concat(F.lit(f"<{name}>"), esc(col), F.lit(f"</{name}>")))
     iri = lambda col: F.concat(F.lit("http://purl.obolibrary.org/obo/"), F.replace(col, F.lit(":"), F.lit("_")))
