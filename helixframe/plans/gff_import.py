@@ -47,15 +47,26 @@ def _typed(t: Tables, records: DataFrame, result: ImportResult) -> DataFrame:
 
 
 def _unique(records: DataFrame, result: ImportResult) -> DataFrame:
-    """The first record of every id; later ones are rejected."""
+    """The first record of every id; later ones are rejected.
+
+    Ids are counted on narrow rows; whole records are only joined when some
+    id is in fact repeated.
+    """
     seen = records.groupBy("organism_id", "id").agg(F.min("pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     repeated = seen.where(F.col("_n") > 1).drop("_n")
+    if repeated.isEmpty():
+        return records
     marked = records.join(repeated, ["organism_id", "id"], "left")
     later = F.col("_first").isNotNull() & (F.col("pos") > F.col("_first"))
     result.reject(rejected(marked.where(later), "id", "repeated id"))
     return marked.where(~later).drop("_first")
 
 
+def _one_per_key(batch: DataFrame, key: list[str], repeated: bool) -> DataFrame:
+    """Last values per key by position; skipped when no key is repeated."""
+    return (merge.collapse(batch, key, F.col("pos")) if repeated else batch).drop("pos")
+
+
 def implied_proteins(t: Tables, records: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Protein records named by ``protein_source_id``: (records, rejected rows).
 
@@ -130,7 +141,9 @@ def _values(records: DataFrame, key: str, exact: bool = True) -> DataFrame:
     return records.select("organism_id", "id", "feature_id", "pos", F.explode(attribute_values(key, exact)).alias("value"))
 
 
-def _features(t: Tables, records: DataFrame, result: ImportResult, full_genome: bool, names: DataFrame | None) -> DataFrame:
+def _features(
+    t: Tables, records: DataFrame, result: ImportResult, full_genome: bool, names: DataFrame | None, repeated: bool
+) -> DataFrame:
     """Merge features; returns (organism_id, uniquename, feature_id) of the table after it."""
     residues = F.upper(first_value("translation"))
     size = F.coalesce(F.length(residues).cast("long"), first_value("size").try_cast("long"))
@@ -139,7 +152,7 @@ def _features(t: Tables, records: DataFrame, result: ImportResult, full_genome:
         residues.alias("residues"), size.alias("seqlen"), F.lit(False).alias("is_analysis"),
         F.lit(False).alias("is_obsolete"), "pos",
     )
-    batch = merge.collapse(batch, ["organism_id", "uniquename"], F.col("pos")).drop("pos")
+    batch = _one_per_key(batch, ["organism_id", "uniquename"], repeated)
     merged = merge.merge(t["feature"], batch, "feature")
     if full_genome:
         scope = records.select("organism_id").distinct().withColumn("_scope", F.lit(True))
@@ -157,7 +170,7 @@ def _features(t: Tables, records: DataFrame, result: ImportResult, full_genome:
     return cut_lineage(merge.applied(merged).select("organism_id", "uniquename", "feature_id"))
 
 
-def _locations(t: Tables, records: DataFrame, ids: DataFrame, result: ImportResult) -> None:
+def _locations(t: Tables, records: DataFrame, ids: DataFrame, result: ImportResult, repeated: bool) -> None:
     names = records.select("organism_id", "seqid").distinct()
     sources = names.join(ids.withColumnRenamed("uniquename", "seqid"), ["organism_id", "seqid"]).select(
         "organism_id", "seqid", F.col("feature_id").alias("srcfeature_id")
@@ -168,7 +181,7 @@ def _locations(t: Tables, records: DataFrame, ids: DataFrame, result: ImportResu
         "feature_id", "srcfeature_id", (F.col("start") - 1).alias("fmin"), F.col("end").alias("fmax"),
         strand_number(F.col("strand")).alias("strand"), phase_number(F.col("phase")).alias("phase"), "pos",
     )
-    batch = merge.collapse(batch, ["feature_id"], F.col("pos")).drop("pos")
+    batch = _one_per_key(batch, ["feature_id"], repeated)
     result.merges["featureloc"] = merge.merge(t["featureloc"], batch, "featureloc")
 
 
@@ -310,18 +323,24 @@ def import_gff(
     """
     require_terms(t, REQUIRED)
     result = ImportResult()
-    typed = cut_lineage(_unique(_typed(t, records, result), result))
+    typed = _unique(cut_lineage(_typed(t, records, result)), result)
     proteins, lost = implied_proteins(t, typed)
     result.reject(lost)
-    protein_type = {"type_id": F.lit(t.term_id("polypeptide", terms.SEQUENCE_CV))} if not proteins.isEmpty() else {}
-    everything = typed
-    if protein_type:
-        everything = typed.unionByName(proteins.withColumn("type_id", protein_type["type_id"]))
-    ids = _features(t, everything, result, full_genome, sequence_names)
+    proteins = cut_lineage(proteins)
+    everything, repeated = typed, False
+    if not proteins.isEmpty():
+        everything = typed.unionByName(
+            proteins.withColumn("type_id", F.lit(t.term_id("polypeptide", terms.SEQUENCE_CV)))
+        )
+        # Several records may name one protein, and the file may hold it too.
+        made = proteins.select("organism_id", "id")
+        twice = made.groupBy("organism_id", "id").count().where("count > 1").drop("count")
+        repeated = not twice.union(made.join(typed, ["organism_id", "id"], "left_semi")).isEmpty()
+    ids = _features(t, everything, result, full_genome, sequence_names, repeated)
     named = ids.withColumnRenamed("uniquename", "id")
     everything = cut_lineage(everything.join(named, ["organism_id", "id"]))
     features = everything.select("feature_id").distinct()
-    _locations(t, everything, ids, result)
+    _locations(t, everything, ids, result, repeated)
     _synonyms(t, everything, features, result, full_attributes)
     _properties(t, everything, features, result, full_attributes)
     _cross_references(t, everything, features, result, full_attributes)

@@ -8,6 +8,7 @@ from helixframe.functions.expr import ordered_number, percent_decode
 from helixframe.sources.text import read_lines
 
 SEQUENCE_MARKER = "##FASTA"
+HAS_ID = r"(^|;)\s*ID=[^;,]"
 
 
 def _attribute_expr() -> str:
@@ -45,20 +46,23 @@ def parse_records(lines: DataFrame, group: list[str] | None = None) -> DataFrame
     rows = lines.where(~F.startswith("value", F.lit("#"))).withColumn("c", cells).where(F.size("c") == 9)
     names = ["seqid", "source", "type", "start", "end", "score", "strand", "phase", "attrs"]
     flat = rows.select(*group, "pos", *[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(names)])
-    parsed = flat.select(
-        *group, percent_decode(F.col("seqid")).alias("seqid"), percent_decode(F.col("source")).alias("source"),
-        percent_decode(F.col("type")).alias("type"), F.col("start").try_cast("long").alias("start"),
-        F.col("end").try_cast("long").alias("end"), "score", "strand", "phase",
-        F.expr(_attribute_expr()).alias("attributes"), "pos",
-    )
-    given = parsed.withColumn("id", first_value("ID"))
-    named = given.where(F.col("id").isNotNull())
+    typed = flat.withColumn("type", percent_decode(F.col("type"))).withColumn("_has_id", F.rlike("attrs", F.lit(HAS_ID)))
+
+    def full(df: DataFrame, ident: Column) -> DataFrame:
+        return df.withColumn("attributes", F.expr(_attribute_expr())).select(
+            *group, percent_decode(F.col("seqid")).alias("seqid"), percent_decode(F.col("source")).alias("source"), "type",
+            F.col("start").try_cast("long").alias("start"), F.col("end").try_cast("long").alias("end"), "score", "strand",
+            "phase", "attributes", "pos", ident.alias("id"),
+        )
+
+    # The raw text tells whether a record has an ID, so numbering the others
+    # does not parse attributes again.
     nameless = ordered_number(
-        given.where(F.col("id").isNull()), group + ["type"], [F.col("pos.file"), F.col("pos.block")],
-        [F.col("pos.row")], "_n",
+        typed.where(~F.col("_has_id")), group + ["type"], [F.col("pos.file"), F.col("pos.block")], [F.col("pos.row")], "_n",
+    )
+    return full(typed.where("_has_id"), first_value("ID")).unionByName(
+        full(nameless, F.concat_ws("_", "type", F.col("_n").cast("string")))
     )
-    numbered = nameless.withColumn("id", F.concat_ws("_", "type", F.col("_n").cast("string"))).drop("_n")
-    return named.unionByName(numbered)
 
 
 def read_gff(spark: SparkSession, path: str, group: list[str] | None = None) -> DataFrame:

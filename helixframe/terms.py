@@ -106,4 +106,6 @@ SEED_SEQUENCE_TERMS = [
     ("SO", "sequence",
      ["gene", "intron", "exon", "CDS", "mRNA", "chromosome", "contig", "supercontig", "region"], 0),
     ("RO", "relationship", ["part_of", "derives_from"], 1),
+    # The jobs look derives_from up in the sequence vocabulary.
+    ("SO", "sequence", ["derives_from"], 1),
 ]
