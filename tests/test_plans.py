@@ -34,8 +34,7 @@ def test_reports_have_no_cross_join(spark):
 
 def test_small_batch_does_not_shuffle_the_table(spark):
     t = fixtures.tables(spark, SF)
-    batch = spark.createDataFrame([(10**15, "x")], "synonym_id long, synonym_sgml string")
-    resolved = batch.withColumnRenamed("synonym_id", "_target")
+    resolved = spark.range(1).selectExpr("id as _target", "'x' as synonym_sgml")
     text = plan(merge.update_rows(t["synonym"], resolved, ["synonym_sgml"], "synonym_id"))
     physical = text[text.index("== Physical Plan =="):]
     assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
