@@ -51,7 +51,7 @@ def default_namespace(stanzas: DataFrame) -> str:
 
 def obo_terms(stanzas: DataFrame) -> DataFrame:
     """Term records of OBO stanzas."""
-    bare = lambda text: F.trim(F.regexp_replace(text, r"\s*(!.*|\{.*\})$", ""))
+    bare = lambda text: F.trim(F.regexp_replace(text, r"\s*(\{.*\})?\s*(!.*)?$", ""))
     synonym = lambda s: F.struct(
         _quoted(s).alias("text"), F.lower(F.regexp_extract(s, r'^"(?:[^"\\]|\\.)*"\s+(\w+)', 1)).alias("scope")
     )

@@ -11,7 +11,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[*]").appName("tests")
-        .config("spark.sql.shuffle.partitions", "4").config("spark.sql.codegen.wholeStage", "false").config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4").config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))).getOrCreate()
     )
