@@ -36,20 +36,24 @@ from helixframe.llm.graph import components
 
 THRESHOLD = 0.8
 SHINGLE = 5
-REGISTERS = 256
-BAND_ROWS = 6
-BANDS = 42
+REGISTERS = 160
+BAND_ROWS = 5
+BANDS = 32
 ESTIMATE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 BLOCK = 256
 CHUNK_ROWS = 20_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+LOW = np.uint64(0xFFFFFFFF)
+LOG_RANGE = 32 * np.log(2.0)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
     """Scramble 64-bit integers."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Shingles:
@@ -81,46 +85,49 @@ def signature(shingles: np.ndarray, weights: np.ndarray, m: int = REGISTERS) ->
     """BagMinHash: one 64-bit mark per register."""
     first, mark = np.full(m, np.inf), np.zeros(m, dtype=np.uint64)
     top = int(weights.max())
-    seeds, lows, lengths, reach = [], [], [], []
-    low, length, k = 0, 1, 0
+    seeds, lows, reach, rates = [], [], [], []
+    low, length = 0, 1
     while low < top:
         own = weights > low
-        with np.errstate(over="ignore"):
-            seeds.append(_mix(shingles[own] + np.uint64(k + 1) * GOLDEN))
-        n = int(own.sum())
-        lows.append(np.full(n, low))
-        lengths.append(np.full(n, length))
+        seeds.append(_mix(shingles[own] + np.uint64(len(seeds) + 1) * GOLDEN))
+        lows.append(low)
+        rates.append(length)
         reach.append(weights[own])
-        low, length, k = low + length, low + length, k + 1
-    seed, low, length, weight = map(np.concatenate, (seeds, lows, lengths, reach))
-    at, drawn = np.zeros(len(seed)), np.zeros(len(seed), dtype=np.uint64)
-    # Points per process that fill all registers with good probability; what is still needed follows in later rounds.
-    horizon = m / float(weights.sum()) * (np.log(m) + 2)
-    while len(seed):
-        # Processes of one rate take the same number of steps, so a step does not depend on the rest of the text.
-        alive = np.zeros(len(seed), dtype=bool)
-        for rate in np.unique(length):
-            own = np.flatnonzero(length == rate)
+        low, length = low + length, low + length
+    held = [(seed, weight, np.zeros(len(seed)), 0) for seed, weight in zip(seeds, reach, strict=True)]
+    # Points per process that fill most registers; what is still needed follows in later rounds.
+    horizon = m / float(weights.sum()) * (np.log(m) + 1)
+    limit = np.inf
+    while any(len(seed) for seed, *_ in held):
+        after = []
+        for (seed, weight, at, drawn), low, rate in zip(held, lows, rates, strict=True):
+            if not len(seed):
+                after.append((seed, weight, at, drawn))
+                continue
+            # Processes of one rate take the same steps, so where a point falls does not depend on the rest of the text.
             steps = min(4096, max(1, int(np.ceil(rate * horizon))))
-            with np.errstate(over="ignore"):
-                nth = drawn[own][:, None] + np.arange(1, steps + 1, dtype=np.uint64)
-                r = _mix(seed[own][:, None] + nth * GOLDEN)
-                gap = -np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) / rate
-                gap[:, 0] += at[own]
-                x = np.cumsum(gap, axis=1)
-                place = _mix(r ^ np.uint64(0xA5A5A5A5A5A5A5A5))
-            register = (place % np.uint64(m)).astype(np.int64)
-            level = low[own][:, None] + 1 + ((place >> np.uint64(20)) % np.uint64(rate)).astype(np.int64)
-            counts = level <= weight[own][:, None]
-            register, mine, marks = register[counts], x[counts], r[counts]
+            r = _mix(seed[:, None] + np.arange(drawn + 1, drawn + steps + 1, dtype=np.uint64) * GOLDEN)
+            x = np.log((r >> np.uint64(32)).astype(np.float64) + 0.5)
+            x -= LOG_RANGE
+            x *= -1.0 / rate
+            x[:, 0] += at
+            np.cumsum(x, axis=1, out=x)
+            last = x[:, -1].copy()
+            useful = x < limit
+            if rate > 1:
+                # The level comes from bits that decide nothing else.
+                level = low + 1 + ((_mix(r ^ np.uint64(0xA5A5A5A5A5A5A5A5)) >> np.uint64(20)) % np.uint64(rate)).astype(np.int64)
+                useful &= level <= weight[:, None]
+            mine, marks = x[useful], r[useful]
+            # The register comes from the low half of the mark, where the point lies from the high half.
+            register = (((marks & LOW) * np.uint64(m)) >> np.uint64(32)).view(np.int64)
             np.minimum.at(first, register, mine)
             won = first[register] == mine
             mark[register[won]] = marks[won]
-            at[own], drawn[own] = x[:, -1], drawn[own] + np.uint64(steps)
-            alive[own] = True
-        alive &= at < first.max()
-        seed, low, length, weight, at, drawn = (v[alive] for v in (seed, low, length, weight, at, drawn))
-        horizon = max(horizon / 4, 1.0)
+            after.append((seed, weight, last, drawn + steps))
+        limit = first.max()
+        held = [(seed[at < limit], weight[at < limit], at[at < limit], drawn) for seed, weight, at, drawn in after]
+        horizon = max(horizon / 2, 0.5)
     return mark
 
 

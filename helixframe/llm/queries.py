@@ -86,7 +86,7 @@ WITH v AS (
     AND len(list_filter(embedding, lambda e: e IS NULL OR isnan(e) OR isinf(e))) = 0
     AND len(list_filter(embedding, lambda e: e <> 0)) > 0
 ), d AS (
-  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_distance(q.x, c.x) AS score
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, sqrt(list_sum(list_transform(list_zip(q.x, c.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))) AS score
   FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS rank FROM d)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
