@@ -12,13 +12,15 @@ equal to the weighted Jaccard similarity, whatever the weights.
 
 Candidates. Texts that agree in one of ``BANDS`` bands share a bucket. Every text is first verified against the most
 central text of each of its buckets (the one that meets most others), which joins most of a large group. Buckets whose
-texts are still in different classes are then compared in full, block by block, on their signatures; pairs of different
-classes whose estimate is within 4.5 standard errors of the threshold are verified. No bucket is capped, no group sits
-in one task, and pairs within a class are not listed. A pair of similarity 0.8 shares no bucket in 3 of a million cases.
-
-Texts are compared by their words (runs of anything but ASCII white space). Null texts and texts without words are alone
-in their class. Rows with equal words are one class and verified once. The class is named by its smallest doc_id (null
-if none has an id). Rows may repeat; other columns are ignored by ``classes`` and kept by ``one_of_each``.
+texts are still in different classes are then compared in full, block by block, on two sketches: the signature (pairs
+within 4.5 standard errors of the threshold stay) and the parity of the hashed shingles in 2,048 bits, whose Hamming
+distance never exceeds the size of the multisets' difference. Pairs of different classes that pass both are verified.
+No bucket is capped, no group sits in one task, and pairs within a class are not listed. A pair of similarity 0.8 shares
+no bucket in 3 of a million cases.
+
+Words are runs of anything but ASCII white space. Null texts and texts without words are alone in their class. Rows with
+equal texts are one class and compared once. The class is named by its smallest doc_id (null if none has an id). Rows
+may repeat; other columns are ignored by ``classes`` and kept by ``one_of_each``.
 """
 
 from __future__ import annotations
@@ -31,16 +33,17 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from helixframe.llm.common import SPACE, save
+from helixframe.llm.common import WORD, save
 from helixframe.llm.graph import components
 
 THRESHOLD = 0.8
 SHINGLE = 5
-REGISTERS = 160
+REGISTERS = 160  # BANDS * BAND_ROWS
 BAND_ROWS = 5
 BANDS = 32
 ESTIMATE = THRESHOLD - 4.5 * (THRESHOLD * (1 - THRESHOLD) / REGISTERS) ** 0.5
 BLOCK = 256
+PARITY_BITS = 2048
 CHUNK_ROWS = 20_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 LOW = np.uint64(0xFFFFFFFF)
@@ -139,40 +142,49 @@ def similarity(a: tuple, b: tuple) -> float:
     return low / total if total else 0.0
 
 
+def parity(shingles: np.ndarray, weights: np.ndarray) -> bytes:
+    """Bits that are one where an odd number of the multiset's elements falls."""
+    nth = np.arange(int(weights.sum())) - np.repeat(np.cumsum(weights) - weights, weights)
+    element = _mix(np.repeat(shingles, weights) + (nth.astype(np.uint64) + np.uint64(1)) * GOLDEN)
+    counts = np.bincount((element % np.uint64(PARITY_BITS)).astype(np.int64), minlength=PARITY_BITS)
+    return np.packbits(counts & 1).tobytes()
+
+
 def text_key(text: Column) -> Column:
-    """16 bytes that stand for the words of a text; null for a text without words."""
-    words = F.btrim(F.regexp_replace(text, SPACE, " "), F.lit(" "))
-    return F.when(F.coalesce(words, F.lit("")) != "", F.unhex(F.md5(words)))
+    """16 bytes that stand for a text; null for a text without words."""
+    return F.when(text.rlike(WORD), F.unhex(F.md5(text)))
+
+
+SIGNED = "d binary, doc_id long, marks binary, bands binary, parity binary, n int"
 
 
 def signatures(texts: DataFrame) -> DataFrame:
-    """(d, marks, bands) from (d, text): a byte per register, and a hash per band."""
+    """Sketches of (d, doc_id, text): a byte per register, four bytes per band, parity bits, number of shingles."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingles()
+        names = [c.split()[0] for c in SIGNED.split(", ")]
         for batch in batches:
             for start in range(0, batch.num_rows, 512):
                 part = batch.slice(start, 512)
-                marks = np.array([signature(*shingles.of(t)) for t in part.column("text").to_pylist()]).reshape(-1, REGISTERS)
-                with np.errstate(over="ignore"):
-                    bands = np.full((len(marks), BANDS), 7, dtype=np.uint64)
-                    for i in range(BAND_ROWS):
-                        bands = _mix(bands * GOLDEN + marks[:, i : BANDS * BAND_ROWS : BAND_ROWS])
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(0, bands.size + 1, BANDS), pa.int32()), pa.array(bands.view(np.int64).ravel()))
-                small = [bytes(row) for row in (marks & np.uint64(255)).astype(np.uint8)]
-                yield pa.RecordBatch.from_arrays([part.column("d"), pa.array(small, pa.binary()), lists], ["d", "marks", "bands"])
-
-    return texts.mapInArrow(rows, "d binary, marks binary, bands array<bigint>")
-
-
-def verified(pairs: DataFrame, docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) whose texts are similar enough, by exact multiset overlap."""
-    needed = pairs.select(F.col("a").alias("d")).unionByName(pairs.select(F.col("b").alias("d"))).distinct()
-    texts = (
-        docs.select(text_key(F.col("text")).alias("d"), "text").join(needed, "d", "left_semi")
-        .groupBy("d").agg(F.first("text").alias("text"))
-    )
+                held = [shingles.of(t) for t in part.column("text").to_pylist()]
+                marks = np.array([signature(*x) for x in held]).reshape(-1, REGISTERS)
+                bands = np.full((len(marks), BANDS), 7, dtype=np.uint64)
+                for i in range(BAND_ROWS):
+                    bands = _mix(bands * GOLDEN + marks[:, i : BANDS * BAND_ROWS : BAND_ROWS])
+                yield pa.RecordBatch.from_arrays([
+                    part.column("d"), part.column("doc_id").cast(pa.int64()),
+                    pa.array([x.tobytes() for x in (marks & np.uint64(255)).astype(np.uint8)], pa.binary()),
+                    pa.array([x.tobytes() for x in (bands >> np.uint64(32)).astype(np.uint32)], pa.binary()),
+                    pa.array([parity(*x) for x in held], pa.binary()),
+                    pa.array([int(w.sum()) for _, w in held], pa.int32()),
+                ], names)
+
+    return texts.mapInArrow(rows, SIGNED)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) whose texts (d, text) are similar enough, by exact multiset overlap."""
     both = pairs.join(texts.select(F.col("d").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("d").alias("b"), F.col("text").alias("tb")), "b")
 
@@ -201,12 +213,12 @@ def _block_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame) -> Dat
     """Pairs of different classes that share a bucket and whose signatures may be similar enough."""
     named = members.where("size > 2").join(labels.withColumnRenamed("node", "d"), "d", "left").withColumn("label", F.coalesce("label", "d"))
     mixed = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("key")
-    active = named.join(mixed, "key", "left_semi").join(texts, "d")
+    active = named.join(mixed, "key", "left_semi").join(texts.select("d", "marks", "bands", "parity", "n"), "d")
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.hash("d"), F.col("blocks"))
     # A text goes to every pair of blocks that holds its own; a small bucket is one pair of a block with itself.
     dealt = active.withColumn("blocks", blocks).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", "band", "d", "label", "marks", "bands", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    dealt = dealt.select("key", "band", "d", "label", "marks", "bands", "parity", "n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     dealt = save(dealt, "blocks")
     chunks = max(1, -(-dealt.count() // CHUNK_ROWS))
 
@@ -215,13 +227,17 @@ def _block_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame) -> Dat
         for (_, i, j), g in frame.groupby(["key", "i", "j"], sort=False):
             labels, count = np.unique(g["label"].to_numpy(), return_inverse=True)[1], len(g)
             marks = np.frombuffer(b"".join(g["marks"]), dtype=np.uint8).reshape(count, REGISTERS)
-            bands, band, d, own = np.array(g["bands"].tolist()), int(g["band"].iloc[0]), g["d"].to_numpy(), g["own"].to_numpy()
+            bits = np.frombuffer(b"".join(g["parity"]), dtype=np.uint64).reshape(count, -1)
+            bands = np.frombuffer(b"".join(g["bands"]), dtype=np.uint32).reshape(count, BANDS)
+            band, d, own, n = int(g["band"].iloc[0]), g["d"].to_numpy(), g["own"].to_numpy(), g["n"].to_numpy()
             for x in range(count - 1):
                 ys = np.arange(x + 1, count)
                 ys = ys[labels[ys] != labels[x]]
                 if i != j:
                     ys = ys[own[ys] != own[x]]
                 ys = ys[(marks[ys] == marks[x]).mean(axis=1) >= ESTIMATE]
+                apart = np.bitwise_count(bits[ys] ^ bits[x]).sum(axis=1)
+                ys = ys[apart <= (n[ys] + n[x]) * ((1 - THRESHOLD) / (1 + THRESHOLD)) + 1e-9]
                 # A pair is listed in its first common bucket only.
                 for y in ys[(bands[ys, :band] != bands[x, :band]).all(axis=1)]:
                     found.append((min(d[x], d[y]), max(d[x], d[y])))
@@ -233,20 +249,23 @@ def _block_pairs(members: DataFrame, texts: DataFrame, labels: DataFrame) -> Dat
 
 def labelled(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(d, first_id): for each text with words, the smallest doc_id of its class."""
-    keyed = docs.select("doc_id", text_key(F.col("text")).alias("d"), "text").where(F.col("d").isNotNull())
-    # The id and the shingles of equal texts are taken once.
-    firsts = save(keyed.groupBy("d").agg(F.min("doc_id").alias("first_id")), "firsts")
-    signed = signatures(keyed.select("d", "text"))
-    texts = save(signed.groupBy("d").agg(F.first("marks").alias("marks"), F.first("bands").alias("bands")), "signatures")
-    rows = texts.select("d", F.posexplode("bands").alias("band", "value")).select("d", "band", F.xxhash64("band", "value").alias("key"))
+    keyed = docs.select(text_key(F.col("text")).alias("d"), "doc_id", "text").where(F.col("d").isNotNull())
+    signed = signatures(keyed).groupBy("d").agg(
+        F.min("doc_id").alias("first_id"), *[F.first(c).alias(c) for c in ("marks", "bands", "parity", "n")])
+    sketches = save(signed, "signatures")
+    each = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substring("bands", i * 4 + 1, F.lit(4)))
+    rows = sketches.select("d", F.posexplode(each).alias("band", "value")).select("d", "band", F.xxhash64("band", "value").alias("key"))
     sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     members = save(rows.join(sizes, "key"), "buckets")
-    links = save(verified(_central_pairs(members), docs, threshold), "links")
+    # Texts that share a bucket, once each; the set grows with the input, so it is never broadcast.
+    shared = members.select("d").distinct().hint("merge")
+    texts = save(keyed.groupBy("d").agg(F.first("text").alias("text")).join(shared, "d", "left_semi"), "texts")
+    links = save(verified(_central_pairs(members), texts, threshold), "links")
     labels = components(links)
-    more = save(verified(save(_block_pairs(members, texts, labels), "pairs"), docs, threshold), "links")
+    more = save(verified(save(_block_pairs(members, sketches, labels), "pairs"), texts, threshold), "links")
     if more.limit(1).count():
         labels = components(links.unionByName(more))
-    named = firsts.join(labels.withColumnRenamed("node", "d"), "d", "left").withColumn("label", F.coalesce("label", "d"))
+    named = sketches.select("d", "first_id").join(labels.withColumnRenamed("node", "d"), "d", "left").withColumn("label", F.coalesce("label", "d"))
     least = named.groupBy("label").agg(F.min("first_id").alias("class_id"))
     return named.select("d", "label").join(least, "label")
 
