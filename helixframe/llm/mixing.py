@@ -138,7 +138,7 @@ def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     pieces = F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)")), F.lit(1), F.col("_p.words").cast("int"))
     cut = F.rtrim(F.concat(head, F.array_join(pieces, "")))
     text = F.when(F.col("_p.words") < F.col("size"), cut).otherwise(F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in kept], "_p.copy", "_p.shard", "_p.words")
+    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in kept], "size", "_p.copy", "_p.shard", "_p.words")
 
 
 def write_shards(mixed: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:

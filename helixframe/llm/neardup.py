@@ -90,9 +90,9 @@ def signature(shingles: np.ndarray, weights: np.ndarray, m: int = REGISTERS) ->
     top = int(weights.max())
     seeds, lows, reach, rates = [], [], [], []
     low, length = 0, 1
-    while low < top:
+    while low < top:  # products wrap around
         own = weights > low
-        seeds.append(_mix(shingles[own] + np.uint64(len(seeds) + 1) * GOLDEN))
+        seeds.append(_mix(shingles[own] + np.multiply(np.array([len(seeds) + 1], dtype=np.uint64), GOLDEN)))
         lows.append(low)
         rates.append(length)
         reach.append(weights[own])
