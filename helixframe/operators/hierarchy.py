@@ -17,14 +17,7 @@ def with_kind(t: Tables, features: DataFrame) -> DataFrame:
     kind = F.lit(None).cast("string")
     for label, names in groups.items():
         rows = t["cvterm"].where(lowered.isin(names))
-        ids = t.ids("cvterm", ("kind", label), rows)
-        if ids is None:
-            named = t["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.lower("name").alias("_type"))
-            case = F.lit(None).cast("string")
-            for other, members in groups.items():
-                case = F.when(F.col("_type").isin(members), other).otherwise(case)
-            return features.join(named, "type_id", "left").withColumn("kind", case).drop("_type")
-        kind = F.when(F.col("type_id").isin(ids), label).otherwise(kind)
+        kind = F.when(F.col("type_id").isin(t.ids("cvterm", ("kind", label), rows)), label).otherwise(kind)
     return features.withColumn("kind", kind)
 
 
@@ -94,7 +87,7 @@ def parent_edges(t: Tables) -> DataFrame:
         )
         for i, name in enumerate(terms.PARENT_TYPES)
     ]
-    return parts[0].unionByName(parts[1])
+    return parts[0].unionByName(parts[1]).distinct()
 
 
 def roots(t: Tables) -> DataFrame:
@@ -103,18 +96,19 @@ def roots(t: Tables) -> DataFrame:
     return t["feature"].join(held, "feature_id", "left_anti")
 
 
-class TreeTooDeep(ValueError):
-    """The relationships run deeper than allowed, most likely in a circle."""
+class CircularTree(ValueError):
+    """A feature is its own ancestor."""
 
 
-def tree(t: Tables, organism: str | None = None, include_obsolete: bool = False, max_depth: int = 20) -> DataFrame:
+def tree(t: Tables, organism: str | None = None, include_obsolete: bool = False) -> DataFrame:
     """Pre-order walk of the features of each top-level sequence.
 
     Columns: sequence, feature_id, parent, relationship, depth, path. Sorting by
     (sequence, path) gives the walk: the sequence itself and its children, then
     the root features by start, below each its part_of children by name, then
     its derives_from children. A child with two parents appears below each.
-    Obsolete roots are kept on request; obsolete children never are.
+    Obsolete roots are kept on request; obsolete children never are. Depth is
+    not limited; a feature that lies below itself raises CircularTree.
     """
     names = t["feature"].select("feature_id", "organism_id", "uniquename", "is_obsolete")
     flagged = t.of_terms(t["featureprop"], "type_id", [terms.TOP_LEVEL]).select("feature_id")
@@ -131,7 +125,8 @@ def tree(t: Tables, organism: str | None = None, include_obsolete: bool = False,
         F.array(step(F.lit(0), F.lit(0), F.col("uniquename"), F.col("feature_id"))).alias("path"),
     )
     held = parent_edges(t).select(F.col("subject_id").alias("feature_id"))
-    located = t["featureloc"].select("feature_id", "srcfeature_id", "fmin")
+    # Entities once: several locations on a sequence give the first start, several edges one.
+    located = t["featureloc"].groupBy("feature_id", "srcfeature_id").agg(F.min("fmin").alias("fmin"))
     root = names.join(held, "feature_id", "left_anti")
     if not include_obsolete:
         root = root.where(~F.col("is_obsolete"))
@@ -151,18 +146,21 @@ def tree(t: Tables, organism: str | None = None, include_obsolete: bool = False,
     level = cut_lineage(level.withColumn("depth", F.lit(0)))
     while not level.isEmpty():
         found.append(level)
-        if len(found) > max_depth:
-            raise TreeTooDeep(f"features nest deeper than {max_depth} levels")
         up = level.select(
             "sequence", "sequence_id", F.col("feature_id").alias("object_id"), F.col("name").alias("parent"), "path",
             "depth",
         )
-        level = cut_lineage(up.join(kids, "object_id").select(
+        below = up.join(kids, "object_id").withColumn("_again", F.exists("path", lambda s: s["id"] == F.col("subject_id")))
+        level = cut_lineage(below.select(
             "sequence", "sequence_id", F.col("subject_id").alias("feature_id"), F.col("child").alias("name"), "parent",
             "relationship",
             F.concat("path", F.array(step(F.col("place"), F.lit(0), F.col("child"), F.col("subject_id")))).alias("path"),
-            (F.col("depth") + 1).alias("depth"),
+            (F.col("depth") + 1).alias("depth"), "_again",
         ))
+        circle = level.where("_again").first()
+        if circle:
+            raise CircularTree(f"feature '{circle['name']}' lies below itself")
+        level = level.drop("_again")
     if not found:
         return level
     out = found[0]

@@ -43,7 +43,7 @@ def annotations_by_ontology_and_organism(t: Tables, db: str, organism: str | Non
 
 def parents(t: Tables, types: list[str] | None = None) -> DataFrame:
     """(subject_id, type_id, parent columns) along the given relationship types."""
-    edges = relationships_by_type(t, types or terms.PARENT_TYPES).select("subject_id", "object_id", "type_id")
+    edges = relationships_by_type(t, types or terms.PARENT_TYPES).select("subject_id", "object_id", "type_id").distinct()
     parent = t["feature"].select(
         F.col("feature_id").alias("object_id"), F.col("uniquename").alias("parent"),
         F.col("is_obsolete").alias("parent_obsolete"),
@@ -53,7 +53,7 @@ def parents(t: Tables, types: list[str] | None = None) -> DataFrame:
 
 def children(t: Tables, relationship: str) -> DataFrame:
     """(object_id, child columns) along one relationship type."""
-    edges = relationships_by_type(t, [relationship]).select("subject_id", "object_id")
+    edges = relationships_by_type(t, [relationship]).select("subject_id", "object_id").distinct()
     child = t["feature"].select(
         F.col("feature_id").alias("subject_id"), F.col("uniquename").alias("child"),
         F.col("is_obsolete").alias("child_obsolete"),
@@ -62,8 +62,9 @@ def children(t: Tables, relationship: str) -> DataFrame:
 
 
 def features_on_sequence(t: Tables) -> DataFrame:
-    """(srcfeature_id, fmin, feature) for every located feature."""
-    located = t["featureloc"].where(F.col("srcfeature_id").isNotNull()).select("srcfeature_id", "feature_id", "fmin")
+    """(srcfeature_id, fmin, feature) for every located feature, once per sequence with its first start."""
+    located = t["featureloc"].where(F.col("srcfeature_id").isNotNull()).groupBy("srcfeature_id", "feature_id").agg(
+        F.min("fmin").alias("fmin"))
     return located.join(t["feature"].select("feature_id", "uniquename", "is_obsolete"), "feature_id")
 
 

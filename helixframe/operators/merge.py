@@ -56,13 +56,20 @@ RULES: dict[str, Rule] = {
 _BLANK = {"bool": False, "int": 0, "string": ""}
 
 
+def last_rows(rows: DataFrame, key: list[str], order: str) -> DataFrame:
+    """The whole last row of every key; of rows in the same place, the greatest."""
+    others = [c for c in rows.columns if c not in key and c != order]
+    picked = F.max(F.struct(F.col(order), *others)).alias("_row")
+    return rows.groupBy(*key).agg(picked).select(*key, *[F.col("_row")[c].alias(c) for c in others])
+
+
 def collapse(rows: DataFrame, key: list[str], order: Column | None = None) -> DataFrame:
     """One row per key: the last value that is not null of every other column."""
     others = [c for c in rows.columns if c not in key]
     if not others:
         return rows.distinct()
     if order is None:
-        return rows.groupBy(*key).agg(*[F.max(c).alias(c) for c in others])
+        raise ValueError("rows that share a key need an order")
     ordered = rows.withColumn("_order", order)
     others = [c for c in others if c != "_order"]
     last = [F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_order"))).alias(c) for c in others]

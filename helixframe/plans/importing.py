@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from helixframe import terms
 from helixframe.operators import merge
+from helixframe.schema import TABLES
 from helixframe.tables import Tables, write_snapshot
 
 
@@ -35,8 +36,14 @@ def rejected(rows: DataFrame, item: Column | str, reason: str) -> DataFrame:
 
 
 def commit(result: ImportResult, path: str, version: int) -> None:
-    """Write the changed tables and publish them together."""
-    write_snapshot(result.tables(), path, version=version)
+    """Write the changed tables and publish them together, once every primary key is found to be unique."""
+    tables = result.tables()
+    for name, df in tables.items():
+        key = TABLES[name].key
+        # New ids are hashes; ids that meet are found before anything is published.
+        if not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+            raise ValueError(f"{name}: two rows share one {key}")
+    write_snapshot(tables, path, version=version)
 
 
 def merge_xrefs(t: Tables, refs: DataFrame, result: ImportResult) -> DataFrame:

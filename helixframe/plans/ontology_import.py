@@ -248,6 +248,9 @@ def import_ontology(t: Tables, records: DataFrame, typedefs: DataFrame, namespac
     result.reject(own.where(xref_parts(F.col("id")).isNull()).select(
         "id", F.col("id").alias("item"), F.lit("malformed term id").alias("reason")))
     own = cut_lineage(own.where(xref_parts(F.col("id")).isNotNull()))
+    if own.isEmpty():
+        # Every stored term of the authority would count as gone.
+        raise ValueError(f"the file has no term of '{authority}'")
     named, types, db_id = _vocabulary(t, own, typedefs, namespace, authority, result)
     named = cut_lineage(named)
     ids = cut_lineage(_terms(t, named, types, db_id, result))

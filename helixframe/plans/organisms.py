@@ -34,8 +34,12 @@ def insert_organisms(t: Tables, batch: DataFrame) -> ImportResult:
 
     Columns: genus, species, abbreviation, infraspecific_name, common_name,
     comment, genome_version, taxon_id, wikidata_id; the last six may be null.
+    Of rows with one abbreviation the last by ``pos`` counts as a whole; without
+    that column, or in the same place, the greatest row.
     """
     result = ImportResult()
+    placed = batch if "pos" in batch.columns else batch.withColumn("pos", F.lit(0))
+    batch = merge.last_rows(placed, ["abbreviation"], "pos")
     named = batch.withColumn("common_name", F.coalesce(F.when(F.col("common_name") != "", F.col("common_name")), F.col("abbreviation")))
     core = named.select("genus", "species", "abbreviation", "infraspecific_name", "common_name", "comment")
     result.merges["organism"], found = merge_organisms(t, core)
@@ -51,7 +55,7 @@ def insert_organisms(t: Tables, batch: DataFrame) -> ImportResult:
     ))
     props = ids.select("organism_id", pairs.alias("p")).select("organism_id", "p.*").where(F.col("value") != "")
     result.merges["organismprop"] = merge.merge(
-        t["organismprop"], merge.collapse(props, ["organism_id", "type_id"]), "organismprop"
+        t["organismprop"], merge.last_rows(props.withColumn("pos", F.lit(0)), ["organism_id", "type_id"], "pos"), "organismprop"
     )
     refs = ids.where(F.col("wikidata_id") != "").select(
         "organism_id", F.lit(terms.WIKIDATA_DB).alias("db"), F.col("wikidata_id").alias("accession"), F.lit("").alias("version")

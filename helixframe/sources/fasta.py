@@ -8,15 +8,20 @@ TYPE_KEYS = ["SO", "sequence_type"]
 
 
 def read_fasta(spark: SparkSession, path: str, group: list[str] | None = None) -> DataFrame:
-    """id, description and residues of every record; a record is one row, never split."""
+    """id, description, residues and pos of every record; a record is one row, never split, and ``pos`` is file order."""
     raw = spark.read.option("lineSep", "\n>").text(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    raw = raw.select("value", *(group or []), place.alias("pos"))
     text = F.regexp_replace(F.ltrim("value"), "^>", "")
-    rows = raw.select(*(group or []), text.alias("text")).where(F.trim("text") != "")
+    rows = raw.select(*(group or []), "pos", text.alias("text")).where(F.trim("text") != "")
     header = F.regexp_replace(F.substring_index("text", "\n", 1), "\r$", "")
     body = F.when(F.contains("text", F.lit("\n")), F.expr("substring(text, locate('\\n', text) + 1)")).otherwise("")
     return rows.select(
         *(group or []), F.split(header, "\\s+")[0].alias("id"), header.alias("description"),
-        F.translate(body, "\n\r\t ", "").alias("residues"),
+        F.translate(body, "\n\r\t ", "").alias("residues"), "pos",
     )
 
 

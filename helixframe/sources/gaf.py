@@ -16,7 +16,7 @@ def column_name(name: str) -> str:
 
 
 def parse_gaf(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Records with list columns split on pipes; comment lines and short lines are skipped."""
+    """Records with list columns split on pipes; for lines that are none see :func:`malformed_lines`."""
     cells = F.split(F.regexp_replace("value", "\r$", ""), "\t")
     rows = lines.where(~F.startswith("value", F.lit("!"))).withColumn("_c", cells).where(F.size("_c") >= len(GAF_COLUMNS))
 
@@ -27,5 +27,13 @@ def parse_gaf(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
     return rows.select(*(group or []), "pos", *[cell(i, n) for i, n in enumerate(GAF_COLUMNS)])
 
 
+def malformed_lines(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Lines with too few columns: group columns, pos, item (the line) and reason."""
+    text = F.trim(F.translate("value", "\r\t", "  "))
+    short = F.size(F.split("value", "\t")) < len(GAF_COLUMNS)
+    rows = lines.where(~F.startswith("value", F.lit("!")) & (text != "") & short)
+    return rows.select(*(group or []), "pos", F.col("value").alias("item"), F.lit("too few columns").alias("reason"))
+
+
 def read_gaf(spark: SparkSession, path: str, group: list[str] | None = None) -> DataFrame:
     return parse_gaf(read_lines(spark, path), group)

@@ -24,9 +24,14 @@ def _attribute_expr() -> str:
     )
 
 
+def _is_marker() -> Column:
+    """The marker is a whole line; the text may also occur inside a record."""
+    return F.rtrim(F.translate("value", "\r\t", "  ")) == SEQUENCE_MARKER
+
+
 def annotation_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Split lines at the sequence marker of each file: (before, after)."""
-    marked = lines.where(F.contains("value", F.lit(SEQUENCE_MARKER)))
+    marked = lines.where(_is_marker())
     marker = marked.groupBy(F.col("pos.file").alias("_file")).agg(F.min("pos").alias("_marker"))
     joined = lines.join(marker, lines["pos.file"] == marker["_file"], "left")
     before = joined.where(F.col("_marker").isNull() | (F.col("pos") < F.col("_marker")))
@@ -65,6 +70,13 @@ def parse_records(lines: DataFrame, group: list[str] | None = None) -> DataFrame
     )
 
 
+def malformed_lines(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """Annotation lines that are no record: group columns, pos, item (the line) and reason."""
+    text = F.trim(F.translate("value", "\r\t", "  "))
+    rows = lines.where(~F.startswith("value", F.lit("#")) & (text != "") & (F.size(F.split("value", "\t")) != 9))
+    return rows.select(*(group or []), "pos", F.col("value").alias("item"), F.lit("not nine columns").alias("reason"))
+
+
 def read_gff(spark: SparkSession, path: str, group: list[str] | None = None) -> DataFrame:
     """Feature records of the files below ``path``."""
     return parse_records(annotation_lines(read_lines(spark, path))[0], group)
@@ -87,11 +99,11 @@ def sequence_names(lines: DataFrame, group: list[str] | None = None) -> DataFram
 
 
 def has_sequences(lines: DataFrame) -> bool:
-    return not lines.where(F.contains("value", F.lit(SEQUENCE_MARKER))).isEmpty()
+    return not lines.where(_is_marker()).isEmpty()
 
 
 def sequences_of_lines(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
-    """Sequence records of lines after the marker: group columns, id, description, residues.
+    """Sequence records of lines after the marker: group columns, id, description, residues, pos.
 
     Each line gets the last header before it: within its split by a window,
     across splits from the last header of the splits before.
@@ -113,6 +125,7 @@ def sequences_of_lines(lines: DataFrame, group: list[str] | None = None) -> Data
     return joined.select(
         *group, F.substring_index("_record.text", " ", 1).alias("id"), F.col("_record.text").alias("description"),
         F.array_join(F.transform("_pieces", lambda p: p["bases"]), "").alias("residues"),
+        F.col("_record.pos").alias("pos"),
     )
 
 

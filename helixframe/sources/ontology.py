@@ -14,11 +14,16 @@ TERM_COLUMNS = [
 
 
 def read_stanzas(spark: SparkSession, path: str) -> DataFrame:
-    """Blank-line separated stanzas: kind (header, Term, Typedef) and (tag, value) lines."""
-    raw = spark.read.option("lineSep", "\n\n").text(path)
-    text = F.trim(F.translate("value", "\r", ""), F.lit("\n"))
+    """Stanzas, each from its ``[`` line to the next: kind (header, Term, Typedef) and (tag, value) lines.
+
+    Only a stanza begins a line with a bracket, so neither blank lines nor line
+    ends matter.
+    """
+    raw = spark.read.option("lineSep", "\n[").text(path)
+    text = F.trim(F.regexp_replace(F.translate("value", "\r", ""), r"(?m)[ \t]+$", ""), F.lit("\n"))
     rows = raw.select(text.alias("text")).where(F.col("text") != "")
-    kind = F.when(F.startswith("text", F.lit("[")), F.regexp_extract("text", r"^\[(\w+)\]", 1)).otherwise("header")
+    name = F.regexp_extract("text", r"^\[?(\w+)\]", 1)
+    kind = F.when(name != "", name).otherwise("header")
     pairs = F.transform(
         F.filter(F.split("text", "\n"), lambda line: F.contains(line, F.lit(": "))),
         lambda line: F.struct(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from helixframe.schema import TABLES
@@ -57,28 +58,22 @@ class Tables:
 
     # -- vocabulary ids ---------------------------------------------------
 
-    ID_LIMIT = 1000
-
-    def ids(self, table: str, condition_key: tuple, rows: DataFrame) -> list[int] | None:
-        """Ids of ``rows`` as a list, or None when there are more than ID_LIMIT."""
+    def ids(self, table: str, condition_key: tuple, rows: DataFrame) -> list[int]:
+        """Ids of ``rows``: those of names the caller lists, at most one per name and vocabulary."""
         key = (table, *condition_key)
         if key not in self._ids:
-            found = rows.select(f"{table}_id").limit(self.ID_LIMIT + 1).collect()
-            self._ids[key] = None if len(found) > self.ID_LIMIT else sorted(r[0] for r in found)
+            self._ids[key] = sorted(r[0] for r in rows.select(f"{table}_id").collect())
         return self._ids[key]
 
     def _restrict(self, df: DataFrame, column: str, table: str, condition_key: tuple, rows: DataFrame) -> DataFrame:
         ids = self.ids(table, condition_key, rows)
-        if ids is not None:
-            return df.where(F.col(column).isin(ids)) if ids else df.where(F.lit(False))
-        return df.join(rows.select(F.col(f"{table}_id").alias(column)).distinct(), column, "left_semi")
+        return df.where(F.col(column).isin(ids)) if ids else df.where(F.lit(False))
 
     def of_terms(self, df: DataFrame, column: str, names: list[str], cv: str | None = None) -> DataFrame:
         """Keep rows whose ``column`` is a term with one of the names.
 
-        A short id list becomes a literal predicate that reaches the Parquet
-        scan; a longer one is a semi join. Without ``cv`` the term may come
-        from any vocabulary.
+        The ids become a literal predicate that reaches the Parquet scan.
+        Without ``cv`` the term may come from any vocabulary.
         """
         terms = self["cvterm"].where(F.col("name").isin(names))
         if cv is not None:
@@ -117,6 +112,16 @@ class Tables:
         return found
 
 
+def published(spark: SparkSession, path: str):
+    """The newest manifest row, or None where nothing is published."""
+    try:
+        return spark.read.schema("version int, paths string").json(f"{path}/{MANIFEST}").orderBy(F.desc("version")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def write_snapshot(
     tables: Mapping[str, DataFrame], path: str, previous: Tables | None = None, version: int = 1,
     partition_by: Mapping[str, list[str]] | None = None,
@@ -124,12 +129,15 @@ def write_snapshot(
     """Write tables as Parquet folders, then publish them with one manifest row.
 
     Readers follow the manifest, so a job that dies half way changes nothing.
-    Tables not given keep the folder of the version before.
+    Tables not given keep the folder of the last version before. A version that
+    is already published is refused, and so is one that is not the newest.
     """
     spark = next(iter(tables.values())).sparkSession
     paths: dict[str, str] = {}
-    if version > 1:
-        last = spark.read.json(f"{path}/{MANIFEST}").where(F.col("version") == version - 1).first()
+    last = published(spark, path)
+    if last is not None:
+        if last["version"] >= version:
+            raise ValueError(f"version {last['version']} is published; {version} is too late")
         paths.update(json.loads(last["paths"]))
     for name, df in tables.items():
         target = f"{path}/v{version}/{name}"
@@ -140,6 +148,9 @@ def write_snapshot(
             writer = writer.partitionBy(*columns)
         writer.mode("overwrite").parquet(target)
         paths[name] = target
+    now = published(spark, path)
+    if (now and now["version"]) != (last and last["version"]):
+        raise ValueError(f"another job published version {now['version']} meanwhile")
     row = spark.createDataFrame([(version, json.dumps(paths))], "version int, paths string")
     row.coalesce(1).write.mode("append").json(f"{path}/{MANIFEST}")
 

@@ -224,3 +224,43 @@ def test_ontology_import(small, spark, tmp_path):
     less = ontology_import.import_ontology(after, terms.where("id <> 'T:2'"), typedefs, space, "T")
     acted = less.merges["cvterm"].where("_action <> 'keep'").collect()
     assert [(r["name"], r["is_obsolete"], r["_action"]) for r in acted] == [("obsolete dog", 1, "obsolete")]
+
+
+def test_marker_is_a_whole_line_and_short_lines_are_reported(spark, tmp_path):
+    row = "s\tx\tgene\t1\t9\t.\t+\t.\t"
+    path = write(tmp_path / "m", f"##gff-version 3\n{row}ID=a;Note=see ##FASTA here\n{row}ID=b\nonly\tthree\tcells\n\n##FASTA\r\n>s\nACGT\n")
+    lines = read_lines(spark, path)
+    before, after = gff.annotation_lines(lines)
+    assert [r["id"] for r in gff.parse_records(before).orderBy("pos").collect()] == ["a", "b"]
+    assert [(r["item"], r["reason"]) for r in gff.malformed_lines(before).collect()] == [("only\tthree\tcells", "not nine columns")]
+    assert [r["residues"] for r in gff.sequences_of_lines(after).collect()] == ["ACGT"]
+    short = read_lines(spark, write(tmp_path / "g", "!gaf-version: 2.1\nDB\tid\n\n"))
+    assert gff_import and gaf.parse_gaf(short).isEmpty() and [r["item"] for r in gaf.malformed_lines(short).collect()] == ["DB\tid"]
+
+
+@pytest.mark.parametrize("gap,end", [("\n", "\n"), ("\r\n", "\r\n"), (" \n", "\n"), ("", "\n")])
+def test_stanzas_need_no_blank_line(spark, tmp_path, gap, end):
+    from helixframe.sources import ontology
+
+    text = end.join(["format-version: 1.2", "default-namespace: n"]) + end
+    for i in (1, 2):
+        text += gap + end.join(["[Term]", f"id: X:{i}", f"name: t{i}"]) + end
+    (tmp_path / "o.obo").write_bytes(text.encode())
+    terms, _, namespace = ontology.read_obo(spark, str(tmp_path / "o.obo"))
+    assert namespace == "n" and sorted((r["id"], r["name"]) for r in terms.collect()) == [("X:1", "t1"), ("X:2", "t2")]
+
+
+def test_file_without_terms_is_refused(small, spark):
+    from helixframe.plans import ontology_import
+    from helixframe.sources import ontology
+
+    empty = spark.createDataFrame([], "kind string, tags array<struct<tag string, value string>>")
+    with pytest.raises((ValueError, LookupError)):
+        ontology_import.import_ontology(small, ontology.obo_terms(empty), ontology.obo_typedefs(empty), "n", "GO")
+
+
+def test_last_record_of_an_id_counts_as_a_whole(small, spark, tmp_path):
+    path = write(tmp_path / "f", ">c1\nACGTACGT\n>c2\nAA\n>c1\nTTTT\n")
+    records = gff_import.of_organism(small, fasta.read_fasta(spark, path), "ONE")
+    got = load(small, fasta_import.import_fasta(small, records, "chromosome"))["feature"]
+    assert {r["uniquename"]: (r["residues"], r["seqlen"]) for r in got.collect()} == {"c1": ("TTTT", 4), "c2": ("AA", 2)}

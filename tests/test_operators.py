@@ -126,8 +126,8 @@ def test_part_of_children_come_before_derived_ones(spark):
 
 def test_circular_relationships_are_reported(spark):
     t = family(spark, [("a", "S", "part_of"), ("b", "a", "part_of"), ("a", "b", "part_of")])
-    with pytest.raises(hierarchy.TreeTooDeep):
-        hierarchy.tree(t, max_depth=4)
+    with pytest.raises(hierarchy.CircularTree):
+        hierarchy.tree(t)
 
 
 def test_cascade_removes_children_and_clears_loose_references(spark):
@@ -174,8 +174,55 @@ def test_moving_aged_rows_counts_them(spark, tmp_path):
         "audit_id", F.col("t").cast("timestamp").alias("time"))
     moved = changelog.move_aged({"db": log}, "2020-06-01", str(tmp_path / "b"), str(tmp_path / "k"))
     assert moved == 1 and spark.read.parquet(str(tmp_path / "k" / "db")).count() == 1
+    assert changelog.move_aged({"db": log}, "2020-06-01", str(tmp_path / "b"), str(tmp_path / "k")) == 1
+    assert spark.read.parquet(str(tmp_path / "b" / "db")).count() == 1  # again, and nothing doubled
+    rest = spark.read.parquet(str(tmp_path / "k" / "db"))
+    assert changelog.move_aged({"db": rest}, "2020-06-01", str(tmp_path / "b"), str(tmp_path / "k2")) == 0
+    with pytest.raises(ValueError):
+        changelog.move_aged({"db": rest}, "2020-06-01", str(tmp_path / "b"), str(tmp_path / "k"))
 
 
 def test_catalogue_counts():
     assert len(TABLES) == 39
     assert sum(len(t.references) for t in TABLES.values()) == 75
+
+
+def test_deep_trees_have_no_limit(spark):
+    t = family(spark, [("n0", "g", "part_of")] + [(f"n{i + 1}", f"n{i}", "part_of") for i in range(24)])
+    assert max(r["depth"] for r in hierarchy.tree(t).select("depth").collect()) == 25
+
+
+def test_json_array_over_part_files(spark, tmp_path):
+    import json
+
+    from helixframe.sinks.delimited import json_array, write_json
+
+    for n in (0, 1, 25):
+        df = spark.range(n).repartitionByRange(5, "id").selectExpr("id AS b", "nullif(id, 3) AS a")
+        write_json(df, str(tmp_path / f"j{n}"))
+        files = sorted(p for p in (tmp_path / f"j{n}").iterdir() if p.name.startswith("part-"))
+        assert json.loads("".join(p.read_text() for p in files)) == [{"a": None if i == 3 else i, "b": i} for i in range(n)]
+    assert json_array(spark.range(1)).count() == 3
+
+
+def test_snapshot_versions(spark, tmp_path):
+    from helixframe.tables import Tables, write_snapshot
+
+    row = lambda i: spark.createDataFrame([(i, f"db{i}", None, None, None)], TABLES["db"].struct)
+    write_snapshot({"db": row(1)}, str(tmp_path), version=3)
+    write_snapshot({"db": row(2)}, str(tmp_path), version=7)
+    assert [r["db_id"] for r in Tables.read(spark, str(tmp_path))["db"].collect()] == [2]
+    with pytest.raises(ValueError):
+        write_snapshot({"db": row(3)}, str(tmp_path), version=7)
+
+
+def test_repeated_organism_counts_once(spark, small):
+    columns = ["genus", "species", "abbreviation", "infraspecific_name", "common_name", "comment", "genome_version", "taxon_id", "wikidata_id"]
+    schema = ", ".join(f"{c} string" for c in columns) + ", pos int"
+    rows = [("G", "s", "NEW", None, None, "old", "v9", None, None, 1), ("G", "s", "NEW", None, None, "new", "v1", None, None, 2)]
+    from helixframe.plans.organisms import insert_organisms
+
+    result = insert_organisms(small, spark.createDataFrame(rows, schema)).tables()
+    assert [r["comment"] for r in result["organism"].where("abbreviation = 'NEW'").collect()] == ["new"]
+    new = result["organism"].where("abbreviation = 'NEW'").first()["organism_id"]
+    assert [r["value"] for r in result["organismprop"].where(f"organism_id = {new}").collect()] == ["v1"]

@@ -201,7 +201,7 @@ def _(c):
     f"SELECT id, id || ' ' || description AS description, residues FROM ({_fasta_sql(_genes_sql(1))}) q",
 )
 def _(c):
-    return fasta_source.read_fasta(c.spark, _fasta_file(c, "genes"))
+    return fasta_source.read_fasta(c.spark, _fasta_file(c, "genes")).drop("pos")
 
 
 @query("S11_read_gzip", f"SELECT id, residues FROM ({_fasta_sql(PEPTIDES)}) q")
