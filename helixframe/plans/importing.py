@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from helixframe import terms
 from helixframe.operators import merge
 from helixframe.schema import TABLES
+from helixframe.session import cut_lineage
 from helixframe.tables import Tables, write_snapshot
 
 
@@ -55,10 +56,11 @@ def merge_xrefs(t: Tables, refs: DataFrame, result: ImportResult) -> DataFrame:
     dbs = t["db"] if "db" not in result.merges else merge.applied(result.merges["db"])
     xrefs = t["dbxref"] if "dbxref" not in result.merges else merge.applied(result.merges["dbxref"])
     names = refs.select(F.col("db").alias("name")).distinct()
-    found = merge.resolve(dbs, names, "db")
+    # Keys are resolved once and written; every output joins the small result.
+    found = cut_lineage(merge.resolve(dbs, names, "db"))
     db_ids = found.select("db_id", F.col("name").alias("db"))
     once = refs.groupBy("db", "accession").agg(F.min("version").alias("version"))
-    resolved = merge.resolve(xrefs, once.join(db_ids, "db"), "dbxref")
+    resolved = cut_lineage(merge.resolve(xrefs, once.join(db_ids, "db"), "dbxref"))
     result.merges["db"] = _after(result, "db", merge.merge_resolved(dbs, found, "db"))
     result.merges["dbxref"] = _after(result, "dbxref", merge.merge_resolved(xrefs, resolved, "dbxref"))
     return resolved.select("db", "accession", "dbxref_id")

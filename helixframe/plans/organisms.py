@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from helixframe import terms
 from helixframe.operators import merge
 from helixframe.plans.importing import ImportResult, merge_xrefs
+from helixframe.session import cut_lineage
 from helixframe.tables import Tables
 
 
@@ -39,10 +40,11 @@ def insert_organisms(t: Tables, batch: DataFrame) -> ImportResult:
     """
     result = ImportResult()
     placed = batch if "pos" in batch.columns else batch.withColumn("pos", F.lit(0))
-    batch = merge.last_rows(placed, ["abbreviation"], "pos")
+    batch = cut_lineage(merge.last_rows(placed, ["abbreviation"], "pos"))
     named = batch.withColumn("common_name", F.coalesce(F.when(F.col("common_name") != "", F.col("common_name")), F.col("abbreviation")))
     core = named.select("genus", "species", "abbreviation", "infraspecific_name", "common_name", "comment")
     result.merges["organism"], found = merge_organisms(t, core)
+    found = cut_lineage(found)
     ids = named.join(found.select("abbreviation", "organism_id", "outcome"), "abbreviation")
     conflicts = ids.where(F.col("outcome") == "conflict")
     result.reject(conflicts.select(
@@ -75,21 +77,23 @@ def seed(t: Tables, sequence_terms: bool = False) -> ImportResult:
         rows + [(db, None, None, None) for db in terms.SEED_EXTRA_DBS],
         "db string, cv string, term string, is_relationshiptype int",
     )
+    wanted = cut_lineage(wanted)
     dbs = merge.resolve(t["db"], wanted.select(F.col("db").alias("name")).distinct(), "db")
     cvs = merge.resolve(t["cv"], wanted.where("cv is not null").select(F.col("cv").alias("name")).distinct(), "cv")
     result.merges["db"] = merge.merge_resolved(t["db"], dbs, "db")
     result.merges["cv"] = merge.merge_resolved(t["cv"], cvs, "cv")
+    dbs, cvs = cut_lineage(dbs), cut_lineage(cvs)
     keyed = wanted.where("term is not null").join(dbs.select("db_id", F.col("name").alias("db")), "db").join(
         cvs.select("cv_id", F.col("name").alias("cv")), "cv"
     )
     refs = keyed.select("db_id", F.col("term").alias("accession")).distinct().withColumn("version", F.lit(""))
-    xrefs = merge.resolve(t["dbxref"], refs, "dbxref")
+    xrefs = cut_lineage(merge.resolve(t["dbxref"], refs, "dbxref"))
     result.merges["dbxref"] = merge.merge_resolved(t["dbxref"], xrefs, "dbxref")
     batch = keyed.join(xrefs.select("db_id", F.col("accession").alias("term"), "dbxref_id"), ["db_id", "term"])
     batch = batch.groupBy("dbxref_id").agg(*[
         F.min_by(c, F.col("cv")).alias(a) for c, a in [("cv_id", "cv_id"), ("term", "name"), ("is_relationshiptype",) * 2]
     ])
-    named = merge.resolve_terms(t["cvterm"], batch)
+    named = cut_lineage(merge.resolve_terms(t["cvterm"], batch))
     result.merges["cvterm"] = merge.merge_terms(t["cvterm"], named)
     null_id = named.where(F.col("name") == "null").agg(F.min("cvterm_id")).first()[0]
     pub = t.spark.range(1).select(
