@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from helixframe.llm.common import SPACE
+from helixframe.llm.common import SPACE, save
 
 MIN_SITES = 10
 LG_CONFIG = 12
@@ -28,10 +28,10 @@ def normal(line: Column) -> Column:
     return F.btrim(F.regexp_replace(F.lower(line), SPACE, " "), F.lit(" "))
 
 
-def _line_key(line: Column) -> Column:
-    """128 bits that stand for a line; null for a line without a word."""
-    text = normal(line)
-    return F.when(text != "", F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b")))
+def _line_keys(text: Column) -> Column:
+    """128 bits for each line of a text; null for a line without a word. Each line is normalised once."""
+    key = lambda x: F.when(x != "", F.struct(F.xxhash64(x).alias("a"), F.xxhash64(F.lit(1), x).alias("b")))
+    return F.transform(F.transform(F.split(text, "\n"), normal), key)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -43,13 +43,16 @@ def boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, band: float = BAND)
     """(line, first): lines on at least ``min_sites`` sites and the document that keeps each."""
     lines = _keyed(docs.select("doc_id", "source", "text")).select(
         "_doc", F.coalesce(F.concat(F.lit("="), "source"), F.lit("none")).alias("site"),
-        F.explode(F.array_distinct(F.transform(F.split("text", "\n"), _line_key))).alias("line"),
+        F.explode(F.array_distinct(_line_keys(F.col("text")))).alias("line"),
     ).where(F.col("line").isNotNull())
     spread = lines.groupBy("line").agg(
         F.hll_sketch_agg("site", F.lit(LG_CONFIG)).alias("sketch"), F.min("_doc").alias("first"),
     ).select("line", "first", F.hll_sketch_estimate("sketch").alias("estimate"))
+    spread = save(spread.where(F.col("estimate") >= min_sites * (1 - band)), "spread")
     high = spread.where(F.col("estimate") > min_sites * (1 + band))
-    near = spread.where(F.col("estimate").between(min_sites * (1 - band), min_sites * (1 + band)))
+    near = spread.where(F.col("estimate") <= min_sites * (1 + band))
+    if near.isEmpty():
+        return high.select("line", "first")
     exact = (
         lines.join(near.select("line"), "line", "left_semi").groupBy("line").agg(F.count_distinct("site").alias("sites"))
         .where(F.col("sites") >= min_sites)
@@ -62,7 +65,7 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES, band: float = BAND) -> Da
     kept = [c for c in docs.columns if c not in ("n_lines", "n_removed", "_doc")]
     found = boilerplate(docs, min_sites, band)
     held = _keyed(docs.select("doc_id", "text")).select(
-        "_doc", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), _line_key))).alias("line"),
+        "_doc", F.explode(F.array_distinct(_line_keys(F.col("text")))).alias("line"),
     ).where(F.col("line").isNotNull())
     drop = (
         held.join(found, "line").where(F.col("_doc") != F.col("first"))
@@ -70,9 +73,11 @@ def clean(docs: DataFrame, min_sites: int = MIN_SITES, band: float = BAND) -> Da
     )
     parts = F.split("text", "\n")
     joined = _keyed(docs.select(*kept)).join(drop, "_doc", "left")
-    stay = F.filter(parts, lambda x: ~F.coalesce(F.array_contains("_drop", _line_key(x)), F.lit(False)))
+    gone = F.transform(_line_keys(F.col("text")), lambda k: F.coalesce(F.array_contains("_drop", k), F.lit(False)))
+    marked = F.filter(F.arrays_zip(parts.alias("line"), gone.alias("gone")), lambda x: ~x["gone"])
+    stay = F.transform(marked, lambda x: x["line"])
     return joined.select(
         *[F.when(F.col("_drop").isNull(), F.col("text")).otherwise(F.array_join(stay, "\n")).alias(c) if c == "text" else F.col(c) for c in kept],
         F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("long").alias("n_lines"),
-        F.when(F.col("_drop").isNull(), 0).otherwise(F.size(parts) - F.size(stay)).cast("long").alias("n_removed"),
+        F.when(F.col("_drop").isNull(), 0).otherwise(F.size(F.filter(gone, lambda x: x))).cast("long").alias("n_removed"),
     )
