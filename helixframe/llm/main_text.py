@@ -28,6 +28,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
+from helixframe.llm.common import save
+
 MIN_PAGES = 4
 MIN_SHARE = 0.5
 # Text at a place is template when this share of the pages of a host, and this many, have it there.
@@ -182,6 +184,8 @@ def templates(pages: DataFrame) -> DataFrame:
     seen = occurrences(pages)
     own = seen.groupBy("host", "kind", "token").agg(
         F.first("parent").alias("parent"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("vector"))
+    # Pages are read once for this; what follows works on one row per host and token.
+    own = save(own, "places")
     everywhere = own.where("kind = 'place'").groupBy("kind", "token").agg(
         F.first("parent").alias("parent"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("vector").alias("vector"))
     counted = own.select("host", "kind", "token", "parent", "pages", "total", "vector").unionByName(
@@ -229,7 +233,7 @@ def _inside(place: str, places: frozenset) -> bool:
 
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row."""
-    found = templates(pages)
+    found = save(templates(pages), "templates")
     shared = {r["host"]: r for r in found.where(F.col("host") == ALL_HOSTS).collect()}.get(ALL_HOSTS)  # one row
     fallback = frozenset(shared["places"]) if shared else frozenset()
     own = found.where((F.col("host") != ALL_HOSTS) & (F.col("n_pages") >= MIN_PAGES)).select("host", "places", "constants")
