@@ -95,7 +95,9 @@ class Encoder:
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.table = PerfectHash(self.tokens)
         self.find = regex.compile(pattern).findall
+        # Two generations: what was used since the last turn survives the next.
         self.memo: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text."""
@@ -105,9 +107,12 @@ class Encoder:
         fresh = set(words).difference(self.memo)
         if fresh:
             if len(self.memo) + len(fresh) > MEMO_ENTRIES:
-                self.memo.clear()
+                self.older, self.memo = self.memo, {}
                 fresh = set(words)
-            self._resolve(list(fresh))
+            older = self.older
+            again = fresh.intersection(older)
+            self.memo.update((w, older[w]) for w in again)
+            self._resolve(list(fresh - again))
         return list(chain.from_iterable(map(self.memo.__getitem__, words)))
 
     def _resolve(self, words: list[str]) -> None:
@@ -117,18 +122,12 @@ class Encoder:
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token that is no vocabulary entry."""
-        n, ranks = len(word), self.ranks
+        n, get = len(word), self.ranks.get
         end = list(range(1, n + 1))  # end of the piece that starts here; 0: no piece starts here
         before = list(range(-1, n - 1))
-        heap: list[tuple[int, int, int, int]] = []
-
-        def offer(left: int, right: int) -> None:
-            rank = ranks.get(word[left : end[right]])
-            if rank is not None:
-                heapq.heappush(heap, (rank, left, right, end[right]))
-
-        for i in range(n - 1):
-            offer(i, i + 1)
+        # A pair is its rank, the starts of both pieces and the end of the second.
+        heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := get(word[i : i + 2])) is not None]
+        heapq.heapify(heap)
         while heap:
             _, left, right, stop = heapq.heappop(heap)
             if end[left] != right or end[right] != stop:
@@ -136,10 +135,13 @@ class Encoder:
             end[left], end[right] = stop, 0
             if stop < n:
                 before[stop] = left
-                offer(left, stop)
-            if before[left] >= 0:
-                offer(before[left], left)
-        out, at = [], 0
+                after = end[stop]
+                if (rank := get(word[left:after])) is not None:
+                    heapq.heappush(heap, (rank, left, stop, after))
+            first = before[left]
+            if first >= 0 and (rank := get(word[first:stop])) is not None:
+                heapq.heappush(heap, (rank, first, left, stop))
+        out, at, ranks = [], 0, self.ranks
         while at < n:
             out.append(ranks[word[at : end[at]]])
             at = end[at]
