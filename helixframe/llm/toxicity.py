@@ -27,6 +27,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from helixframe.llm.common import save
+
 FIT_ROWS = 20_000
 MAX_FEATURES = 4_000
 MIN_TOXIC = 3
@@ -79,9 +81,12 @@ class CharacterModel:
 
 
 def count_trigrams(words: Counter) -> Counter:
-    """Trigram counts of weighted words, word edges marked."""
+    """Trigram counts of weighted words of the alphabet, word edges marked; punctuation around them is left out."""
     grams: Counter = Counter()
-    for word, n in words.items():
+    for token, n in words.items():
+        word = token.strip(STRIP)
+        if not word or not KNOWN.issuperset(word):
+            continue
         padded = f"{EDGE}{EDGE}{word}{EDGE}"
         for i in range(len(padded) - 2):
             grams[padded[i : i + 3]] += n
@@ -139,23 +144,21 @@ class Reader:
         self.model, self.memo = model, {}
 
     def word(self, token: str) -> str:
-        got = self.memo.get(token)
-        if got is None:
-            if len(self.memo) > MEMO_ENTRIES:
-                self.memo.clear()
-            core = token.strip(STRIP)
-            if plain(core):
-                got = core
-            else:
-                tail = core.rstrip("!|+(<*$@")  # marks at the end are rather punctuation
-                got = tail if plain(tail) else restore(core, self.model) if obscured(core) else ""
-            self.memo[token] = got
-        return got
+        core = token.strip(STRIP)
+        if plain(core):
+            return core
+        tail = core.rstrip("!|+(<*$@")  # marks at the end are rather punctuation
+        return tail if plain(tail) else restore(core, self.model) if obscured(core) else ""
 
     def words(self, text: str | None) -> set[str]:
         """Different restored words of a text, with what spelled-out letters join to."""
         low = (text or "").lower()
-        found = set(map(self.word, set(low.split())))
+        tokens = set(low.split())
+        if len(self.memo) > MEMO_ENTRIES:
+            self.memo.clear()
+        for token in tokens.difference(self.memo):
+            self.memo[token] = self.word(token)
+        found = set(map(self.memo.__getitem__, tokens))
         for m in SPELLED.finditer(low):
             letters = m[0].replace(" ", "")
             found.add(letters if plain(letters) else restore(letters, self.model))
@@ -183,12 +186,11 @@ def character_model(texts: DataFrame) -> CharacterModel:
     """Trigram counts of all words of the corpus. The alphabet is fixed, so there are at most |alphabet|^3 of them."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        letters = re.compile(f"[{LETTERS}]+").findall
         grams: Counter = Counter()
         words: Counter = Counter()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
-                words.update(letters(" ".join(x for x in batch.column(0).slice(at, 256).to_pylist() if x).lower()))
+                words.update(" ".join(x for x in batch.column(0).slice(at, 256).to_pylist() if x).lower().split())
                 if len(words) > 100_000:
                     grams.update(count_trigrams(words))
                     words.clear()
@@ -210,19 +212,21 @@ class Scorer:
         self.index = {f: i for i, f in enumerate(self.features)}
         self.bases = {f for f, _ in self.features}
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.telling: set[str] = set()
 
     def active(self, words: set[str]) -> list[int]:
         """Features that the words of a text have."""
         memo = self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
+            self.telling.clear()
+        for w in words.difference(memo):
+            memo[w] = tuple(f for f in word_features(w) if f in self.bases)
+            if memo[w]:
+                self.telling.add(w)
         counts: Counter = Counter()
-        for w in words:
-            got = memo.get(w)
-            if got is None:
-                got = memo[w] = tuple(f for f in word_features(w) if f in self.bases)
-            if got:
-                counts.update(got)
+        for w in words & self.telling:
+            counts.update(memo[w])
         return [self.index[f] for f in levelled(counts) if f in self.index]
 
     def score(self, text: str | None) -> float:
@@ -266,20 +270,28 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
 
-    def extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        reader = Reader(CharacterModel(counts))
-        for frame in frames:
-            out = []
-            for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                tally = Counter(f for w in reader.words(text) for f in word_features(w))
-                out.append((toxic, [f"{f}\t{n}" for f, n in levelled(tally)]))
-            yield pd.DataFrame(out, columns=["toxic", "features"])
-
-    rows = sample.mapInPandas(extract, "toxic int, features array<string>")
-    each = rows.select("toxic", F.explode("features").alias("feature"))
-    spam = each.where("toxic = 1").groupBy("feature").agg(F.count(F.lit(1)).alias("bad")).where(F.col("bad") >= MIN_TOXIC)
-    clean = each.where("toxic = 0").join(spam.select("feature"), "feature", "left_semi").groupBy("feature").agg(F.count(F.lit(1)).alias("good"))
-    n_good, n_bad = (sample.where(F.col("toxic") == x).count() for x in (0, 1))
+    def extract(rows: DataFrame, wanted: frozenset | None = None) -> DataFrame:
+        """Features of each row; only the wanted ones, if given."""
+
+        def features_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            reader = Reader(CharacterModel(counts))
+            bases = wanted and {f.rsplit("\t", 1)[0] for f in wanted}
+            for frame in frames:
+                out = []
+                for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
+                    tally = Counter(f for w in reader.words(text) for f in word_features(w) if bases is None or f in bases)
+                    out.append((toxic, [x for x in (f"{f}\t{n}" for f, n in levelled(tally)) if wanted is None or x in wanted]))
+                yield pd.DataFrame(out, columns=["toxic", "features"])
+
+        return rows.mapInPandas(features_of, "toxic int, features array<string>")
+
+    # Toxic rows first: only what several of them have is then counted in the others. Both are bounded by fit_rows.
+    toxic = extract(sample.where("toxic = 1")).select(F.explode("features").alias("feature"))
+    spam = toxic.groupBy("feature").agg(F.count(F.lit(1)).alias("bad")).where(F.col("bad") >= MIN_TOXIC)
+    spam = save(spam, "features")
+    rows = save(extract(sample, frozenset(r["feature"] for r in spam.select("feature").collect())), "features")
+    clean = rows.where("toxic = 0").select(F.explode("features").alias("feature")).groupBy("feature").agg(F.count(F.lit(1)).alias("good"))
+    n_good, n_bad = (rows.where(F.col("toxic") == x).count() for x in (0, 1))
     if not n_bad or not n_good:
         rate = (n_bad + 0.0) / max(1, n_bad + n_good)
         return Scorer(counts, [], np.zeros(0), math.log(max(rate, 1e-12) / max(1 - rate, 1e-12)))
@@ -295,11 +307,13 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     index = {f"{f}\t{n}": i for i, (f, n) in enumerate(features)}
 
     def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in extract(frames):
-            yield pd.DataFrame({"toxic": frame["toxic"], "features": [[index[f] for f in fs if f in index] for fs in frame["features"]]})
+        for frame in frames:
+            yield pd.DataFrame({"toxic": frame["toxic"], "features": [sorted(index[f] for f in fs if f in index) for fs in frame["features"]]})
 
-    got = sample.mapInPandas(project, "toxic int, features array<int>").collect()  # at most fit_rows rows of feature numbers
-    weights, bias = fit_weights([np.array(r["features"], dtype=np.int64) for r in got], np.array([r["toxic"] for r in got], dtype=float), len(features))
+    got = rows.mapInPandas(project, "toxic int, features array<int>").collect()  # at most fit_rows rows of feature numbers
+    got.sort(key=lambda r: (r["toxic"], r["features"]))  # sums in one order, whatever the partitions
+    held = [np.array(r["features"], dtype=np.int64) for r in got]
+    weights, bias = fit_weights(held, np.array([r["toxic"] for r in got], dtype=float), len(features))
     return Scorer(counts, features, weights, bias)
 
 
