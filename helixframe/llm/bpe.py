@@ -110,12 +110,14 @@ class Encoder:
                 self.older, self.memo = self.memo, {}
                 fresh = set(words)
             older = self.older
-            again = fresh.intersection(older)
-            self.memo.update((w, older[w]) for w in again)
-            self._resolve(list(fresh - again))
+            kept = {w: older[w] for w in fresh if w in older}
+            self.memo.update(kept)
+            self._resolve([w for w in fresh if w not in kept])
         return list(chain.from_iterable(map(self.memo.__getitem__, words)))
 
     def _resolve(self, words: list[str]) -> None:
+        if not words:
+            return
         keys = [w.encode() for w in words]
         for word, key, at in zip(words, keys, self.table.candidates(keys).tolist(), strict=True):
             self.memo[word] = (int(self.ids[at]),) if self.tokens[at] == key else self.merge(key)
