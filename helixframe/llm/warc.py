@@ -32,6 +32,8 @@ from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from helixframe.llm.common import save
+
 # Fixed values of the WARC format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {}\r\n\r\n"
@@ -54,22 +56,27 @@ def capture_key(url: Column) -> Column:
 
 
 def captures(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Pages with key, payload digest and size, and the page a revisit refers to."""
+    """Rows for the writer: each page with its key, digest and payload, and a mark (no payload) for each revisit.
+
+    Which payloads repeat is found from keys and digests alone; the marks then travel with the pages through the one
+    exchange that moves payloads.
+    """
     base = pages.select(
-        "page_id", "url", F.coalesce("html", F.lit("")).alias("html"), capture_key(F.col("url")).alias("key"),
-    ).withColumns({"digest": F.sha1(F.encode("html", "UTF-8")), "n_bytes": F.octet_length("html").cast("long")})
-    large = F.col("n_bytes") >= min_bytes
+        "page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"), capture_key(F.col("url")).alias("key"),
+    ).withColumn("digest", F.unhex(F.sha1("payload")))
+    large = save(base.where(F.octet_length("payload") >= min_bytes).select("key", "page_id", "digest"), "payloads")
     # Only payloads that occur twice matter; hot ones are reduced to one row before the exchange.
     twice = (
-        base.where(large).groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.max("page_id").alias("newest"))
+        large.groupBy("digest").agg(F.count(F.lit(1)).alias("copies"), F.max("page_id").alias("newest"))
         .where((F.col("copies") > 1) & F.col("newest").isNotNull()).select("digest", "newest")
     )
-    joined = base.join(twice, "digest", "left")
-    other = large & F.col("newest").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("newest"))
-    return joined.select("page_id", "url", "html", "key", "digest", F.when(other, F.col("newest")).alias("refers_to"))
+    marks = large.join(twice, "digest").where(~F.col("page_id").eqNullSafe(F.col("newest"))).select(
+        "key", "page_id", "digest", F.lit(None).cast("string").alias("url"), F.lit(None).cast("binary").alias("payload"),
+        F.col("newest").alias("refers_to"))
+    return base.select("key", "page_id", "digest", "url", "payload", F.lit(None).cast("long").alias("refers_to")).unionByName(marks)
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, date: str, nth: str) -> bytes:
+def record(page_id: int | None, url: str | None, payload: bytes, digest: bytes, refers_to: int | None, date: str, nth: str) -> bytes:
     """One WARC record."""
     name = lambda n: f"<urn:page:{n}>"
     block = HTTP_HEAD.format(len(payload)).encode() + (payload if refers_to is None else b"")
@@ -77,7 +84,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, digest: str, re
         "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
         f"WARC-Record-ID: {name(page_id if page_id is not None else f'none:{nth}')}", f"WARC-Date: {date}",
         "WARC-Target-URI: " + (url or "").replace("\r", "%0D").replace("\n", "%0A"),
-        "WARC-Payload-Digest: sha1:" + base64.b32encode(bytes.fromhex(digest)).decode(),
+        "WARC-Payload-Digest: sha1:" + base64.b32encode(digest).decode(),
         "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
     ]
     if refers_to is not None:
@@ -112,7 +119,8 @@ def write_archive(pages: DataFrame, root: str, date: str = "2000-01-01T00:00:00Z
     """Write archives and their index below ``root``; returns the block directory, kept as a table there."""
     rows = captures(pages, min_bytes)
     files = files or max(1, pages.rdd.getNumPartitions())
-    dealt = rows.repartitionByRange(files, "key", "page_id").sortWithinPartitions("key", "page_id")
+    order = ["key", "page_id", "digest"]
+    dealt = rows.repartitionByRange(files, *order).sortWithinPartitions(*order, F.desc_nulls_last("refers_to"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
@@ -133,13 +141,18 @@ def write_archive(pages: DataFrame, root: str, date: str = "2000-01-01T00:00:00Z
                 cdx_at += len(packed)
                 block.clear()
 
+        mark: tuple | None = None  # (key, page_id, digest, refers_to) of the last mark; the pages it marks follow it
         for batch in batches:
-            for i in range(batch.num_rows):
-                row = {n: batch.column(n)[i].as_py() for n in batch.schema.names}
+            for row in (x for at_row in range(0, batch.num_rows, 64) for x in batch.slice(at_row, 64).to_pylist()):
+                place = row["key"], row["page_id"], row["digest"]
+                if row["refers_to"] is not None:
+                    mark = *place, row["refers_to"]
+                    continue
+                refers_to = mark[3] if mark is not None and mark[:3] == place else None
                 if warc is None:
                     warc = store.open_output_stream(f"{name}.{attempt}.warc", compression=None)
                     cdx = store.open_output_stream(f"{name}.{attempt}.cdx", compression=None)
-                packed = _gzip(record(row["page_id"], row["url"], row["html"].encode(), row["digest"], row["refers_to"], date, f"{part}-{at}"))
+                packed = _gzip(record(row["page_id"], row["url"], row["payload"], row["digest"], refers_to, date, f"{part}-{at}"))
                 warc.write(packed)
                 block.append((row["key"], at, len(packed)))
                 at += len(packed)
