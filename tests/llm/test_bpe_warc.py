@@ -70,6 +70,22 @@ def test_archive_round_trip(spark, tmp_path):
     assert sorted(r["page_id"] for r in warc.lookup(spark, root, urls).collect()) == [1, 4, 5]
 
 
+def test_revisits_where_ids_and_urls_repeat(spark, tmp_path):
+    a, b, c = "a" * 1000, "b" * 1000, "c" * 999
+    rows = [(1, "http://x.example.com/", t) for t in (a, b, c, a)] + [(2, "http://x.example.com/", a), (3, "http://y.example.com/", b)]
+    rows += [(None, None, b), (None, None, "d" * 1000), (9, None, c), (3, "http://y.example.com/", b)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for files in (1, 4):
+        root = f"file://{tmp_path}/w{files}"
+        got = warc.read_archive(warc.write_archive(pages, root, files=files), root).collect()
+        newest = {a: 2, b: 3}
+        want = []
+        for i, _, html in rows:
+            other = html in newest and newest[html] != i
+            want.append((i, len(html), hashlib.sha1(html.encode()).hexdigest(), "revisit" if other else "response", newest[html] if other else None))
+        assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
 def test_archive_of_nothing(spark, tmp_path):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     root = f"file://{tmp_path}/w"
