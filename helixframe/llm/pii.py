@@ -4,9 +4,11 @@ Detected values are permuted by a keyed Feistel network inside their own format,
 the same shape, equal values are replaced alike in every document, and who holds the key can undo it. Card numbers keep
 a valid check digit, dates stay dates, phone numbers keep their punctuation and prefix, addresses their dots.
 
-Numbers and dates are validated before they are replaced: a card number by its issuer digit and length (and by its check
-digit, if it has a right one it keeps one), an IP address by its parts, a date by the calendar. E-mail addresses and
-secrets (the quoted or long value after a word such as token, key, password) are permuted letter for letter.
+Numbers and dates are validated before they are replaced, and what fails stays: a card number by its issuer, length and
+check digit, an IBAN by mod 97, a social security number by its ranges, a phone number by country code and length, an IP
+address by its parts, a date by the calendar. The replacement of a valid value is valid, with right check digits. Where a
+run of digits is not valid as a whole, its groups are looked at. E-mail addresses and secrets (the quoted or long value
+after a word such as token, key, password) are permuted letter for letter.
 
 Null texts stay null; empty ones are unchanged. Rows that repeat are treated alike. Whole texts are scanned. Columns of
 the input named like an output column are replaced.
@@ -38,9 +40,22 @@ PATTERNS = {
     "phone": r"(?<![\dA-Za-z])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{3}[ .-])\d{3,4}[ .-]?\d{4}(?![\dA-Za-z])",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
 }
+# First digits of card issuers, as ranges, with the lengths they give out.
+ISSUERS = [
+    ("4", "4", {13, 16, 19}), ("51", "55", {16}), ("2221", "2720", {16}), ("34", "34", {15}), ("37", "37", {15}), ("6011", "6011", range(16, 20)),
+    ("644", "659", range(16, 20)), ("62", "62", range(16, 20)), ("81", "82", range(16, 20)), ("3528", "3589", range(16, 20)), ("36", "36", range(14, 20)),
+    ("38", "39", range(14, 20)), ("300", "305", range(14, 20)), ("3095", "3095", range(14, 20)), ("2200", "2204", range(16, 20)), ("60", "60", {16}), ("508", "508", {16}),
+    ("5018", "5020", range(13, 20)), ("5038", "5038", range(13, 20)), ("5893", "5893", range(13, 20)), ("6304", "6304", range(13, 20)),
+    ("6759", "6763", range(13, 20)), ("9792", "9792", {16}), ("1", "1", {15}), ("506099", "506198", range(16, 20)),
+]
+# Assigned country calling codes; none is the beginning of another.
+COUNTRY_CODE = re.compile(
+    r"1|7|2(?:0|7|1[12368]|[2346]\d|5[0-8]|9[01789])|3(?:[0123469]|5\d|7\d|8[0-35-79])|4(?:[013-9]|2[013])|5(?:[1-8]|0\d|9\d)"
+    r"|6(?:[0-6]|7[02-9]|8[0-35-9]|9[0-2])|8(?:[1246]|0[08]|5[02356]|7[0-4]|8[0-368]|78)|9(?:[0-58]|6[0-8]|7[0-79]|9[2-68])")
 # A text without any of these characters holds nothing that is looked for.
 HINT = re.compile(r"[\d@=:]")
 FINDER = re.compile("|".join(f"(?P<{n}>{p.replace(chr(92) + '1', '(?P=d1)').replace('([-/.])', '(?P<d1>[-/.])', 1).replace(chr(92) + '2', '(?P=d2)').replace('([-/.])', '(?P<d2>[-/.])', 1) if n == 'date' else p})" for n, p in PATTERNS.items()))
+EACH = {n: re.compile(p) for n, p in PATTERNS.items()}
 
 
 class Permutation:
@@ -86,6 +101,33 @@ def luhn_digit(digits: str) -> str:
     return str(-total % 10)
 
 
+def iban_digits(value: str) -> str:
+    """Check digits of an IBAN, from its country and account."""
+    held = value.replace(" ", "")
+    return f"{98 - int(''.join(str(int(c, 36)) for c in held[4:] + held[:2] + '00')) % 97:02d}"
+
+
+def country_code(value: str) -> str:
+    """Country calling code of a phone number written with a plus; empty if it has none or an unassigned one."""
+    found = COUNTRY_CODE.match(re.sub(r"\D", "", value)) if value[0] == "+" else None
+    return found[0] if found else ""
+
+
+def valid(kind: str, value: str) -> bool:
+    """Whether a value that looks like its kind is one. Dates and addresses are seen to by ``pseudonym``."""
+    held = re.sub(r"\D", "", value)
+    if kind == "card":
+        return luhn_digit(held[:-1]) == held[-1] and any(lo <= held[: len(lo)] <= hi and len(held) in lengths for lo, hi, lengths in ISSUERS)
+    if kind == "iban":
+        return 15 <= len(value.replace(" ", "")) <= 34 and iban_digits(value) == value[2:4]
+    if kind == "ssn":
+        return held[:3] not in ("000", "666") and held[0] != "9" and held[3:5] != "00" and held[5:] != "0000"
+    if kind == "phone":
+        code = country_code(value)
+        return (code != "" or value[0] != "+") and len(held) <= 15 and held[len(code) :].strip("0") != ""
+    return True
+
+
 def _refill(shape: str, characters: str, pick) -> str:
     it = iter(characters)
     return "".join(next(it) if pick(c) else c for c in shape)
@@ -154,7 +196,15 @@ def date(value: str, key: bytes, back: bool = False) -> str | None:
 
 
 def pseudonym(kind: str, value: str, key: bytes = KEY, back: bool = False) -> str | None:
-    """Replacement of a detected value; None when it is not valid and stays."""
+    """Replacement of a value of this format, valid if the value is; None for a date or an address that is none."""
+    new = _permuted(kind, value, key, back)
+    if new is not None and valid(kind, value):
+        while not valid(kind, new):
+            new = _permuted(kind, new, key, back)
+    return new
+
+
+def _permuted(kind: str, value: str, key: bytes, back: bool) -> str | None:
     if kind == "card":
         held = re.sub(r"\D", "", value)
         if luhn_digit(held[:-1]) == held[-1]:
@@ -171,8 +221,11 @@ def pseudonym(kind: str, value: str, key: bytes = KEY, back: bool = False) -> st
         return ".".join(str(b) for b in got.to_bytes(4, "big"))
     if kind in ("phone", "ssn"):
         # The country code stays.
-        country = re.match(r"\+(\d{1,3})[ .(-]", value)
-        return digits(value, key, kind, back, fixed=len(country[1]) if country else 0)
+        return digits(value, key, kind, back, fixed=len(country_code(value)))
+    if kind == "iban":
+        # The country stays.
+        new = value[:4] + letters(value[4:], key, f"iban/{value[:2]}", back)
+        return new[:2] + iban_digits(new) + new[4:]
     if kind == "secret":
         head = re.match(r"(?i)\w+(?:[_-]?\w+)?\s*[=:]\s*", value)[0]
         body = value[len(head) :]
@@ -186,17 +239,35 @@ def pseudonym(kind: str, value: str, key: bytes = KEY, back: bool = False) -> st
     return letters(value, key, kind, back)
 
 
+def _readings(text: str, found: re.Match) -> Iterator[tuple[str, str]]:
+    """(kind, value) that may begin where the finder stopped: the longest first, then without its last groups."""
+    first = next(k for k in PATTERNS if found[k] is not None)
+    for kind in list(PATTERNS)[list(PATTERNS).index(first) :]:
+        m = found if kind == first else EACH[kind].match(text, found.start())
+        value = m[0] if m else ""
+        while value:
+            yield kind, value
+            cut = max(value.rfind(" "), value.rfind("-")) if kind in ("card", "iban") else -1
+            value = value[:cut] if cut > 0 and EACH[kind].fullmatch(value[:cut]) else ""
+
+
 def redact(text: str | None, key: bytes = KEY) -> tuple[str | None, list[tuple]]:
     """Text with pseudonyms, and (kind, start, end) of what was replaced in the original."""
     if not text or not HINT.search(text):
         return text, []
     out, spans, at = [], [], 0
-    for m in FINDER.finditer(text):
-        new = pseudonym(m.lastgroup if m.lastgroup in PATTERNS else "date", m[0], key)
-        if new is not None:
-            out += [text[at : m.start()], new]
-            spans.append((next(k for k in PATTERNS if m[k] is not None), m.start(), m.end()))
-            at = m.end()
+    m = FINDER.search(text)
+    while m:
+        resume = m.start() + 1
+        for kind, value in _readings(text, m):
+            new = pseudonym(kind, value, key) if valid(kind, value) else None
+            if new is not None:
+                resume = m.start() + len(value)
+                out += [text[at : m.start()], new]
+                spans.append((kind, m.start(), resume))
+                at = resume
+                break
+        m = FINDER.search(text, resume)
     return "".join(out) + text[at:], spans
 
 

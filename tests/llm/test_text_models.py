@@ -90,3 +90,23 @@ def test_redact(docs_of):
     by = {r["doc_id"]: r for r in got}
     assert by[1]["text"] == new and by[2]["text"].split()[1] in new  # the same value is replaced alike
     assert by[3]["text"] is None and by[None]["text"] == "" and by[4]["pii"] == []
+
+
+@pytest.mark.parametrize("text", [
+    "0007687199101951", "4532015112830367", "7536784127813050", "45320151128303", "GB83 WEST 1234 5698 7654 32", "000-12-3456", "666-12-3456", "912-12-3456",
+    "123-00-6789", "123-45-0000", "+999 000 0000000", "+1 000 0000000", "000 000 0000"])
+def test_what_is_not_valid_stays(text):
+    assert pii.redact(f"a {text} b") == (f"a {text} b", [])
+
+
+@pytest.mark.parametrize("kind,value", [
+    ("card", "4532015112830366"), ("card", "378282246310005"), ("card", "5555-5555-5555-4444"), ("card", "36700102000000"), ("ssn", "123-45-6789"),
+    ("iban", "GB82 WEST 1234 5698 7654 32"), ("iban", "ES9121000418450200051332"), ("phone", "+1 (017) 555-7713"), ("phone", "+886 234 5678901")])
+def test_valid_values_stay_valid_beside_other_numbers(kind, value):
+    assert pii.valid(kind, value)
+    for text in (value, f"on {value} it", f"9 {value}, x", f"x {value} 12 y"):
+        new, spans = pii.redact(text)
+        (got, a, b), = spans
+        assert got == kind and text[a:b] == value and new[:a] == text[:a] and new[b:] == text[b:], text
+        assert new[a:b] != value and pii.valid(kind, new[a:b]) and pii.pseudonym(kind, new[a:b], back=True) == value
+    assert pii.redact("12 2021-02-28 3456")[1] == [("date", 3, 13)]
