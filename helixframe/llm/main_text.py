@@ -9,8 +9,9 @@ are the host's template; hosts whose pages are too few use the template of all p
 template tokens are the slots. Text outside the main element that recurs on most pages of a host is template too.
 
 From the slots the article is read: the content of article or main elements when the template has them, otherwise all
-slots that are not navigation, header, footer, sidebar, notice, advert, form, comment or code by their place. Character
-references are decoded, white space in a block becomes one space, and blocks are joined in page order by one space.
+slots that are not navigation, header, footer, sidebar, notice, advert, form, comment or code by their place. Words in
+a class, id or role count as places too, but not on html, body and main, and only as whole names on what encloses the
+article or main element with the most text. Character references are decoded, white space in a block becomes one space, and blocks are joined in page order by one space.
 
 A null or empty html gives an empty text. A null url is a host of its own. Pages may repeat, ids may repeat or be null.
 Broken markup is read as browsers do: unknown or unclosed tags never lose text. Other columns are ignored.
@@ -50,7 +51,10 @@ SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsens
  breadcrumbs header masthead footer foot sidebar side aside rail widget related recommended recommendations notice notices cookie cookies consent gdpr banner popup modal
  newsletter subscribe subscription signup login share sharing social comment comments reply replies disqus respond reader-comments pagination pager toolbar form search tags
  contentinfo complementary copyright legal alert overlay""".split())
+COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
+TOPIC_WORDS = frozenset("related tags alert legal".split())
 MAIN_TAGS = frozenset(["article", "main"])
+WHOLE_TAGS = frozenset(["html", "body", "main"])
 MAIN_WORDS = frozenset("article main-content article-body post-content entry-content post-body story-body articlebody maincontent".split())
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -64,31 +68,63 @@ def host_of(url: Column) -> Column:
 
 
 class Node:
-    """An open element."""
+    """An open element. ``settle`` says whether it is beside or in the main text, when the page has been read."""
 
-    __slots__ = ("tag", "place", "side", "main", "names")
+    __slots__ = ("tag", "place", "side", "main", "names", "parts", "parent", "hidden", "size")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
-        self.tag = tag
+        self.tag, self.parent, self.size = tag, parent, 0
         words = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)).lower() if "=" in attributes else ""
-        self.names = words
-        split = set(words.split()) | set(re.split(r"[^a-z0-9]+", words)) if words else ()
-        own_main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(split)
-        comment = bool(words) and not {"comment", "comments", "reply", "replies", "disqus", "respond"}.isdisjoint(split)
-        side = tag in SIDE_TAGS or bool(words) and not SIDE_WORDS.isdisjoint(split) and (tag != "article" or comment) or bool(HIDDEN.search(attributes))
+        self.names = frozenset(words.split())
+        self.parts = self.names | set(re.split(r"[^a-z0-9]+", words)) if words else self.names
+        self.hidden = bool(HIDDEN.search(attributes))
+        self.side = self.main = False
+        label = f"{tag}.{'.'.join(sorted(self.parts - {''}))}" if words else tag
+        self.place = f"{parent.place}/{label}" if parent is not None else label
+
+    def settle(self, wrappers: set[Node]) -> None:
+        tag, parent = self.tag, self.parent
+        own_main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(self.parts)
+        inside = parent is not None and parent.main
+        # Classes of a page, or of what encloses its main element, describe the layout; inside, some words describe the text.
+        words = () if tag in WHOLE_TAGS else self.names if self in wrappers else self.parts - TOPIC_WORDS if inside else self.parts
+        side = not SIDE_WORDS.isdisjoint(words) and (tag != "article" or not COMMENT_WORDS.isdisjoint(words)) or self.hidden
         # A heading block inside the article belongs to it.
-        if tag == "header" and parent is not None and parent.main and not words:
-            side = False
+        if tag in SIDE_TAGS and not (tag == "header" and inside and not self.names):
+            side = True
         self.side = side or parent is not None and parent.side
-        self.main = own_main and not side or parent is not None and parent.main
-        label = f"{tag}.{'.'.join(sorted(split - {''}))}" if words else tag
-        self.place = f"{parent.place}/{label}" if parent is not None else label
+        self.main = own_main and not side or inside
+
+
+def above(node: Node | None) -> Iterator[Node]:
+    """An element and those that enclose it."""
+    while node is not None:
+        yield node
+        node = node.parent
+
+
+def settle(nodes: list[Node], texts: list[tuple[str, Node, bool]]) -> None:
+    """Find the main element with the most text and the article with the most in it, and so what wraps them."""
+    for part, node, _ in texts:
+        node.size += len(part)
+    for node in reversed(nodes):  # children come before their parents
+        if node.parent is not None and not (node.tag in SIDE_TAGS or node.hidden):
+            node.parent.size += node.size
+    wrappers: set[Node] = set()
+    within = None
+    for tag in ("main", "article"):
+        found = [n for n in nodes if n.tag == tag and (within is None or within in above(n))]
+        if found:
+            within = max(found, key=lambda n: n.size)
+            wrappers.update(above(within))
+    for node in nodes:
+        node.settle(wrappers)
 
 
 def read(html: str) -> tuple[list[str], list[tuple[str, Node, bool]]]:
     """Places of the block tags in order, and (text, element, whether a block starts before it)."""
     root = Node("", "", None)
-    stack, places, texts = [root], [], []
+    stack, places, texts, nodes = [root], [], [], [root]
     at, fresh, size = 0, True, len(html)
 
     def text(part: str) -> None:
@@ -127,11 +163,13 @@ def read(html: str) -> tuple[list[str], list[tuple[str, Node, bool]]]:
                     break
         node = Node(tag, m[3], stack[-1])
         places.append(node.place)
+        nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
             at = end.end() if end else size
         elif tag not in VOID and not m[3].endswith("/"):
             stack.append(node)
+    settle(nodes, texts)
     return places, texts
 
 

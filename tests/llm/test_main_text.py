@@ -33,3 +33,16 @@ def test_classes_nest(spark):
 
 def test_empty(spark):
     assert main_text.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_wrapper_classes_do_not_hide_the_article():
+    story = "<h1>Title</h1><p>First.</p><p>Second.</p>"
+    for page in ("<body class='has-sidebar'><article>{}</article></body>", "<body><div class='layout sidebar-right'><article>{}</article></div></body>",
+                 "<body><main class='content share-enabled'>{}</main></body>", "<div class='elementor-widget'><article>{}</article></div>", "<body class=search><main>{}</main>",
+                 "<main><div class=sidebar-right><article>{}</article></div></main><div class=related-posts><article>Teaser</article></div>",
+                 "<div class='sidebar-right'><article>{}</article></div><div class=related-posts><article>Teaser</article></div>",
+                 "<article>{}</article><div class=sidebar><article>Teaser</article></div><aside><article>" + "Teaser " * 50 + "</article></aside>"):
+        assert main_text.article(page.format(story), frozenset(), frozenset()) == "Title First. Second.", page
+    for word in ("related", "tags", "alert", "legal"):
+        page = f"<article><p>First.</p><div class='{word}'><p>Second.</p></div><div class='share-bar'>Share</div></article>"
+        assert main_text.article(page, frozenset(), frozenset()) == "First. Second."
