@@ -6,10 +6,14 @@ class. A vector is summarised by its number of pages and a sum of keyed hashes o
 aggregation and no host's pages meet in one task. A class is valid if it occurs on at least half of the host's pages (and
 on two or more) and its places nest, each inside the place that encloses it. The valid classes, nested by their places,
 are the host's template; hosts whose pages are too few use the template of all pages together. What lies between
-template tokens are the slots. Text outside the main element that recurs on most pages of a host is template too.
-
-From the slots the article is read: the content of article or main elements when the template has them, otherwise all
-slots that are not navigation, header, footer, sidebar, notice, advert, form, comment or code by their place. Words in
+template tokens are the slots. Text outside the main element that recurs on most pages of a host is template too; on a
+host of few pages, text that all of them have, if different pages have it and most text varies.
+
+From the slots the article is read: the content of article or main elements when the template has them. Where it has
+none, the template decides: from the top it is followed down to the place whose slots hold nearly all of the host's
+varying text, with no paragraph or heading beside it, and the article is what varies there; a page that has most of its
+text elsewhere is read whole, and article or main elements that few pages have are kept with it. Never read are slots
+that are navigation, header, footer, sidebar, notice, advert, form, comment or code by their place. Words in
 a class, id or role count as places too, but not on html, body and main, and only as whole names on what encloses the
 article or main element with the most text. Character references are decoded, white space in a block becomes one space, and blocks are joined in page order by one space.
 
@@ -35,7 +39,9 @@ MIN_PAGES = 4
 MIN_SHARE = 0.5
 # Text at a place is template when this share of the pages of a host, and this many, have it there.
 TEXT_SHARE, TEXT_PAGES = 0.6, 8
-ALL_HOSTS = "*"
+# The article's place holds this share of the varying text of a host; text counts as varying where this share varies.
+SLOT_SHARE, VARYING_SHARE = 0.8, 0.5
+ALL_HOSTS, ELSEWHERE = "*", "?"
 
 # Fixed values of HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -54,11 +60,13 @@ SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsens
 COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
 TOPIC_WORDS = frozenset("related tags alert legal".split())
 MAIN_TAGS = frozenset(["article", "main"])
+FLOW_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl li figure figcaption".split())
 WHOLE_TAGS = frozenset(["html", "body", "main"])
 MAIN_WORDS = frozenset("article main-content article-body post-content entry-content post-body story-body articlebody maincontent".split())
 
 PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+DIGIT = re.compile(r"\d")
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 
 
@@ -79,7 +87,8 @@ class Node:
         self.parts = self.names | set(re.split(r"[^a-z0-9]+", words)) if words else self.names
         self.hidden = bool(HIDDEN.search(attributes))
         self.side = self.main = False
-        label = f"{tag}.{'.'.join(sorted(self.parts - {''}))}" if words else tag
+        # Numbers in a class or id are those of one page.
+        label = ".".join([tag, *sorted(x for x in self.parts if x and not DIGIT.search(x))]) if words else tag
         self.place = f"{parent.place}/{label}" if parent is not None else label
 
     def settle(self, wrappers: set[Node]) -> None:
@@ -218,16 +227,16 @@ def occurrences(pages: DataFrame) -> DataFrame:
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, places, constants): the nested valid classes of each host, and of all hosts together as ``*``."""
+    """(host, n_pages, places, constants, slots): the nested valid classes of each host, and of all hosts together as ``*``."""
     seen = occurrences(pages)
     own = seen.groupBy("host", "kind", "token").agg(
-        F.first("parent").alias("parent"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("vector"))
+        F.first("parent").alias("parent"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("vector"),
+        (F.min("mark") != F.max("mark")).alias("differ"))
     # Pages are read once for this; what follows works on one row per host and token.
     own = save(own, "places")
     everywhere = own.where("kind = 'place'").groupBy("kind", "token").agg(
         F.first("parent").alias("parent"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("vector").alias("vector"))
-    counted = own.select("host", "kind", "token", "parent", "pages", "total", "vector").unionByName(
-        everywhere.select(F.lit(ALL_HOSTS).alias("host"), "kind", "token", "parent", "pages", "total", "vector"))
+    counted = own.unionByName(everywhere.select(F.lit(ALL_HOSTS).alias("host"), "kind", "token", "parent", "pages", "total", "vector", F.lit(True).alias("differ")))
     n_pages = pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     n_pages = n_pages.unionByName(n_pages.agg(F.sum("n_pages").alias("n_pages")).select(F.lit(ALL_HOSTS).alias("host"), "n_pages"))
     sized = counted.join(n_pages, "host")
@@ -236,37 +245,72 @@ def templates(pages: DataFrame) -> DataFrame:
     grouped = often.groupBy("host", "pages", "vector", "n_pages").agg(
         F.collect_list(F.struct("token", "parent")).alias("members"))
     held = grouped.groupBy("host", "n_pages").agg(F.collect_list("members").alias("classes"))
-    constants = sized.where((F.col("kind") == "text") & (F.col("pages") >= TEXT_PAGES) & (F.col("pages") >= F.col("n_pages") * TEXT_SHARE))
-    constants = constants.groupBy("host").agg(F.collect_set("token").alias("constants"))  # at most 1 / TEXT_SHARE texts per block of a page
+    place = F.substring_index("token", "\n", 1)
+    recurs = (F.col("pages") >= TEXT_PAGES) & (F.col("pages") >= F.col("n_pages") * TEXT_SHARE)
+    on_all = (F.col("n_pages") < TEXT_PAGES) & (F.col("pages") == F.col("n_pages")) & F.col("differ")
+    texts = sized.where("kind = 'text'").select(
+        "host", "token", place.alias("place"), (F.col("total") * (F.length("token") - F.length(place) - 1)).alias("chars"), recurs.alias("recurs"), on_all.alias("on_all"))
+    # Few pages tell template and article apart only if most of their text varies.
+    telling = texts.groupBy("host").agg((F.sum(F.when(F.col("on_all"), 0).otherwise(F.col("chars"))) >= VARYING_SHARE * F.sum("chars")).alias("telling"))
+    marked = texts.join(telling, "host").select("host", "token", "place", "chars", (F.col("recurs") | F.col("on_all") & F.col("telling")).alias("constant"))
+    constants = marked.where("constant").groupBy("host").agg(F.collect_set("token").alias("constants"))  # at most 1 / TEXT_SHARE texts per block of a page
+    # Varying text per place of the template, as "characters, tab, place"; all that is in other places is one slot.
+    varying = marked.where("NOT constant").groupBy("host", "place").agg(F.sum("chars").alias("chars"))
+    known = often.select("host", F.col("token").alias("place"), F.lit(True).alias("known"))
+    named = varying.join(known, ["host", "place"], "left").select(
+        "host", F.when(F.col("known") | (F.col("place") == ""), F.col("place")).otherwise(ELSEWHERE).alias("place"), "chars")
+    slots = named.groupBy("host", "place").agg(F.sum("chars").alias("chars")).groupBy("host").agg(
+        F.sort_array(F.collect_list(F.concat_ws("\t", "chars", "place"))).alias("slots"))
     # Nesting: a class stays if every place in it has its enclosing place in a class of the template, or at the top.
     every = F.flatten("classes")
     names = F.transform(every, lambda m: m["token"])
     nested = F.filter("classes", lambda c: F.forall(c, lambda m: (m["parent"] == "") | F.array_contains(names, m["parent"])))
     return held.select("host", "n_pages", F.flatten(F.transform(nested, lambda c: F.transform(c, lambda m: m["token"]))).alias("places")).join(
-        constants, "host", "left")
+        constants, "host", "left").join(slots, "host", "left")
 
 
-def article(html: str | None, places: frozenset, constants: frozenset) -> str:
-    """Main text of a page, given the template of its host."""
-    if not html:
-        return ""
-    slots = blocks(read(html)[1])
-    # Slots of the main element that the template names; a page without it is read by what its places are not.
-    chosen = [t for t, node in slots if node.main and not node.side and _inside(node.place, places)]
-    if not chosen:
-        chosen = [t for t, node in slots if node.main and not node.side]
-    if not chosen:
-        chosen = [t for t, node in slots if not node.side and f"{node.place}\n{t}" not in constants]
-    return " ".join(chosen)
+def article_place(places: frozenset, slots: tuple[str, ...]) -> str:
+    """Place that holds the varying text of a host, given how much is where."""
+    held = [(place, int(chars)) for chars, place in (x.split("\t", 1) for x in slots)]
+    least, at = SLOT_SHARE * sum(n for _, n in held), ""
+    while True:
+        below: Counter = Counter()
+        for place, n in held:
+            if place.startswith(at + "/"):
+                below["/".join(place.split("/")[: at.count("/") + 2])] += n
+        child, n = below.most_common(1)[0] if below else ("", 0)
+        beside = [p[len(at) :] for p, _ in held if (p == at or p.startswith(at + "/")) and not f"{p}/".startswith(child + "/")]
+        if not child or n < least or child not in places or _tags(child[len(at) :]) & FLOW_TAGS or any(not p or _tags(p) & FLOW_TAGS for p in beside):
+            return at
+        at = child
+
 
+def _tags(place: str) -> set[str]:
+    return {label.partition(".")[0] for label in place.split("/")}
 
-def _inside(place: str, places: frozenset) -> bool:
-    """Whether an element that encloses the slot is part of the template."""
-    while place:
-        if place in places:
-            return True
-        place = place.rpartition("/")[0]
-    return False
+
+def article(html: str | None, places: frozenset, constants: frozenset, at: str = "", own: bool = False) -> str:
+    """Main text of a page, given the template of its host and the article's place; ``own`` if the host has it for itself."""
+    if not html:
+        return ""
+    slots = [(t, node) for t, node in blocks(read(html)[1]) if not node.side]
+    named = [t for t, node in slots if node.main]
+    if named and (not own or any(_in_template(node, places) for _, node in slots if node.main)):
+        return " ".join(named)
+    free = [(t, node) for t, node in slots if node.main or f"{node.place}\n{t}" not in constants]
+    chosen = [(t, node) for t, node in free if node.main or f"{node.place}/".startswith(at + "/")]
+    size = lambda pairs: sum(len(t) for t, node in pairs if not node.main)
+    if 2 * size(chosen) < size(free):
+        chosen = free
+    # A main element that the template does not have is all of the article only if it outweighs the rest.
+    if named and sum(map(len, named)) >= size(chosen):
+        return " ".join(named)
+    return " ".join(t for t, _ in chosen)
+
+
+def _in_template(node: Node, places: frozenset) -> bool:
+    """Whether a main element that encloses the slot is part of the template."""
+    return any(x.main and x.place in places for x in above(node) if x.tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(x.parts))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -274,22 +318,24 @@ def extract(pages: DataFrame) -> DataFrame:
     found = save(templates(pages), "templates")
     shared = {r["host"]: r for r in found.where(F.col("host") == ALL_HOSTS).collect()}.get(ALL_HOSTS)  # one row
     fallback = frozenset(shared["places"]) if shared else frozenset()
-    own = found.where((F.col("host") != ALL_HOSTS) & (F.col("n_pages") >= MIN_PAGES)).select("host", "places", "constants")
+    own = found.where((F.col("host") != ALL_HOSTS) & (F.col("n_pages") >= 2)).select(
+        "host", F.when(F.col("n_pages") >= MIN_PAGES, F.col("places")).alias("places"), "constants", "slots")
     joined = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(own, "host", "left").select(
-        "page_id", "url", "html", "places", "constants")
+        "page_id", "url", "html", "places", "constants", "slots")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sets: dict[tuple, frozenset] = {}
+        sets: dict[tuple, tuple] = {}
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = []
-                for html, places, constants in zip(*(part.column(c).to_pylist() for c in ("html", "places", "constants")), strict=True):
-                    key = tuple(places or ()), tuple(constants or ())
+                for html, *known in zip(*(part.column(c).to_pylist() for c in ("html", "places", "constants", "slots")), strict=True):
+                    key = tuple(tuple(x or ()) for x in known)
                     if key not in sets:
                         if len(sets) > 500:
                             sets.clear()
-                        sets[key] = (frozenset(key[0]) or fallback, frozenset(key[1]))
+                        template = frozenset(key[0]) or fallback
+                        sets[key] = (template, frozenset(key[1]), article_place(template, key[2]), bool(key[0]))
                     texts.append(article(html, *sets[key]))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 

@@ -46,3 +46,24 @@ def test_wrapper_classes_do_not_hide_the_article():
     for word in ("related", "tags", "alert", "legal"):
         page = f"<article><p>First.</p><div class='{word}'><p>Second.</p></div><div class='share-bar'>Share</div></article>"
         assert main_text.article(page, frozenset(), frozenset()) == "First. Second."
+
+
+NEUTRAL = """<html><body><div class=a><div class=b>Home Contact Imprint</div><div class=c><h2>Story {n}</h2><div>{text}</div><p>It ends.{n}</p></div>
+<div class=d>Seen {n} times</div><div class=e>All rights reserved</div></div></body></html>"""
+
+
+def test_template_decides_on_hosts_of_few_pages(spark):
+    text = {n: " ".join(f"word{n}x{i}" for i in range(40)) for n in range(7)}
+    rows = [(10 * k + n, f"http://h{k}.example.com/{n}", NEUTRAL.format(n=n, text=text[n])) for k in range(2, 8) for n in range(k)]
+    # Copies of one page, and pages with the article in common, tell nothing: no text is lost.
+    rows += [(90 + n, "http://same.example.com/", NEUTRAL.format(n=1, text=text[1])) for n in range(2)]
+    rows += [(95 + n, f"http://near.example.com/{n}", NEUTRAL.format(n=n, text=text[1])) for n in range(2)]
+    # A page with an article element that the host's template does not have.
+    rows += [(77, "http://h7.example.com/7", NEUTRAL.format(n=7, text=text[3] + "<article>Teaser</article>"))]
+    by = {r["page_id"]: r["text"] for r in main_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(2, 8):
+        for n in range(k):
+            assert by[10 * k + n] == f"Story {n} {text[n]} It ends.{n}"
+    for i in (90, 91, 95, 96):
+        assert text[1] in by[i]
+    assert by[77] == f"Story 7 {text[3]} Teaser It ends.7"
