@@ -2,7 +2,8 @@
 
 Restoring. A word that mixes letters with look-alike characters, repeats a letter three times or more, or is spelled out
 ("1d10t", "st000pid", "i-d-i-o-t") spans a lattice: each character offers the letters it may stand for, a repeated
-character also offers fewer copies, a mark between letters also offers nothing. The Viterbi path under a channel cost
+character also offers fewer copies, a mark between letters or at an end also offers nothing, one of several stars offers
+any letter. Only exclamation marks at the end are punctuation, where nothing but a word is before them. The Viterbi path under a channel cost
 and a character trigram model is the restored word. The trigram counts are taken from all words of the corpus.
 
 Scoring. Features of a text are its restored words and their prefixes, each at three levels (one, two, four or more
@@ -47,9 +48,12 @@ LETTERS = "abcdefghijklmnopqrstuvwxyz" + "".join(chr(c) for c in range(0xDF, 0x1
 KNOWN = frozenset(LETTERS)
 SUBSTITUTE, DROP, SQUEEZE = 1.5, 0.7, 0.4  # channel costs in nats
 EDGE = "^"
+# A star of several in a word of at most this length stands for any letter.
+WILD, ANY, CENSORED_LENGTH = "\0", "abcdefghijklmnopqrstuvwxyz", 24
 
 STRIP = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$!|+(<*") + "«»„“”…"
 SPELLED = re.compile(r"(?<!\S)(?:[^\s\d] ){2,}[^\s\d](?!\S)")
+MARKS = re.compile(r"(?<=[^\W\d_]{3})([|+(<*$@])\1{2,}\Z")
 TRIPLE = re.compile(r"(.)\1\1")
 
 
@@ -73,6 +77,8 @@ class CharacterModel:
         """Negative log probability of the third letter after the first two."""
         got = self.memo.get(gram)
         if got is None:
+            if len(self.memo) > MEMO_ENTRIES:
+                self.memo.clear()
             p1 = (self.one.get(gram[2], 0) + 0.5) / (self.total + 100)
             p2 = (self.pair.get(gram[1:], 0) + 5 * p1) / (self.start.get(gram[1], 0) + 5)
             p3 = (self.three.get(gram, 0) + 5 * p2) / (self.two.get(gram[:2], 0) + 5)
@@ -116,25 +122,29 @@ def obscured(token: str) -> bool:
     """Whether letters are mixed with other characters, or repeat."""
     letters = sum(c.isalpha() for c in token)
     others = len(token) - letters
-    return letters > 0 and (others <= 2 * letters) and (others > 0 or bool(TRIPLE.search(token)))
+    censored = others == token.count("*") and others <= 3 * letters
+    return letters > 0 and (others <= 2 * letters or censored) and (others > 0 or bool(TRIPLE.search(token)))
 
 
 def restore(token: str, model: CharacterModel) -> str:
     """Most likely word behind a token."""
     # Runs of one character become one lattice position with a choice of copies.
     runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
+    if len(token) <= CENSORED_LENGTH and "**" in token:
+        # Several stars stand for as many letters.
+        runs = [x for c, n in runs for x in ([(WILD, 1)] * n if c == "*" and n > 1 else [(c, n)])]
     paths: dict[str, tuple[float, str]] = {EDGE + EDGE: (0.0, "")}
     for i, (c, n) in enumerate(runs):
         offers: list[tuple[str, float]] = []
-        stands = [(c, 0.0)] if c in KNOWN else []
-        stands += [(x, SUBSTITUTE) for x in LOOKS_LIKE.get(c, "")]
+        stands = [(c, 0.0)] if c in KNOWN or c.isalpha() else []  # a letter of another script stands for itself
+        stands += [(x, SUBSTITUTE) for x in (ANY if c == WILD else LOOKS_LIKE.get(c, ""))]
         for x, cost in stands:
             offers.append((x * n, cost)) if n <= 2 else None
             if n >= 2:
                 offers.append((x, cost + (SQUEEZE if n > 2 else 2 * SQUEEZE)))
             if n > 2:
                 offers.append((x * 2, cost + 2 * SQUEEZE))
-        if c not in KNOWN and (c in SEPARATORS or c in LOOKS_LIKE and i in (0, len(runs) - 1) or not stands):
+        if not c.isalpha() and (c == WILD or c in SEPARATORS or c in LOOKS_LIKE and i in (0, len(runs) - 1) or not stands):
             offers.append(("", DROP * min(n, 2)))
         if not offers:
             offers = [("", DROP)]
@@ -161,8 +171,11 @@ class Reader:
         core = token.strip(STRIP)
         if plain(core):
             return core
-        tail = core.rstrip("!|+(<*$@")  # marks at the end are rather punctuation
-        return tail if plain(tail) else restore(core, self.model) if obscured(core) else ""
+        if not obscured(core):
+            return ""
+        # Exclamation marks at the end are rather punctuation, as are three or more of a mark after a longer word.
+        tail = MARKS.sub("", core).rstrip("!")
+        return tail if plain(tail) else restore(core, self.model)
 
     def words(self, text: str | None) -> set[str]:
         """Different restored words of a text, with what spelled-out letters join to."""

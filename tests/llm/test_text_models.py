@@ -110,3 +110,12 @@ def test_valid_values_stay_valid_beside_other_numbers(kind, value):
         assert got == kind and text[a:b] == value and new[:a] == text[:a] and new[b:] == text[b:], text
         assert new[a:b] != value and pii.valid(kind, new[a:b]) and pii.pseudonym(kind, new[a:b], back=True) == value
     assert pii.redact("12 2021-02-28 3456")[1] == [("date", 3, 13)]
+
+
+def test_obscured_ends_and_other_scripts():
+    counts = toxicity.count_trigrams(toxicity.Counter({w: 50 for w in [*WORDS, "ass", "dumbass", "shit", "fuck", "this", "class"]}))
+    reader = toxicity.Reader(toxicity.CharacterModel(counts))
+    for written, meant in [("a$$", "ass"), ("dumba$$", "dumbass"), ("sh!+", "shit"), ("f***", "fuck"), ("sh**", "shit"), ("garden!!!", "garden"), ("garden+", "garden"),
+                           ("garden**", "garden"), ("**garden**", "garden"), ("garden(", "garden"), ("приветттт", "привет"), ("1d10t!", "idiot")]:
+        assert reader.word(written) == meant, written
+    assert reader.word("a" + "*" * 100_000) == "" and reader.word("***") == ""
