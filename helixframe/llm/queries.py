@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from helixframe.llm import boilerplate, bpe, main_text, mixing, neardup, neighbours, pii, rules, toxicity, warc
+from helixframe.llm import boilerplate, bpe, main_text, mixing, neardup, neighbours, pii, repeats, rules, toxicity, warc
 from helixframe.llm.common import table
 from helixframe.session import scratch_path
 
@@ -65,6 +65,11 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -73,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_nearest_vectors, op2_line_dedup, op3_quality_rules, op4_main_text, op5_source_mix, op6_bpe, op7_warc, op8_pii,
-    op9_toxicity, op10_near_duplicates, pipeline)}
+    op9_toxicity, op10_near_duplicates, op11_repeated_passages, pipeline)}
 
 WHITE = r"[\x20\x09-\x0D]"
 NORMAL_LINE = rf"trim(regexp_replace(lower(line), '{WHITE}+', ' ', 'g'), ' ')"
