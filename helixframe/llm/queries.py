@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from helixframe.llm import boilerplate, bpe, main_text, mixing, neardup, neighbours, pii, repeats, rules, toxicity, warc
+from helixframe.llm import boilerplate, bpe, conversations, main_text, mixing, neardup, neighbours, pii, repeats, rules, spelling, toxicity, warc
 from helixframe.llm.common import table
 from helixframe.session import scratch_path
 
@@ -70,6 +70,14 @@ def op11_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(conversations.damage(table(spark, sf_dir, "conversations")))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -78,7 +86,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_nearest_vectors, op2_line_dedup, op3_quality_rules, op4_main_text, op5_source_mix, op6_bpe, op7_warc, op8_pii,
-    op9_toxicity, op10_near_duplicates, op11_repeated_passages, pipeline)}
+    op9_toxicity, op10_near_duplicates, op11_repeated_passages,
+    op12_conversation_repair, op13_spelling_variants, pipeline)}
 
 WHITE = r"[\x20\x09-\x0D]"
 NORMAL_LINE = rf"trim(regexp_replace(lower(line), '{WHITE}+', ' ', 'g'), ' ')"
