@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 from collections.abc import Iterator
+from functools import cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
@@ -59,6 +60,31 @@ def damage(conversations: DataFrame) -> DataFrame:
     ).drop("copy")
 
 
+@cache
+def moves(initial: str, must_go: bool, extra: int) -> list[tuple[int, int, int, str]]:
+    """Cheapest edits of one row from each state to each other: source, target, cost, inserts and edit."""
+    found: dict[tuple[int, int], tuple[int, str]] = {}
+    for source in range(4):
+        state = source
+        for inserts in range(3):
+            offers = [("D", DELETE_COST, state)]
+            if not must_go:
+                needed = NEXT[state]
+                target = USER if needed == "u" else ASSISTANT
+                offers.append(("R", REROLE_COST + extra, target))
+                if initial == needed:
+                    offers.append(("K", extra, target))
+                elif initial == "s" and state == NONE:
+                    offers.append(("K", extra, SYSTEM))
+                elif initial == "":
+                    offers.append(("K", extra, state))
+            for op, price, target in offers:
+                offer = (price + INSERT_COST * inserts, "I" * inserts + op)
+                found[source, target] = min(offer, found.get((source, target), offer))
+            state = USER if NEXT[state] == "u" else ASSISTANT
+    return [(source, target, *offer) for (source, target), offer in found.items()]
+
+
 class Repair:
     """Cheapest repair of one conversation, fed row by row."""
 
@@ -100,36 +126,19 @@ class Repair:
             extra = TRUNCATED_COST
         # Candidates per target state: cost, order of the script so far, edits, source state, inserts.
         best: list[tuple | None] = [None] * 4
-        for source in range(4):
-            if self.cost[source] is None:
-                continue
-            cost, state = self.cost[source], source
-            for inserts in range(3):
-                ahead = "I" * inserts
-                offers = [("D", DELETE_COST, state)]
-                if not must_go:
-                    needed = NEXT[state]
-                    target = USER if needed == "u" else ASSISTANT
-                    offers.append(("R", REROLE_COST + extra, target))
-                    if initial == needed:
-                        offers.append(("K", extra, target))
-                    elif initial == "s" and state == NONE:
-                        offers.append(("K", extra, SYSTEM))
-                    elif initial == "":
-                        offers.append(("K", extra, state))
-                for op, price, target in offers:
-                    offer = (cost + price, self.order[source], ahead + op, source, inserts)
-                    if best[target] is None or offer < best[target]:
-                        best[target] = offer
-                state = USER if NEXT[state] == "u" else ASSISTANT
-                cost += INSERT_COST
+        cost, order = self.cost, self.order
+        for source, target, price, edits in moves(initial if initial in "uas" else "other", must_go, extra):
+            if cost[source] is not None:
+                offer = (cost[source] + price, order[source], edits, source)
+                if best[target] is None or offer < best[target]:
+                    best[target] = offer
         packed = 0
         hashes, begun = [None] * 4, [False] * 4
         for target, offer in enumerate(best):
             if offer is None:
                 continue
-            _, _, edits, source, inserts = offer
-            op = edits[-1]
+            _, _, edits, source = offer
+            inserts, op = len(edits) - 1, edits[-1]
             packed |= (source | inserts << 2 | OPS.index(op) << 4) << (6 * target)
             hashes[target], begun[target] = self._written(source, inserts, op, role, text)
         self.steps.write(packed.to_bytes(3, "little"))
