@@ -5,7 +5,7 @@ there, so a pre-token that is itself a vocabulary entry costs one probe. Tier tw
 linked list, and a heap gives the adjacent pair of lowest rank (leftmost first) until no pair is in the vocabulary.
 Both tiers see each distinct pre-token of a batch once; a bounded memo keeps recent results.
 
-Null and empty texts have no ids and decode to no bytes. Repeated rows are encoded alike. Columns of the input that
+Null and empty texts have no ids and decode to no bytes; a very long word takes n log n steps. An empty table gives no rows. Repeated rows are encoded alike. Columns of the input that
 carry the name of an output column are replaced.
 """
 
@@ -15,15 +15,16 @@ import base64
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from hashlib import sha256
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES, MEMO_LENGTH = 60_000, 64  # a memo lives as long as its task and keeps no longer words
 CHUNK_CHARS = 2_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,24 +49,27 @@ class PerfectHash:
         ids, first, sizes = np.unique(buckets[order], return_index=True, return_counts=True)
         self.displacement = np.zeros(n, dtype=np.int64)
         self.slot_key = np.full(n, -1, dtype=np.int64)
-        singles = []
-        for at in np.argsort(-sizes, kind="stable"):
-            members = order[first[at] : first[at] + sizes[at]]
-            if sizes[at] == 1:
-                singles.append((ids[at], members[0]))
-                continue
-            displacement = 1
-            while True:
-                slots = self._slot(hashes[members], displacement)
-                if len(set(slots.tolist())) == len(slots) and (self.slot_key[slots] < 0).all():
-                    break
-                displacement += 1
-            self.displacement[ids[at]] = displacement
-            self.slot_key[slots] = members
+        # Buckets of one size try their next displacement together, the largest first; of two that want a slot one waits.
+        for size in range(int(sizes.max(initial=0)), 1, -1):
+            at = np.flatnonzero(sizes == size)
+            members = order[first[at][:, None] + np.arange(size)]
+            tries = np.ones(len(at), dtype=np.int64)
+            left = np.arange(len(at))
+            while len(left):
+                slots = self._slot(hashes[members[left]], tries[left][:, None])
+                ordered = np.sort(slots, axis=1)
+                fits = (ordered[:, 1:] > ordered[:, :-1]).all(axis=1) & (self.slot_key[slots] < 0).all(axis=1)
+                owner = np.full(n, len(left), dtype=np.int64)
+                np.minimum.at(owner, slots[fits].ravel(), np.repeat(np.flatnonzero(fits), size))
+                wins = fits & (owner[slots] == np.arange(len(left))[:, None]).all(axis=1)
+                self.slot_key[slots[wins]] = members[left[wins]]
+                self.displacement[ids[at[left[wins]]]] = tries[left[wins]]
+                tries[left[~fits]] += 1
+                left = left[~wins]
+        single = np.flatnonzero(sizes == 1)
         free = np.flatnonzero(self.slot_key < 0)
-        for slot, (bucket, key) in zip(free, singles, strict=True):
-            self.displacement[bucket] = -int(slot) - 1
-            self.slot_key[slot] = key
+        self.displacement[ids[single]] = -free - 1
+        self.slot_key[free] = order[first[single]]
 
     @staticmethod
     def hashes(keys: list[bytes]) -> np.ndarray:
@@ -110,17 +114,27 @@ class Encoder:
                 self.older, self.memo = self.memo, {}
                 fresh = set(words)
             older = self.older
-            kept = {w: older[w] for w in fresh if w in older}
-            self.memo.update(kept)
-            self._resolve([w for w in fresh if w not in kept])
+            known = {w: older[w] for w in fresh if w in older}
+            known |= self._resolve([w for w in fresh if w not in known])
+            self.memo.update((w, ids) for w, ids in known.items() if len(w) <= MEMO_LENGTH)
+            long = {w: ids for w, ids in known.items() if len(w) > MEMO_LENGTH}
+            if long:
+                memo = self.memo
+                return list(chain.from_iterable(long[w] if w in long else memo[w] for w in words))
         return list(chain.from_iterable(map(self.memo.__getitem__, words)))
 
-    def _resolve(self, words: list[str]) -> None:
+    def _resolve(self, words: list[str]) -> dict[str, tuple[int, ...]]:
         if not words:
-            return
+            return {}
         keys = [w.encode() for w in words]
-        for word, key, at in zip(words, keys, self.table.candidates(keys).tolist(), strict=True):
-            self.memo[word] = (int(self.ids[at]),) if self.tokens[at] == key else self.merge(key)
+        return {
+            word: (int(self.ids[at]),) if self.tokens[at] == key else self.merge(key)
+            for word, key, at in zip(words, keys, self.table.candidates(keys).tolist(), strict=True)
+        }
+
+    def forget(self) -> None:
+        """Drop the memos."""
+        self.memo, self.older = {}, {}
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token that is no vocabulary entry."""
@@ -164,27 +178,40 @@ def _replaced(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([f for f in df.schema.fields if f.name != name] + [T.StructField(name, kind)])
 
 
-def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids") -> DataFrame:
-    """Add the ids of each text as an array column."""
+def _hashes(coder: Encoder, ids: list[int]) -> tuple[str, str]:
+    """SHA-256 of the ids joined by spaces and of the bytes they decode to."""
+    return sha256(" ".join(map(str, ids)).encode()).hexdigest(), sha256(coder.decode(ids)).hexdigest()
+
+
+def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", hashes: bool = False) -> DataFrame:
+    """Add the ids of each text as an array column; with ``hashes`` also ids_sha256 and decoded_sha256 of the round trip."""
+    added = [(out, T.ArrayType(T.IntegerType()))] + [(n, T.StringType()) for n in ("ids_sha256", "decoded_sha256") if hashes]
+    replaced = [n for n, _ in added]
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path, pattern)
         for batch in batches:
-            texts, start, ids, offsets, taken = batch.column(text), 0, [], [0], 0
+            texts, start, ids, offsets, taken, shas = batch.column(text), 0, [], [0], 0, []
             for i in range(batch.num_rows):
                 value = texts[i].as_py()
-                ids.extend(coder.encode(value))
+                found = coder.encode(value)
+                ids.extend(found)
                 offsets.append(len(ids))
                 taken += len(value or "")
+                if hashes:
+                    shas.append(_hashes(coder, found))
                 if taken >= CHUNK_CHARS or i + 1 == batch.num_rows:
-                    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))
+                    new = [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.array(ids, dtype=np.int32)))]
+                    new += [pa.array(x, pa.string()) for x in zip(*shas, strict=True)]
                     part = batch.slice(start, i + 1 - start)
-                    names = [n for n in part.schema.names if n != out]
-                    yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + [lists], names + [out])
-                    start, ids, offsets, taken = i + 1, [], [0], 0
+                    names = [n for n in part.schema.names if n not in replaced]
+                    yield pa.RecordBatch.from_arrays([part.column(n) for n in names] + new, names + replaced)
+                    start, ids, offsets, taken, shas = i + 1, [], [0], 0, []
+        coder.forget()
 
-    kept = [f.name for f in df.schema.fields if f.name != out or f.name == text]
-    return df.select(kept).mapInArrow(rows, _replaced(df, out, T.ArrayType(T.IntegerType())))
+    kept = [f.name for f in df.schema.fields if f.name not in replaced or f.name == text]
+    fields = [f for f in df.schema.fields if f.name not in replaced] + [T.StructField(n, kind) for n, kind in added]
+    return df.select(kept).mapInArrow(rows, T.StructType(fields))
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -203,10 +230,20 @@ def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str =
     return df.select(kept).mapInArrow(rows, _replaced(df, out, T.BinaryType()))
 
 
-def digests(encoded: DataFrame) -> DataFrame:
-    """doc_id, number of ids, and the hashes of the ids and of the decoded bytes."""
-    return encoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"),
-    )
+def digests(df: DataFrame, path: str, pattern: str) -> DataFrame:
+    """doc_id, number of ids, and the hashes of the ids and of the bytes they decode to, in one pass over the texts."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = encoder(path, pattern)
+        for batch in batches:
+            found: tuple[list, ...] = ([], [], [])
+            for text in batch.column("text"):
+                ids = coder.encode(text.as_py())
+                for column, value in zip(found, (len(ids), *_hashes(coder, ids)), strict=True):
+                    column.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(x, t) for x, t in zip(found, (pa.int64(), pa.string(), pa.string()), strict=True))],
+                ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        coder.forget()
+
+    return df.select("doc_id", "text").mapInArrow(rows, f"doc_id {dict(df.dtypes)['doc_id']}, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -40,8 +40,7 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, pattern = vocabulary()
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, pattern).select("doc_id", "ids")
-    return bpe.digests(bpe.decode(encoded, path, pattern))
+    return bpe.digests(table(spark, sf_dir, "documents"), path, pattern)
 
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -41,7 +41,7 @@ def test_digests(spark, reference):
     rows = [(i, t, 7) for i, t in enumerate(TEXTS)] + [(None, "no id", 7), (1, "", 7)]
     df = spark.createDataFrame(rows, "doc_id long, text string, ids int")  # ids clashes with the output
     path, pattern = vocabulary()
-    got = bpe.digests(bpe.decode(bpe.encode(df, path, pattern), path, pattern)).collect()
+    got = bpe.digests(df, path, pattern).collect()
     want = []
     for i, t, _ in rows:
         ids = reference.encode_ordinary(t or "")
