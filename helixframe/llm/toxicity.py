@@ -3,12 +3,17 @@
 Restoring. A word that mixes letters with look-alike characters, repeats a letter three times or more, or is spelled out
 ("1d10t", "st000pid", "i-d-i-o-t") spans a lattice: each character offers the letters it may stand for, a repeated
 character also offers fewer copies, a mark between letters or at an end also offers nothing, one of several stars offers
-any letter. Only exclamation marks at the end are punctuation, where nothing but a word is before them. The Viterbi path under a channel cost
-and a character trigram model is the restored word. The trigram counts are taken from all words of the corpus.
+any letter. Only exclamation marks at the end are punctuation, where nothing but a word is before them, and stars behind a
+mark that is no letter ("word.***"). The Viterbi path under a channel cost and a character trigram model is the restored
+word. The trigram counts are taken from all words of the corpus.
+
+What counts as a disguised word is set by parameters: at most ``OTHERS_PER_LETTER`` other characters per letter, or, if all
+of them are stars, ``STARS_PER_LETTER``; several stars stand for as many letters in tokens of at most ``CENSORED_LENGTH``
+characters, and for one letter or nothing in longer ones. Other tokens are numbers, rules and the like, and are no words.
 
 Scoring. Features of a text are its restored words and their prefixes, each at three levels (one, two, four or more
-different words), and those of toxic use are chosen and weighed by a logistic regression. It is fitted on at most
-``FIT_ROWS`` labelled rows, chosen by a hash of the id; everything else, trigram counts and scores, covers all rows.
+different words), and those of toxic use, at most ``MAX_FEATURES``, are chosen and weighed by a logistic regression. It is
+fitted on about ``FIT_ROWS`` labelled rows, chosen by a hash of the id; everything else, trigram counts and scores, covers all rows.
 Labels only enter from rows whose crc32(doc_id) mod 4 is not 2. Language, source and id are no features.
 
 Null and empty texts get the score of a text without features. A null doc_id is not held out and has no label; when a
@@ -36,7 +41,8 @@ MIN_TOXIC = 3
 PREFIXES = (3, 4, 5, 6, 7)
 LEVELS = (1, 2, 4)
 CUT = 0.3
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES, MEMO_LENGTH = 100_000, 64  # a memo lives as long as its task and keeps no longer words
+OTHERS_PER_LETTER, STARS_PER_LETTER = 2, 3
 
 # Letters that a character may stand for.
 LOOKS_LIKE = {
@@ -54,6 +60,7 @@ WILD, ANY, CENSORED_LENGTH = "\0", "abcdefghijklmnopqrstuvwxyz", 24
 STRIP = "".join(c for c in map(chr, range(33, 127)) if not c.isalnum() and c not in "@$!|+(<*") + "«»„“”…"
 SPELLED = re.compile(r"(?<!\S)(?:[^\s\d] ){2,}[^\s\d](?!\S)")
 MARKS = re.compile(r"(?<=[^\W\d_]{3})([|+(<*$@])\1{2,}\Z")
+TRAILING_STARS = re.compile(r"(?<=[^\w*])\*{2,}\Z")
 TRIPLE = re.compile(r"(.)\1\1")
 
 
@@ -122,18 +129,18 @@ def obscured(token: str) -> bool:
     """Whether letters are mixed with other characters, or repeat."""
     letters = sum(c.isalpha() for c in token)
     others = len(token) - letters
-    censored = others == token.count("*") and others <= 3 * letters
-    return letters > 0 and (others <= 2 * letters or censored) and (others > 0 or bool(TRIPLE.search(token)))
+    censored = others == token.count("*") and others <= STARS_PER_LETTER * letters
+    return letters > 0 and (others <= OTHERS_PER_LETTER * letters or censored) and (others > 0 or bool(TRIPLE.search(token)))
 
 
-def restore(token: str, model: CharacterModel) -> str:
-    """Most likely word behind a token."""
-    # Runs of one character become one lattice position with a choice of copies.
+def lattice(token: str) -> list[list[tuple[str, float]]]:
+    """Per position of a token what it may stand for: letters and channel cost."""
+    # Runs of one character become one position with a choice of copies.
     runs = [(m[0][0], len(m[0])) for m in re.finditer(r"(.)\1*", token, re.S)]
     if len(token) <= CENSORED_LENGTH and "**" in token:
         # Several stars stand for as many letters.
         runs = [x for c, n in runs for x in ([(WILD, 1)] * n if c == "*" and n > 1 else [(c, n)])]
-    paths: dict[str, tuple[float, str]] = {EDGE + EDGE: (0.0, "")}
+    positions = []
     for i, (c, n) in enumerate(runs):
         offers: list[tuple[str, float]] = []
         stands = [(c, 0.0)] if c in KNOWN or c.isalpha() else []  # a letter of another script stands for itself
@@ -146,8 +153,14 @@ def restore(token: str, model: CharacterModel) -> str:
                 offers.append((x * 2, cost + 2 * SQUEEZE))
         if not c.isalpha() and (c == WILD or c in SEPARATORS or c in LOOKS_LIKE and i in (0, len(runs) - 1) or not stands):
             offers.append(("", DROP * min(n, 2)))
-        if not offers:
-            offers = [("", DROP)]
+        positions.append(offers or [("", DROP)])
+    return positions
+
+
+def restore(token: str, model: CharacterModel) -> str:
+    """Most likely word behind a token."""
+    paths: dict[str, tuple[float, str]] = {EDGE + EDGE: (0.0, "")}
+    for offers in lattice(token):
         ahead: dict[str, tuple[float, str]] = {}
         for state, (cost, word) in paths.items():
             for letters, extra in offers:
@@ -169,6 +182,9 @@ class Reader:
 
     def word(self, token: str) -> str:
         core = token.strip(STRIP)
+        if plain(core):
+            return core
+        core = TRAILING_STARS.sub("", core).strip(STRIP)
         if plain(core):
             return core
         if not obscured(core):
@@ -181,11 +197,16 @@ class Reader:
         """Different restored words of a text, with what spelled-out letters join to."""
         low = (text or "").lower()
         tokens = set(low.split())
-        if len(self.memo) > MEMO_ENTRIES:
-            self.memo.clear()
-        for token in tokens.difference(self.memo):
-            self.memo[token] = self.word(token)
-        found = set(map(self.memo.__getitem__, tokens))
+        memo = self.memo
+        if len(memo) > MEMO_ENTRIES:
+            memo.clear()
+        found, fresh = set(), tokens.difference(memo)
+        for token in fresh:
+            word = self.word(token)
+            found.add(word)
+            if len(token) <= MEMO_LENGTH:
+                memo[token] = word
+        found.update(map(memo.__getitem__, tokens - fresh))
         for m in SPELLED.finditer(low):
             letters = m[0].replace(" ", "")
             found.add(letters if plain(letters) else restore(letters, self.model))
@@ -234,26 +255,31 @@ class Scorer:
     def __init__(self, counts: dict[str, int], features: list[tuple[str, int]], weights: np.ndarray, bias: float):
         self.counts, self.features, self.weights, self.bias = counts, features, weights, bias
 
-    def open(self) -> None:
-        self.reader = Reader(CharacterModel(self.counts))
-        self.index = {f: i for i, f in enumerate(self.features)}
-        self.bases = {f for f, _ in self.features}
+
+class Scoring:
+    """A scorer at work in one task; its memos end with the task."""
+
+    def __init__(self, scorer: Scorer):
+        self.weights, self.bias = scorer.weights, scorer.bias
+        self.reader = Reader(CharacterModel(scorer.counts))
+        self.index = {f: i for i, f in enumerate(scorer.features)}
+        self.bases = {f for f, _ in scorer.features}
         self.memo: dict[str, tuple[str, ...]] = {}
-        self.telling: set[str] = set()
 
     def active(self, words: set[str]) -> list[int]:
         """Features that the words of a text have."""
         memo = self.memo
         if len(memo) > MEMO_ENTRIES:
             memo.clear()
-            self.telling.clear()
-        for w in words.difference(memo):
-            memo[w] = tuple(f for f in word_features(w) if f in self.bases)
-            if memo[w]:
-                self.telling.add(w)
         counts: Counter = Counter()
-        for w in words & self.telling:
-            counts.update(memo[w])
+        for w in words:
+            told = memo.get(w)
+            if told is None:
+                told = tuple(f for f in word_features(w) if f in self.bases)
+                if len(w) <= MEMO_LENGTH:
+                    memo[w] = told
+            if told:
+                counts.update(told)
         return [self.index[f] for f in levelled(counts) if f in self.index]
 
     def score(self, text: str | None) -> float:
@@ -295,13 +321,16 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     share = min(1.0, fit_rows / max(1, known.count()))
     # The sample is a hash share of the labels, so its size does not grow with the input.
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30)))
-    sample = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic")
+    if chosen.count() <= 2 * fit_rows:
+        chosen = F.broadcast(chosen)  # ids and labels, bounded by fit_rows
+    sample = save(docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "toxic"), "sample")
+    shared = docs.sparkSession.sparkContext.broadcast(counts)  # bounded: alphabet^3 counts
 
     def extract(rows: DataFrame, wanted: frozenset | None = None) -> DataFrame:
         """Features of each row; only the wanted ones, if given."""
 
         def features_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            reader = Reader(CharacterModel(counts))
+            reader = Reader(CharacterModel(shared.value))
             bases = wanted and {f.rsplit("\t", 1)[0] for f in wanted}
             for frame in frames:
                 out = []
@@ -351,8 +380,7 @@ def score(docs: DataFrame, scorer: Scorer, cut: float = CUT) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(scorer)  # bounded: alphabet^3 counts, MAX_FEATURES weights
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        model.open()
+        model = Scoring(shared.value)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)

@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import pytest
 
@@ -119,3 +120,33 @@ def test_obscured_ends_and_other_scripts():
                            ("garden**", "garden"), ("**garden**", "garden"), ("garden(", "garden"), ("приветттт", "привет"), ("1d10t!", "idiot")]:
         assert reader.word(written) == meant, written
     assert reader.word("a" + "*" * 100_000) == "" and reader.word("***") == ""
+
+
+def test_stars_behind_punctuation_leave_the_word():
+    reader = toxicity.Reader(toxicity.CharacterModel(toxicity.count_trigrams(Counter({"reenthen": 9, "ther": 9, "thantat": 30}))))
+    for written, meant in [("reenthen.***", "reenthen"), ("der.***", "der"), ("le\u00ea,***", "le\u00ea"), ("threeaed.***", "threeaed")]:
+        assert reader.word(written) == meant
+
+
+def test_viterbi_equals_enumeration():
+    import itertools
+    import random
+
+    draw = random.Random(2)
+    words = Counter({"".join(draw.choice("idotsabe") for _ in range(draw.randrange(2, 8))): draw.randrange(1, 40) for _ in range(80)})
+    model = toxicity.CharacterModel(toxicity.count_trigrams(words))
+
+    def cost(path):
+        text = "^^" + "".join(x for x, _ in path) + "^"
+        return sum(c for _, c in path) + sum(model.cost(text[i : i + 3]) for i in range(len(text) - 2))
+
+    for _ in range(150):
+        token = "".join(draw.choice("idota1035$@*.-") * draw.choice((1, 1, 1, 2, 3)) for _ in range(draw.randrange(1, 6)))
+        if token.count("*") > 2:
+            continue
+        best = {}
+        for path in itertools.product(*toxicity.lattice(token)):
+            word = "".join(x for x, _ in path)
+            best[word] = min(cost(path), best.get(word, 1e9))
+        got = toxicity.restore(token, model)
+        assert best[got] <= min(best.values()) + 1e-9, token
