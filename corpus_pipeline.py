@@ -42,12 +42,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, with the digests of the round trip."""
     path, pattern = queries.vocabulary()
-    encoded = bpe.encode(with_defaults(docs), path, pattern)
-    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
-    decoded = bpe.decode(encoded, path, pattern)
-    return decoded.select(
-        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"))
+    encoded = bpe.encode(with_defaults(docs), path, pattern, hashes=True)
+    return encoded.select(
+        "doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
