@@ -24,7 +24,7 @@ import regex
 import xxhash
 from pyspark.sql import DataFrame, types as T
 
-MEMO_ENTRIES, MEMO_LENGTH = 60_000, 64  # a memo lives as long as its task and keeps no longer words
+MEMO_ENTRIES, MEMO_LENGTH = 300_000, 64  # a memo lives as long as its task and keeps no longer words
 CHUNK_CHARS = 2_000_000
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
@@ -95,7 +95,8 @@ class Encoder:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = list(self.ranks)
-        self.ids = np.fromiter(self.ranks.values(), dtype=np.int64, count=len(self.tokens))
+        self.ids = list(self.ranks.values())
+        self.names = dict(zip(self.ids, map(str, self.ids), strict=True))
         self.bytes_of = {rank: token for token, rank in self.ranks.items()}
         self.table = PerfectHash(self.tokens)
         self.find = regex.compile(pattern).findall
@@ -128,7 +129,7 @@ class Encoder:
             return {}
         keys = [w.encode() for w in words]
         return {
-            word: (int(self.ids[at]),) if self.tokens[at] == key else self.merge(key)
+            word: (self.ids[at],) if self.tokens[at] == key else self.merge(key)
             for word, key, at in zip(words, keys, self.table.candidates(keys).tolist(), strict=True)
         }
 
@@ -138,29 +139,34 @@ class Encoder:
 
     def merge(self, word: bytes) -> tuple[int, ...]:
         """Ids of a pre-token that is no vocabulary entry."""
-        n, get = len(word), self.ranks.get
-        end = list(range(1, n + 1))  # end of the piece that starts here; 0: no piece starts here
-        before = list(range(-1, n - 1))
-        # A pair is its rank, the starts of both pieces and the end of the second.
-        heap = [(rank, i, i + 1, i + 2) for i in range(n - 1) if (rank := get(word[i : i + 2])) is not None]
+        n, get, push = len(word), self.ranks.get, heapq.heappush
+        # A pair is one number: its rank, then the start of its first piece and the end of its second.
+        bits = n.bit_length()
+        high, mask = 2 * bits, (1 << bits) - 1
+        end = list(range(1, n + 2))  # end of the piece that starts here; 0: no piece starts here
+        before = list(range(-1, n))
+        heap = [rank << high | i << bits | i + 2 for i in range(n - 1) if (rank := get(word[i : i + 2])) is not None]
         heapq.heapify(heap)
         while heap:
-            _, left, right, stop = heapq.heappop(heap)
-            if end[left] != right or end[right] != stop:
+            pair = heapq.heappop(heap)
+            left, stop = pair >> bits & mask, pair & mask
+            right = end[left]
+            if not right or end[right] != stop:
                 continue  # one of the two has grown since
             end[left], end[right] = stop, 0
             if stop < n:
                 before[stop] = left
                 after = end[stop]
                 if (rank := get(word[left:after])) is not None:
-                    heapq.heappush(heap, (rank, left, stop, after))
+                    push(heap, rank << high | left << bits | after)
             first = before[left]
             if first >= 0 and (rank := get(word[first:stop])) is not None:
-                heapq.heappush(heap, (rank, first, left, stop))
+                push(heap, rank << high | first << bits | stop)
         out, at, ranks = [], 0, self.ranks
         while at < n:
-            out.append(ranks[word[at : end[at]]])
-            at = end[at]
+            stop = end[at]
+            out.append(ranks[word[at:stop]])
+            at = stop
         return tuple(out)
 
     def decode(self, ids: list[int]) -> bytes:
@@ -180,7 +186,7 @@ def _replaced(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
 
 def _hashes(coder: Encoder, ids: list[int]) -> tuple[str, str]:
     """SHA-256 of the ids joined by spaces and of the bytes they decode to."""
-    return sha256(" ".join(map(str, ids)).encode()).hexdigest(), sha256(coder.decode(ids)).hexdigest()
+    return sha256(" ".join(map(coder.names.__getitem__, ids)).encode()).hexdigest(), sha256(coder.decode(ids)).hexdigest()
 
 
 def encode(df: DataFrame, path: str, pattern: str, text: str = "text", out: str = "ids", hashes: bool = False) -> DataFrame:
