@@ -17,7 +17,7 @@ def delete_missing(existing: DataFrame, present: DataFrame, key: list[str], scop
 
 
 def mark_obsolete(features: DataFrame, loaded: DataFrame, organisms: DataFrame) -> DataFrame:
-    """Mark features of the organisms that are not loaded as obsolete; adds ``_action``.
+    """Mark features of the organisms that are not loaded as obsolete; adds ``_action``, or changes it where it is.
 
     ``loaded`` has organism_id and uniquename of everything in the file,
     including the names of its sequences.
@@ -28,7 +28,9 @@ def mark_obsolete(features: DataFrame, loaded: DataFrame, organisms: DataFrame)
     gone = F.coalesce(gone, F.lit(False))
     joined = features.join(names, ["organism_id", "uniquename"], "left").join(scope, "organism_id", "left")
     values = [F.when(gone, True).otherwise(F.col(c)).alias(c) if c == "is_obsolete" else F.col(c) for c in features.columns]
-    return joined.select(*values, F.when(gone, "update").otherwise("keep").alias("_action"))
+    before = F.col("_action") if "_action" in features.columns else F.lit("keep")
+    values = [v for v, c in zip(values, features.columns, strict=True) if c != "_action"]
+    return joined.select(*values, F.when(gone, "update").otherwise(before).alias("_action"))
 
 
 class FeaturesExist(ValueError):
@@ -106,6 +108,39 @@ def cascade_delete(t: Tables, table: str, rows: DataFrame) -> dict[str, DataFram
     return out
 
 
+def cascade_actions(t: Tables, table: str, rows: DataFrame) -> dict[str, DataFrame]:
+    """Changed rows of all tables after deleting ``rows``, with ``_action``: deleted, or updated to lose a reference."""
+    gone = doomed_rows(t, table, rows)
+    out = {}
+    for name in _in_order():
+        spec = TABLES[name]
+        loose = [c.name for c in spec.references if c.parent in gone and c.on_delete == "set null"]
+        if name not in gone and not loose:
+            continue
+        df = t[name].select(*spec.column_names)
+        doomed = gone.get(name)
+        parts = []
+        if doomed is not None:
+            parts.append(df.join(doomed, spec.key, "left_semi").select(*spec.column_names, F.lit("delete").alias("_action")))
+            df = df.join(doomed, spec.key, "left_anti")
+        if loose:
+            changed = F.lit(False)
+            for column in loose:
+                parent = next(c.parent for c in spec.references if c.name == column)
+                lost = gone[parent].select(F.col(TABLES[parent].key).alias(column), F.lit(True).alias("_lost"))
+                df = df.join(lost, column, "left").withColumn(f"_lost_{column}", F.coalesce("_lost", F.lit(False))).drop("_lost")
+                changed = changed | F.col(f"_lost_{column}")
+            values = [F.when(~F.col(f"_lost_{c}"), F.col(c)).alias(c) if c in loose else F.col(c) for c in spec.column_names]
+            parts.append(df.where(changed).select(*values, F.lit("update").alias("_action")))
+        out[name] = reduce(DataFrame.unionByName, parts)
+    return out
+
+
+def purge_actions(t: Tables, organism: str) -> dict[str, DataFrame]:
+    """Changed rows after deleting every feature of an organism."""
+    return cascade_actions(t, "feature", t.of_names(t["feature"], "organism_id", "organism", [organism]))
+
+
 def delete_organism(t: Tables, abbreviation: str) -> dict[str, DataFrame]:
     """All changed tables after deleting one organism."""
     return cascade_delete(t, "organism", t["organism"].where(F.col("abbreviation") == abbreviation))

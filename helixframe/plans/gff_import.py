@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from helixframe import terms
 from helixframe.functions.expr import phase_number, scalar_text, strand_number, strand_text, xref_parts
-from helixframe.operators import merge
+from helixframe.operators import deletion, merge
 from helixframe.operators.lookups import require_terms
 from helixframe.plans.importing import (
     ImportResult, existing_terms, in_file, merge_pubs, merge_xrefs, of_xref_terms, rejected,
@@ -155,17 +155,10 @@ def _features(
     batch = _one_per_key(batch, ["organism_id", "uniquename"], repeated)
     merged = merge.merge(t["feature"], batch, "feature")
     if full_genome:
-        scope = records.select("organism_id").distinct().withColumn("_scope", F.lit(True))
-        merged = merged.join(scope, "organism_id", "left")
-        free = F.lit(True)
+        loaded = records.select("organism_id", F.col("id").alias("uniquename"))
         if names is not None:
-            declared = names.select("organism_id", F.col("name").alias("uniquename")).distinct()
-            merged = merged.join(declared.withColumn("_declared", F.lit(True)), ["organism_id", "uniquename"], "left")
-            free = F.col("_declared").isNull()
-        gone = F.coalesce(F.col("_scope") & free & ~F.col("_touched") & ~F.col("is_obsolete"), F.lit(False))
-        merged = merged.withColumn("_action", F.when(gone, "update").otherwise(F.col("_action"))).withColumn(
-            "is_obsolete", F.when(gone, True).otherwise(F.col("is_obsolete"))
-        ).select(*t["feature"].columns, "_action", "_touched")
+            loaded = loaded.unionByName(names.select("organism_id", F.col("name").alias("uniquename")))
+        merged = deletion.mark_obsolete(merged, loaded, records)
     result.merges["feature"] = merged
     return cut_lineage(merge.applied(merged).select("organism_id", "uniquename", "feature_id"))
 
@@ -313,16 +306,18 @@ def unknown_attributes(records: DataFrame) -> DataFrame:
 
 def import_gff(
     t: Tables, records: DataFrame, full_genome: bool = False, full_attributes: bool = False,
-    sequence_names: DataFrame | None = None,
+    sequence_names: DataFrame | None = None, malformed: DataFrame | None = None,
 ) -> ImportResult:
     """Merge feature records (with organism_id) into the tables.
 
     ``full_genome`` marks features of the organisms that are not in the files
     as obsolete, except the declared ``sequence_names``. ``full_attributes``
-    deletes attributes that features in the files no longer have.
+    deletes attributes that features in the files no longer have. ``malformed``
+    lines (organism_id, item, reason) go to the rejects.
     """
     require_terms(t, REQUIRED)
     result = ImportResult()
+    result.reject_lines(malformed)
     typed = _unique(cut_lineage(_typed(t, records, result)), result)
     proteins, lost = implied_proteins(t, typed)
     result.reject(lost)

@@ -24,6 +24,11 @@ class ImportResult:
     def reject(self, rows: DataFrame) -> None:
         self.rejects = rows if self.rejects is None else self.rejects.unionByName(rows)
 
+    def reject_lines(self, lines: DataFrame | None) -> None:
+        """Reject lines that are no records; they have no id."""
+        if lines is not None:
+            self.reject(lines.select("organism_id", F.lit(None).cast("string").alias("id"), "item", "reason"))
+
     def tables(self) -> dict[str, DataFrame]:
         return {name: merge.applied(df) for name, df in self.merges.items()}
 
