@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -35,20 +36,64 @@ def latest_per_row(events: DataFrame, key: str) -> DataFrame:
     return events.where(F.col("type") != "BEFORE").groupBy(key).agg(last.alias("e")).select(key, "e.*")
 
 
-def maintain_table(events: DataFrame, key: str, state: str, checkpoint: str) -> StreamingQuery:
+#: A state folder holds ``rows/bucket=<b>/slot=<0 or 1>`` and, per finished batch, one pointer that names each bucket's slot.
+POINTER = "seq long, source string, batch long, bucket int, slot int"
+
+
+def _pointer(spark: SparkSession, state: str) -> list[Row]:
+    """The rows of the last pointer: one per bucket in use."""
+    try:
+        rows = spark.read.schema(POINTER).json(f"{state}/pointer")
+        return rows.where(F.col("seq") == rows.agg(F.max("seq")).first()[0]).collect()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+
+
+def _slots(spark: SparkSession, state: str, columns: T.StructType, held: list[tuple[int, int]]) -> DataFrame:
+    """Rows of the given buckets in their slots."""
+    if not held:
+        return spark.createDataFrame([], columns)
+    placed = T.StructType([*columns.fields, T.StructField("bucket", T.IntegerType()), T.StructField("slot", T.IntegerType())])
+    paths = [f"{state}/rows/bucket={bucket}/slot={slot}" for bucket, slot in held]
+    return spark.read.schema(placed).option("basePath", f"{state}/rows").parquet(*paths).drop("bucket", "slot")
+
+
+def maintain_table(events: DataFrame, key: str, state: str, checkpoint: str, buckets: int = 16) -> StreamingQuery:
     """Keep the current rows (and tombstones) of a table below ``state``.
 
-    Batch n reads version n and writes version n + 1, so running a batch again
-    gives the same version. The greatest audit_id wins, whatever the order of
-    arrival; a deleted row stays as a DELETE tombstone.
+    Rows lie in buckets by a hash of the key. A batch reads and writes only the buckets that its events fall into: the new
+    rows go into the slot of the bucket that no pointer names, and the pointer is written last. So a batch that is run
+    again writes the same slots again, one that was finished is left out, and no more than two versions of a bucket are
+    kept; a reader may stay one batch behind. The greatest audit_id wins, whatever the order of arrival; a deleted row
+    stays as a DELETE tombstone. A new checkpoint over the same state goes on from its last pointer.
     """
+    columns = T.StructType([events.schema[key], *[f for f in events.schema.fields if f.name != key]])
 
     def step(batch: DataFrame, number: int) -> None:
-        latest = latest_per_row(batch, key)
-        if number > 0:
-            before = batch.sparkSession.read.parquet(f"{state}/v{number}")
-            latest = latest_per_row(before.unionByName(latest), key)
-        latest.write.mode("overwrite").parquet(f"{state}/v{number + 1}")
+        spark = batch.sparkSession
+        before = _pointer(spark, state)
+        last = before[0] if before else None
+        if last is not None and last["source"] == checkpoint and last["batch"] >= number:
+            return
+        slots = {r["bucket"]: r["slot"] for r in before}
+        batch.persist()  # one read of the batch for its buckets and for its rows
+        placed = latest_per_row(batch, key).withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+        touched = sorted(r["bucket"] for r in placed.select("bucket").distinct().collect())
+        if touched:
+            known = _slots(spark, state, columns, [(b, slots[b]) for b in touched if b in slots])
+            now = latest_per_row(known.unionByName(placed.select(*columns.names)), key)
+            fresh = {b: 1 - slots.get(b, 1) for b in touched}
+            slot = F.element_at(F.create_map(*[F.lit(x) for pair in fresh.items() for x in pair]), F.col("bucket"))
+            now = now.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")).withColumn("slot", slot)
+            now.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "slot").parquet(f"{state}/rows")
+            slots |= fresh
+        batch.unpersist()
+        if slots:
+            seq = last["seq"] + 1 if last is not None else 0
+            rows = [(seq, checkpoint, number, b, s) for b, s in sorted(slots.items())]
+            spark.createDataFrame(rows, POINTER).coalesce(1).write.mode("append").json(f"{state}/pointer")
 
     return (
         events.writeStream.foreachBatch(step).option("checkpointLocation", checkpoint)
@@ -56,8 +101,7 @@ def maintain_table(events: DataFrame, key: str, state: str, checkpoint: str) ->
     )
 
 
-def current_rows(spark: SparkSession, state: str, query: StreamingQuery) -> DataFrame:
-    """The table after the last finished batch."""
-    done = [p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0]
-    table = spark.read.parquet(f"{state}/v{max(done) + 1}")
-    return table.where(F.col("type") != "DELETE")
+def current_rows(spark: SparkSession, state: str, columns: T.StructType) -> DataFrame:
+    """The table after the last finished batch, also after a restart without new events."""
+    held = [(r["bucket"], r["slot"]) for r in _pointer(spark, state)]
+    return _slots(spark, state, columns, held).where(F.col("type") != "DELETE")

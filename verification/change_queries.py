@@ -315,7 +315,7 @@ def _(c):
     events = audit_stream.change_events(c.spark, path, columns, files_per_batch=2)
     stream = audit_stream.maintain_table(events, "row_id", state, scratch_path(c.spark, "stream"))
     stream.awaitTermination()
-    return audit_stream.current_rows(c.spark, state, stream).select("row_id", "audit_id", "type", "value")
+    return audit_stream.current_rows(c.spark, state, columns).select("row_id", "audit_id", "type", "value")
 
 
 # -- V: checks -------------------------------------------------------------

@@ -298,9 +298,11 @@ def _dependencies(sql: str, views: dict[str, str]) -> list[str]:
 def with_views(sql: str, extra: dict[str, str] | None = None, given: dict[str, str] | None = None) -> str:
     """Put the views a query needs in front of it as common table expressions."""
     views = {**VIEWS, **(extra or {})}
+    # Spark inlines a view wherever it is named; the checking engine works it out once.
+    kind = "AS" if given else "AS MATERIALIZED"
     given = given or {name: name for name in GIVEN}
     names = _dependencies(sql, views)
-    text = ",\n".join(f"{name} AS ({views[name]})" for name in names)
+    text = ",\n".join(f"{name} {kind} ({views[name]})" for name in names)
     recursive = "RECURSIVE " if "RECURSIVE" in sql else ""
     body = sql.replace("RECURSIVE", "").lstrip()
     prefix = f"WITH {recursive}{text}\n" if text else ""
