@@ -331,11 +331,20 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
 
         def features_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             reader = Reader(CharacterModel(shared.value))
-            bases = wanted and {f.rsplit("\t", 1)[0] for f in wanted}
+            bases = None if wanted is None else {f.rsplit("\t", 1)[0] for f in wanted}
+            memo: dict[str, tuple[str, ...]] = {}
             for frame in frames:
                 out = []
                 for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                    tally = Counter(f for w in reader.words(text) for f in word_features(w) if bases is None or f in bases)
+                    tally: Counter = Counter()
+                    for w in reader.words(text):
+                        told = memo.get(w)
+                        if told is None:
+                            told = tuple(f for f in word_features(w) if bases is None or f in bases)
+                            if bases is not None and len(memo) < MEMO_ENTRIES and len(w) <= MEMO_LENGTH:
+                                memo[w] = told
+                        if told:
+                            tally.update(told)
                     out.append((toxic, [x for x in (f"{f}\t{n}" for f, n in levelled(tally)) if wanted is None or x in wanted]))
                 yield pd.DataFrame(out, columns=["toxic", "features"])
 
