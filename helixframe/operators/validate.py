@@ -15,35 +15,50 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def unique_violations(df: DataFrame, table: str) -> DataFrame:
-    """Keys held by more than one row: table_name, constraint, key, n_rows. Keys with a null are free."""
-    parts = []
+    """Keys held by more than one row: table_name, constraint, key, n_rows. Keys with a null are free.
+
+    All keys of the table are taken in one scan and counted in one aggregation.
+    """
+    entries = []
     for key in ((TABLES[table].key,),) + TABLES[table].unique:
         whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-        parts.append(
-            df.where(whole).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).where(F.col("n_rows") > 1).select(
-                F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("constraint"),
-                F.concat_ws(",", *[F.col(c).cast("string") for c in key]).alias("key"), "n_rows",
-            )
-        )
-    return _union(parts)
+        parts = F.array(*[F.col(c).cast("string") for c in key])
+        entries.append(F.when(whole, F.struct(F.lit(",".join(key)).alias("constraint"), parts.alias("parts"))))
+    keys = df.select(F.explode(F.array(*entries)).alias("k")).where("k IS NOT NULL").select("k.*")
+    counts = keys.groupBy("constraint", "parts").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+    return counts.select(F.lit(table).alias("table_name"), "constraint", F.concat_ws(",", "parts").alias("key"), "n_rows")
 
 
 def reference_violations(t: Tables, df: DataFrame, table: str) -> DataFrame:
     """References without a parent row: table_name, column_name, value, n_rows.
 
-    References are counted per value before the join, so a value that most
-    rows share is one row in the shuffle.
+    All references of the table are taken in one scan and counted per value before the join, so a value that most rows
+    share is one row in the shuffle.
     """
-    parts = []
-    for column in TABLES[table].references:
-        parent = t[column.parent].select(F.col(TABLES[column.parent].key).alias("value"))
-        used = df.where(F.col(column.name).isNotNull()).groupBy(F.col(column.name).alias("value")).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        parts.append(used.join(parent, "value", "left_anti").select(
-            F.lit(table).alias("table_name"), F.lit(column.name).alias("column_name"), "value", "n_rows"
-        ))
-    return _union(parts)
+    columns = TABLES[table].references
+    if not columns:
+        return _no_references(df)
+    entries = [F.struct(F.lit(c.name).alias("column_name"), F.lit(c.parent).alias("parent"), F.col(c.name).alias("value")) for c in columns]
+    used = df.select(F.explode(F.array(*entries)).alias("r")).select("r.*").where(F.col("value").isNotNull())
+    counts = used.groupBy("column_name", "parent", "value").agg(F.count(F.lit(1)).alias("n_rows"))
+    parents = _union([
+        t[p].select(F.lit(p).alias("parent"), F.col(TABLES[p].key).alias("value")) for p in sorted({c.parent for c in columns})])
+    return counts.join(parents, ["parent", "value"], "left_anti").select(F.lit(table).alias("table_name"), "column_name", "value", "n_rows")
+
+
+def _no_references(df: DataFrame) -> DataFrame:
+    return df.select(F.lit("").alias("table_name"), F.lit("").alias("column_name"), F.lit(0).cast("long").alias("value"),
+                     F.lit(0).cast("long").alias("n_rows")).limit(0)
+
+
+def all_violations(t: Tables, names: list[str] | None = None) -> dict[str, DataFrame]:
+    """The unique, reference and required violations of all tables (or the named ones)."""
+    names = names or list(TABLES)
+    return {
+        "unique": _union([unique_violations(t[n], n) for n in names]),
+        "references": _union([reference_violations(t, t[n], n) for n in names if TABLES[n].references]),
+        "required": _union([required_violations(t[n], n) for n in names]),
+    }
 
 
 def required_violations(df: DataFrame, table: str) -> DataFrame:

@@ -1,7 +1,5 @@
 """Reading, importing and exporting small files."""
 
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
@@ -149,7 +147,6 @@ def gaf_line(**cells):
     return "\t".join(base.get(c, "") for c in GAF_COLUMNS)
 
 
-@pytest.mark.skipif(not os.environ.get("HELIXFRAME_SLOW_TESTS"), reason="slow; set HELIXFRAME_SLOW_TESTS")
 def test_gaf_import(spark, imported, tmp_path):
     t = imported[4]
     db = t.name_id("db", "GO")

@@ -98,7 +98,7 @@ I3 = {
  CASE WHEN o % 17 = 4 THEN 'bad' END AS withbad,
  CASE WHEN l % 4 = 1 THEN 'product ' || cast(o % 40 AS string) WHEN l % 4 = 2 THEN 'second product' ELSE '' END AS product,
  CASE WHEN o % 6 = 1 THEN 'gsyn' || cast(o AS string) END AS gsyn, CASE WHEN o % 4 = 1 THEN 'syn' || cast(o AS string) END AS gsyn2,
- ymd AS annotated, CASE WHEN o % 2 = 0 THEN 'Us' ELSE 'Them' END AS assigned FROM fx_model WHERE partkey % 4 <> 3""",
+ ymd AS annotated, CASE WHEN o % 2 = 0 THEN 'Us' ELSE 'Them' END AS assigned FROM fx_model""",
     # Every record with the feature it names, its protein and its gene.
     "in_loc": """SELECT i.*, f.feature_id, coalesce(fa.protein_id, f.feature_id) AS target_id, ga.gene_id FROM in_gaf i
 JOIN feature f ON f.organism_id = i.n AND f.uniquename = i.id JOIN family fa ON fa.feature_id = f.feature_id

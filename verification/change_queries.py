@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from helixframe import schema
 from helixframe.operators import changelog, deletion, merge, validate
+from helixframe.schema import TABLES
 from helixframe.session import scratch_path
 from helixframe.streaming import audit_stream
-from helixframe.tables import copy_snapshot, snapshot_counts
+from verification import fixtures
 from verification.registry import query
 
 # -- M: merges -------------------------------------------------------------
@@ -330,42 +331,58 @@ SELECT feature_id + 5000000000000, dbxref_id, organism_id, name, uniquename, res
  CASE WHEN object_id % 71 = 0 THEN NULL ELSE rank END AS rank FROM feature_relationship""",
     "dirty_loc": """SELECT featureloc_id, feature_id, srcfeature_id, CASE WHEN feature_id % 67 = 0 THEN fmax + 1
  WHEN feature_id % 61 = 0 THEN NULL ELSE fmin END AS fmin, fmax FROM featureloc""",
+    "dirty_term": """SELECT cvterm_id, CASE WHEN cvterm_id % 31 = 0 THEN cv_id + 100 ELSE cv_id END AS cv_id, dbxref_id,
+ CASE WHEN cvterm_id % 29 = 0 THEN NULL ELSE name END AS name, definition, is_obsolete, is_relationshiptype FROM cvterm""",
 }
+CLEANED = {"feature": "dirty_feature", "feature_relationship": "dirty_relationship", "cvterm": "dirty_term"}
+CHECKED = fixtures.FIXTURE_TABLES
 
 
-@query(
-    "V1_unique",
-    """SELECT 'feature' AS table_name, 'organism_id,uniquename,type_id' AS "constraint",
- cast(organism_id AS string) || ',' || uniquename || ',' || cast(type_id AS string) AS key, count(*) AS n_rows
-FROM dirty_feature GROUP BY organism_id, uniquename, type_id HAVING count(*) > 1""",
-    DIRTY,
-)
+def _dirty_tables(c):
+    """All fixture tables, some of them with faults."""
+    return c.tables.with_tables({n: c.view(f"SELECT * FROM {v}", DIRTY) for n, v in CLEANED.items()})
+
+
+def _unique_sql(name: str) -> list[str]:
+    texts = []
+    for key in ((TABLES[name].key,),) + TABLES[name].unique:
+        shown = " || ',' || ".join(f"cast({k} AS string)" for k in key)
+        texts.append(f"""SELECT '{name}' AS table_name, '{','.join(key)}' AS "constraint", {shown} AS key, count(*) AS n_rows
+FROM {CLEANED.get(name, name)} WHERE {' AND '.join(f'{k} IS NOT NULL' for k in key)} GROUP BY {', '.join(key)} HAVING count(*) > 1""")
+    return texts
+
+
+def _reference_sql(name: str) -> list[str]:
+    texts = []
+    for ref in TABLES[name].references:
+        known = f" AND {ref.name} NOT IN (SELECT {TABLES[ref.parent].key} FROM {CLEANED.get(ref.parent, ref.parent)})" if ref.parent in CHECKED else ""
+        texts.append(f"""SELECT '{name}' AS table_name, '{ref.name}' AS column_name, {ref.name} AS value, count(*) AS n_rows
+FROM {CLEANED.get(name, name)} WHERE {ref.name} IS NOT NULL{known} GROUP BY {ref.name}""")
+    return texts
+
+
+def _required_sql(name: str) -> list[str]:
+    return [f"""SELECT '{name}' AS table_name, '{col.name}' AS column_name, count(*) AS n_rows FROM {CLEANED.get(name, name)}
+WHERE {col.name} IS NULL HAVING count(*) > 0""" for col in TABLES[name].columns if col.required]
+
+
+def _all_sql(texts) -> str:
+    return "\nUNION ALL ".join(text for name in CHECKED for text in texts(name))
+
+
+@query("V1_unique", _all_sql(_unique_sql), DIRTY)
 def _(c):
-    return validate.unique_violations(c.view("SELECT * FROM dirty_feature", DIRTY), "feature")
+    return validate.all_violations(_dirty_tables(c), CHECKED)["unique"]
 
 
-@query(
-    "V2_foreign_keys",
-    """SELECT 'feature_relationship' AS table_name, column_name, value, count(*) AS n_rows FROM (
- SELECT 'subject_id' AS column_name, subject_id AS value FROM dirty_relationship UNION ALL
- SELECT 'object_id', object_id FROM dirty_relationship) r
-WHERE value IS NOT NULL AND value NOT IN (SELECT feature_id FROM feature) GROUP BY column_name, value""",
-    DIRTY,
-)
+@query("V2_foreign_keys", _all_sql(_reference_sql), DIRTY)
 def _(c):
-    rows = c.view("SELECT * FROM dirty_relationship", DIRTY)
-    return validate.reference_violations(c.tables, rows, "feature_relationship")
+    return validate.all_violations(_dirty_tables(c), CHECKED)["references"]
 
 
-@query(
-    "V3_required",
-    """SELECT 'feature_relationship' AS table_name, 'subject_id' AS column_name, count(*) AS n_rows
-FROM dirty_relationship WHERE subject_id IS NULL HAVING count(*) > 0 UNION ALL
-SELECT 'feature_relationship', 'rank', count(*) FROM dirty_relationship WHERE rank IS NULL HAVING count(*) > 0""",
-    DIRTY,
-)
+@query("V3_required", _all_sql(_required_sql), DIRTY)
 def _(c):
-    return validate.required_violations(c.view("SELECT * FROM dirty_relationship", DIRTY), "feature_relationship")
+    return validate.all_violations(_dirty_tables(c), CHECKED)["required"]
 
 
 @query("V3_check", "SELECT featureloc_id, fmin, fmax FROM dirty_loc WHERE fmin > fmax", DIRTY)
@@ -389,14 +406,3 @@ def _(c):
 @query("S10_equality_scan", "SELECT feature_id, uniquename FROM feature WHERE organism_id = 4 AND type_id = 2 AND name IS NULL")
 def _(c):
     return c.tables.scan("feature", organism_id=4, type_id=2, name=None).select("feature_id", "uniquename")
-
-
-SNAPSHOT = ["feature", "featureloc", "feature_relationship", "feature_cvterm", "cvterm", "dbxref"]
-
-
-@query(
-    "S12_snapshot",
-    " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in SNAPSHOT),
-)
-def _(c):
-    return snapshot_counts(copy_snapshot(c.tables, SNAPSHOT), SNAPSHOT)

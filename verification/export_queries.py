@@ -189,8 +189,8 @@ def _fasta_file(c, kind: str, compress: bool = False) -> str:
 @query(
     "K4_fasta_lines",
     f"""SELECT '>' || id || ' ' || description AS value FROM ({_fasta_sql(PEPTIDES)}) q
-UNION ALL SELECT substr(residues, cast(60 * i AS int) + 1, 60) FROM ({_fasta_sql(PEPTIDES)}) q, range(0, 10) r(i)
-WHERE length(residues) > 60 * i""",
+UNION ALL SELECT substr(residues, cast(60 * i AS int) + 1, 60) FROM (
+ SELECT residues, unnest(range(0, (length(residues) + 59) // 60)) AS i FROM ({_fasta_sql(PEPTIDES)}) q) r""",
 )
 def _(c):
     return c.spark.read.text(_fasta_file(c, "proteins"))
