@@ -15,10 +15,15 @@ varying text, with no paragraph or heading beside it, and the article is what va
 text elsewhere is read whole, and article or main elements that few pages have are kept with it. Never read are slots
 that are navigation, header, footer, sidebar, notice, advert, form, comment or code by their place. Words in
 a class, id or role count as places too, but not on html, body and main, and only as whole names on what encloses the
-article or main element with the most text. Character references are decoded, white space in a block becomes one space, and blocks are joined in page order by one space.
+article or main element with the most text. Inside a main element a header with a heading, and what is only named as a
+header, is text; paragraphs, headings, lists and tables there go only if named as advert, comment or navigation.
+Character references are decoded, white space in a block becomes one space, and blocks are joined in page order by one
+space.
 
 A null or empty html gives an empty text. A null url is a host of its own. Pages may repeat, ids may repeat or be null.
-Broken markup is read as browsers do: unknown or unclosed tags never lose text. Other columns are ignored.
+An empty table gives an empty result. Broken markup is read as browsers do: unknown or unclosed tags never lose text. A tag
+whose quotes never close ends at the next ``>``, and so do the tags behind it; a ``<`` with no ``>`` behind it is text. Reading takes time and memory in
+proportion to the page, however deep its elements nest. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,16 +63,21 @@ SIDE_WORDS = frozenset("""ad ads advert adverts advertisement advertising adsens
  newsletter subscribe subscription signup login share sharing social comment comments reply replies disqus respond reader-comments pagination pager toolbar form search tags
  contentinfo complementary copyright legal alert overlay""".split())
 COMMENT_WORDS = frozenset("comment comments reply replies disqus respond".split())
-TOPIC_WORDS = frozenset("related tags alert legal".split())
+# Inside the main element: words that do not name what the article is without, and those that count for paragraphs and the like.
+TOPIC_WORDS = frozenset("related tags alert legal header masthead".split())
+FLOW_WORDS = COMMENT_WORDS | frozenset("""ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs
+ share sharing social pagination pager toolbar sidebar""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MAIN_TAGS = frozenset(["article", "main"])
 FLOW_TAGS = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre table ul ol dl li figure figcaption".split())
 WHOLE_TAGS = frozenset(["html", "body", "main"])
 MAIN_WORDS = frozenset("article main-content article-body post-content entry-content post-body story-body articlebody maincontent".split())
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*(?:>|\Z)|<\?[^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TAG = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+VALUE = re.compile(r"=\s*([\"'])|>")
+# Names begin behind a blank, a slash or a quote, so each character is looked at once.
+ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 DIGIT = re.compile(r"\d")
-HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 
 
 def host_of(url: Column) -> Column:
@@ -76,40 +86,45 @@ def host_of(url: Column) -> Column:
 
 
 class Node:
-    """An open element. ``settle`` says whether it is beside or in the main text, when the page has been read."""
+    """An open element. ``settle`` says whether it is beside or in the main text, when the page has been read.
 
-    __slots__ = ("tag", "place", "side", "main", "names", "parts", "parent", "hidden", "size")
+    Its place is a number made of the place around it and its label, as a path would grow with the depth.
+    """
+
+    __slots__ = ("tag", "label", "place", "side", "main", "names", "parts", "parent", "size", "heading", "within", "templated")
 
     def __init__(self, tag: str, attributes: str, parent: Node | None):
-        self.tag, self.parent, self.size = tag, parent, 0
+        self.tag, self.parent, self.size, self.heading = tag, parent, 0, False
         words = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes)).lower() if "=" in attributes else ""
         self.names = frozenset(words.split())
         self.parts = self.names | set(re.split(r"[^a-z0-9]+", words)) if words else self.names
-        self.hidden = bool(HIDDEN.search(attributes))
-        self.side = self.main = False
+        self.side = self.main = self.within = self.templated = False
         # Numbers in a class or id are those of one page.
-        label = ".".join([tag, *sorted(x for x in self.parts if x and not DIGIT.search(x))]) if words else tag
-        self.place = f"{parent.place}/{label}" if parent is not None else label
+        self.label = ".".join([tag, *sorted(x for x in self.parts if x and not DIGIT.search(x))]) if words else tag
+        self.place = xxhash.xxh64_hexdigest(f"{parent.place}/{self.label}") if parent is not None else ""
+
+    @property
+    def names_main(self) -> bool:
+        return self.tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(self.parts)
 
     def settle(self, wrappers: set[Node]) -> None:
         tag, parent = self.tag, self.parent
-        own_main = tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(self.parts)
         inside = parent is not None and parent.main
         # Classes of a page, or of what encloses its main element, describe the layout; inside, some words describe the text.
-        words = () if tag in WHOLE_TAGS else self.names if self in wrappers else self.parts - TOPIC_WORDS if inside else self.parts
-        side = not SIDE_WORDS.isdisjoint(words) and (tag != "article" or not COMMENT_WORDS.isdisjoint(words)) or self.hidden
+        if tag in WHOLE_TAGS:
+            side = False
+        elif self in wrappers:
+            side = not SIDE_WORDS.isdisjoint(self.names)
+        elif inside:
+            side = not (FLOW_WORDS if tag in FLOW_TAGS else SIDE_WORDS - TOPIC_WORDS).isdisjoint(self.parts)
+        else:
+            side = not SIDE_WORDS.isdisjoint(self.parts)
+        side = side and (tag != "article" or not COMMENT_WORDS.isdisjoint(self.parts))
         # A heading block inside the article belongs to it.
-        if tag in SIDE_TAGS and not (tag == "header" and inside and not self.names):
+        if tag in SIDE_TAGS and not (tag == "header" and inside and (self.heading or not self.names)):
             side = True
         self.side = side or parent is not None and parent.side
-        self.main = own_main and not side or inside
-
-
-def above(node: Node | None) -> Iterator[Node]:
-    """An element and those that enclose it."""
-    while node is not None:
-        yield node
-        node = node.parent
+        self.main = self.names_main and not side or inside
 
 
 def settle(nodes: list[Node], texts: list[tuple[str, Node, bool]]) -> None:
@@ -117,69 +132,113 @@ def settle(nodes: list[Node], texts: list[tuple[str, Node, bool]]) -> None:
     for part, node, _ in texts:
         node.size += len(part)
     for node in reversed(nodes):  # children come before their parents
-        if node.parent is not None and not (node.tag in SIDE_TAGS or node.hidden):
+        if node.parent is None:
+            continue
+        if node.tag not in SIDE_TAGS:
             node.parent.size += node.size
+        if node.tag != "article" and (node.heading or node.tag in HEADINGS):
+            node.parent.heading = True
     wrappers: set[Node] = set()
     within = None
     for tag in ("main", "article"):
-        found = [n for n in nodes if n.tag == tag and (within is None or within in above(n))]
+        below = {within}
+        for node in nodes:  # parents come before their children
+            if node.parent in below:
+                below.add(node)
+        found = [n for n in nodes if n.tag == tag and (within is None or n in below)]
         if found:
             within = max(found, key=lambda n: n.size)
-            wrappers.update(above(within))
+            node = within
+            while node is not None:
+                wrappers.add(node)
+                node = node.parent
     for node in nodes:
         node.settle(wrappers)
 
 
-def read(html: str) -> tuple[list[str], list[tuple[str, Node, bool]]]:
-    """Places of the block tags in order, and (text, element, whether a block starts before it)."""
+def pieces(html: str) -> Iterator[tuple[str, str, bool, str, int]]:
+    """(text before, tag, whether it closes, attributes, end) for each tag; comments and declarations have no tag. ``send`` the place to go on at.
+
+    Each character is looked at a bounded number of times.
+    """
+    at = start = 0
+    last, quotes = html.rfind(">"), True
+    while (begin := html.find("<", at)) >= 0:
+        tag = TAG.match(html, begin)
+        if tag is None or begin > last:
+            if html.startswith(("<!", "<?"), begin):
+                mark = "-->" if html.startswith("<!--", begin) else ">"
+                end = html.find(mark, begin + 2)
+                end = len(html) if end < 0 else end + len(mark)
+                at = start = (yield html[start:begin], "", False, "", end) or end
+            else:
+                at = begin + 1
+            continue
+        end = tag.end()
+        while quotes:
+            found = VALUE.search(html, end)
+            if found and not found[1]:
+                end = found.start()
+                break
+            close = html.find(found[1], found.end()) if found else -1
+            quotes, end = close >= 0, close + 1
+        if not quotes:
+            end = html.index(">", tag.end())
+        at = start = (yield html[start:begin], tag[1].lower(), html[begin + 1] == "/", html[tag.end() : end], end + 1) or end + 1
+    yield html[start:], "", False, "", len(html)
+
+
+def read(html: str) -> tuple[list[Node], list[tuple[str, Node, bool]]]:
+    """The block elements in order, first the page itself, and (text, element, whether a block starts before it)."""
     root = Node("", "", None)
-    stack, places, texts, nodes = [root], [], [], [root]
-    at, fresh, size = 0, True, len(html)
-
-    def text(part: str) -> None:
-        nonlocal fresh
-        if part:
-            texts.append((part, stack[-1], fresh))
-            fresh = False
-
-    while at < size:
-        m = PIECE.search(html, at)
-        if m is None:
-            text(html[at:])
+    stack, texts, nodes = [root], [], [root]
+    # Where each tag is open, and where the elements are that end the search for one to close.
+    open_at: dict[str, list[int]] = {}
+    scopes = [0]
+    fresh = True
+
+    def close(to: int) -> None:
+        while len(stack) > to:
+            tag = stack.pop().tag
+            open_at[tag].pop()
+            if tag in SCOPE:
+                scopes.pop()
+
+    scan = pieces(html)
+    at = None
+    while True:
+        try:
+            before, tag, closing, attributes, end = scan.send(at)
+        except StopIteration:
             break
-        text(html[at : m.start()])
-        at = m.end()
-        if m[2] is None:
-            continue
-        tag, closing = m[2].lower(), bool(m[1])
-        if tag in INLINE:
+        at = None
+        if before:
+            texts.append((before, stack[-1], fresh))
+            fresh = False
+        if not tag or tag in INLINE:
             continue
         fresh = True
         if closing:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE and tag not in SCOPE:
-                    break
+            where = open_at.get(tag)
+            if where and (tag in SCOPE or where[-1] > scopes[-1]):
+                close(where[-1])
             continue
-        if tag in CLOSES_P or tag in CLOSES:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p" and tag in CLOSES_P or stack[i].tag in CLOSES.get(tag, ()):
-                    del stack[i:]
-                    break
-                if stack[i].tag in SCOPE:
-                    break
-        node = Node(tag, m[3], stack[-1])
-        places.append(node.place)
+        closed = CLOSES.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+        where = max((open_at[x][-1] for x in closed if open_at.get(x)), default=0)
+        if where > scopes[-1]:
+            close(where)
+        node = Node(tag, attributes, stack[-1])
         nodes.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
-            at = end.end() if end else size
-        elif tag not in VOID and not m[3].endswith("/"):
+            found = re.compile(rf"</{tag}\s*>", re.I).search(html, end)
+            at = found.end() if found else len(html)
+        elif tag not in VOID and not attributes.endswith("/"):
+            open_at.setdefault(tag, []).append(len(stack))
+            if tag in SCOPE:
+                scopes.append(len(stack))
             stack.append(node)
     settle(nodes, texts)
-    return places, texts
+    return nodes, texts
 
 
 def squeeze(text: str) -> str:
@@ -199,51 +258,53 @@ def blocks(texts: list[tuple[str, Node, bool]]) -> list[tuple[str, Node]]:
 
 
 def occurrences(pages: DataFrame) -> DataFrame:
-    """(host, token, kind, parent, n, hash) per page and token: how often each place, and each text outside the main element, occurs."""
+    """(host, token, kind, parent, label, n, hash) per page and token: how often each place, and each text outside the main element, occurs."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
-                hosts, tokens, kinds, parents, counts, marks = [], [], [], [], [], []
+                hosts, tokens, kinds, parents, labels, counts, marks = [], [], [], [], [], [], []
                 for host, html in zip(part.column("host").to_pylist(), part.column("html").to_pylist(), strict=True):
-                    places, texts = read(html or "")
+                    nodes, texts = read(html or "")
+                    first = {x.place: x for x in nodes[1:]}
                     page = xxhash.xxh64_intdigest((html or "").encode())
-                    seen = [((p, "place"), n) for p, n in Counter(places).items()]
+                    seen = [((p, "place"), n) for p, n in Counter(x.place for x in nodes[1:]).items()]
                     seen += [((f"{node.place}\n{t}", "text"), n) for (t, node), n in Counter((t, node) for t, node in blocks(texts) if not node.main and not node.side).items()]
                     for (token, kind), n in seen:
                         hosts.append(host)
                         tokens.append(token)
                         kinds.append(kind)
-                        parents.append(token.rpartition("/")[0] if kind == "place" else "")
+                        parents.append(first[token].parent.place if kind == "place" else "")
+                        labels.append(first[token].label if kind == "place" else "")
                         counts.append(n)
                         marks.append(xxhash.xxh64_intdigest(f"{page}:{n}", seed=1) >> 16)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(hosts, pa.string()), pa.array(tokens, pa.string()), pa.array(kinds, pa.string()), pa.array(parents, pa.string()),
-                     pa.array(counts, pa.int64()), pa.array(marks, pa.int64())], ["host", "token", "kind", "parent", "n", "mark"])
+                     pa.array(labels, pa.string()), pa.array(counts, pa.int64()), pa.array(marks, pa.int64())], ["host", "token", "kind", "parent", "label", "n", "mark"])
 
     return pages.select(host_of(F.col("url")).alias("host"), "html").mapInArrow(
-        rows, "host string, token string, kind string, parent string, n long, mark long")
+        rows, "host string, token string, kind string, parent string, label string, n long, mark long")
 
 
 def templates(pages: DataFrame) -> DataFrame:
-    """(host, n_pages, places, constants, slots): the nested valid classes of each host, and of all hosts together as ``*``."""
+    """(host, n_pages, places as "place, tab, place around it, tab, label", constants, slots): the nested valid classes of each host, and of all hosts together as ``*``."""
     seen = occurrences(pages)
     own = seen.groupBy("host", "kind", "token").agg(
-        F.first("parent").alias("parent"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("vector"),
+        F.first("parent").alias("parent"), F.first("label").alias("label"), F.count(F.lit(1)).alias("pages"), F.sum("n").alias("total"), F.sum(F.col("mark").cast("decimal(38,0)")).alias("vector"),
         (F.min("mark") != F.max("mark")).alias("differ"))
     # Pages are read once for this; what follows works on one row per host and token.
     own = save(own, "places")
     everywhere = own.where("kind = 'place'").groupBy("kind", "token").agg(
-        F.first("parent").alias("parent"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("vector").alias("vector"))
-    counted = own.unionByName(everywhere.select(F.lit(ALL_HOSTS).alias("host"), "kind", "token", "parent", "pages", "total", "vector", F.lit(True).alias("differ")))
+        F.first("parent").alias("parent"), F.first("label").alias("label"), F.sum("pages").alias("pages"), F.sum("total").alias("total"), F.sum("vector").alias("vector"))
+    counted = own.unionByName(everywhere.select(F.lit(ALL_HOSTS).alias("host"), "kind", "token", "parent", "label", "pages", "total", "vector", F.lit(True).alias("differ")))
     n_pages = pages.select(host_of(F.col("url")).alias("host")).groupBy("host").agg(F.count(F.lit(1)).alias("n_pages"))
     n_pages = n_pages.unionByName(n_pages.agg(F.sum("n_pages").alias("n_pages")).select(F.lit(ALL_HOSTS).alias("host"), "n_pages"))
     sized = counted.join(n_pages, "host")
     often = sized.where((F.col("pages") >= F.greatest(F.lit(2), F.col("n_pages") * MIN_SHARE)) & (F.col("kind") == "place"))
     # An equivalence class is one row; it holds at most twice the places of an average page, as each is on half of them.
     grouped = often.groupBy("host", "pages", "vector", "n_pages").agg(
-        F.collect_list(F.struct("token", "parent")).alias("members"))
+        F.collect_list(F.struct("token", "parent", "label")).alias("members"))
     held = grouped.groupBy("host", "n_pages").agg(F.collect_list("members").alias("classes"))
     place = F.substring_index("token", "\n", 1)
     recurs = (F.col("pages") >= TEXT_PAGES) & (F.col("pages") >= F.col("n_pages") * TEXT_SHARE)
@@ -263,42 +324,54 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.concat_ws("\t", "chars", "place"))).alias("slots"))
     # Nesting: a class stays if every place in it has its enclosing place in a class of the template, or at the top.
     every = F.flatten("classes")
-    names = F.transform(every, lambda m: m["token"])
-    nested = F.filter("classes", lambda c: F.forall(c, lambda m: (m["parent"] == "") | F.array_contains(names, m["parent"])))
-    return held.select("host", "n_pages", F.flatten(F.transform(nested, lambda c: F.transform(c, lambda m: m["token"]))).alias("places")).join(
+    names = F.concat(F.array(F.lit("")), F.transform(every, lambda m: m["token"]))
+    nested = F.filter("classes", lambda c: F.size(F.array_except(F.transform(c, lambda m: m["parent"]), names)) == 0)
+    written = F.transform(F.flatten(nested), lambda m: F.concat_ws("\t", m["token"], m["parent"], m["label"]))
+    return held.select("host", "n_pages", written.alias("places")).join(
         constants, "host", "left").join(slots, "host", "left")
 
 
-def article_place(places: frozenset, slots: tuple[str, ...]) -> str:
-    """Place that holds the varying text of a host, given how much is where."""
-    held = [(place, int(chars)) for chars, place in (x.split("\t", 1) for x in slots)]
-    least, at = SLOT_SHARE * sum(n for _, n in held), ""
+def article_place(places: frozenset, tree: tuple[str, ...], slots: tuple[str, ...]) -> str:
+    """Place that holds the varying text of a host, given the host's places, how much is where, and the template."""
+    tags: dict[str, str] = {}
+    children: dict[str, list[str]] = {}
+    for place, parent, label in sorted(x.split("\t", 2) for x in tree):
+        tags[place] = label.partition(".")[0]
+        children.setdefault(parent, []).append(place)
+    held = {place: int(chars) for chars, place in (x.split("\t", 1) for x in slots)}
+    order, rest = [], [""]
+    while rest:
+        order.append(rest.pop())
+        rest += children.get(order[-1], [])
+    size, flows = {}, {}  # text in a place, and whether some of it is in a paragraph or heading
+    for place in reversed(order):
+        below = children.get(place, [])
+        size[place] = held.get(place, 0) + sum(size[x] for x in below)
+        flows[place] = size[place] > 0 and tags.get(place) in FLOW_TAGS or any(flows[x] for x in below)
+    least, at = SLOT_SHARE * sum(held.values()), ""
     while True:
-        below: Counter = Counter()
-        for place, n in held:
-            if place.startswith(at + "/"):
-                below["/".join(place.split("/")[: at.count("/") + 2])] += n
-        child, n = below.most_common(1)[0] if below else ("", 0)
-        beside = [p[len(at) :] for p, _ in held if (p == at or p.startswith(at + "/")) and not f"{p}/".startswith(child + "/")]
-        if not child or n < least or child not in places or _tags(child[len(at) :]) & FLOW_TAGS or any(not p or _tags(p) & FLOW_TAGS for p in beside):
+        child = max(children.get(at, []), key=lambda x: size[x], default="")
+        if not child or not size[child] or size[child] < least or child not in places or tags[child] in FLOW_TAGS:
+            return at
+        if held.get(at) or any(flows[x] for x in children[at] if x != child):
             return at
         at = child
 
 
-def _tags(place: str) -> set[str]:
-    return {label.partition(".")[0] for label in place.split("/")}
-
-
 def article(html: str | None, places: frozenset, constants: frozenset, at: str = "", own: bool = False) -> str:
     """Main text of a page, given the template of its host and the article's place; ``own`` if the host has it for itself."""
     if not html:
         return ""
-    slots = [(t, node) for t, node in blocks(read(html)[1]) if not node.side]
+    nodes, texts = read(html)
+    for node in nodes:
+        node.within = node.place == at or node.parent is not None and node.parent.within
+        node.templated = node.main and node.names_main and node.place in places or node.parent is not None and node.parent.templated
+    slots = [(t, node) for t, node in blocks(texts) if not node.side]
     named = [t for t, node in slots if node.main]
-    if named and (not own or any(_in_template(node, places) for _, node in slots if node.main)):
+    if named and (not own or any(node.templated for _, node in slots if node.main)):
         return " ".join(named)
     free = [(t, node) for t, node in slots if node.main or f"{node.place}\n{t}" not in constants]
-    chosen = [(t, node) for t, node in free if node.main or f"{node.place}/".startswith(at + "/")]
+    chosen = [(t, node) for t, node in free if node.main or node.within]
     size = lambda pairs: sum(len(t) for t, node in pairs if not node.main)
     if 2 * size(chosen) < size(free):
         chosen = free
@@ -308,20 +381,15 @@ def article(html: str | None, places: frozenset, constants: frozenset, at: str =
     return " ".join(t for t, _ in chosen)
 
 
-def _in_template(node: Node, places: frozenset) -> bool:
-    """Whether a main element that encloses the slot is part of the template."""
-    return any(x.main and x.place in places for x in above(node) if x.tag in MAIN_TAGS or not MAIN_WORDS.isdisjoint(x.parts))
-
-
 def extract(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars) for every row."""
     found = save(templates(pages), "templates")
     shared = {r["host"]: r for r in found.where(F.col("host") == ALL_HOSTS).collect()}.get(ALL_HOSTS)  # one row
-    fallback = frozenset(shared["places"]) if shared else frozenset()
+    fallback = frozenset(x.partition("\t")[0] for x in shared["places"]) if shared else frozenset()
     own = found.where((F.col("host") != ALL_HOSTS) & (F.col("n_pages") >= 2)).select(
-        "host", F.when(F.col("n_pages") >= MIN_PAGES, F.col("places")).alias("places"), "constants", "slots")
+        "host", (F.col("n_pages") >= MIN_PAGES).alias("own"), "places", "constants", "slots")
     joined = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(own, "host", "left").select(
-        "page_id", "url", "html", "places", "constants", "slots")
+        "page_id", "url", "html", "own", "places", "constants", "slots")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[tuple, tuple] = {}
@@ -329,13 +397,14 @@ def extract(pages: DataFrame) -> DataFrame:
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 texts = []
-                for html, *known in zip(*(part.column(c).to_pylist() for c in ("html", "places", "constants", "slots")), strict=True):
-                    key = tuple(tuple(x or ()) for x in known)
+                for html, enough, *known in zip(*(part.column(c).to_pylist() for c in ("html", "own", "places", "constants", "slots")), strict=True):
+                    key = (bool(enough), *(tuple(x or ()) for x in known))
                     if key not in sets:
                         if len(sets) > 500:
                             sets.clear()
-                        template = frozenset(key[0]) or fallback
-                        sets[key] = (template, frozenset(key[1]), article_place(template, key[2]), bool(key[0]))
+                        own_places = frozenset(x.partition("\t")[0] for x in key[1])
+                        template = own_places if key[0] and own_places else fallback
+                        sets[key] = (template, frozenset(key[2]), article_place(template, key[1], key[3]), key[0] and bool(own_places))
                     texts.append(article(html, *sets[key]))
                 yield pa.RecordBatch.from_arrays([part.column("page_id"), part.column("url"), pa.array(texts, pa.string())], ["page_id", "url", "text"])
 

@@ -1,3 +1,5 @@
+import time
+
 from helixframe.llm import main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T &amp; t</title><style>p{{}}</style><script>var t="</p>";</script></head><body>
@@ -27,8 +29,73 @@ def test_article(spark):
 
 def test_classes_nest(spark):
     rows = [(n, f"http://a.example.com/{n}", PAGE.format(n=n), "x") for n in range(6)]
-    found = {r["host"]: set(r["places"]) for r in main_text.templates(spark.createDataFrame(rows, "page_id long, url string, html string, x string")).collect()}
-    assert "/html/body/article/h1" in found["a.example.com"] and found["a.example.com"] == found["*"]
+    found = {r["host"]: r["places"] for r in main_text.templates(spark.createDataFrame(rows, "page_id long, url string, html string, x string")).collect()}
+    assert set(found["a.example.com"]) == set(found["*"]) == template_by_brute_force([PAGE.format(n=n) for n in range(6)])
+    known = {place: (parent, label) for place, parent, label in (x.split("\t") for x in found["*"])}
+    paths = set()
+    for place in known:
+        path = ""
+        while place:
+            place, label = known[place]
+            path = f"/{label}{path}"
+        paths.add(path)
+    assert "/html/body/article/h1" in paths
+
+
+def template_by_brute_force(pages):
+    """Occurrence vectors written out page by page, classes of equal vectors, those that are valid and nest."""
+    vectors, around = {}, {}
+    for i, page in enumerate(pages):
+        for node in main_text.read(page)[0][1:]:
+            vectors.setdefault(node.place, [0] * len(pages))[i] += 1
+            around[node.place] = (node.parent.place, node.label)
+    classes = {}
+    for place, vector in vectors.items():
+        classes.setdefault(tuple(vector), []).append(place)
+    valid = [c for v, c in classes.items() if sum(map(bool, v)) >= max(2, len(pages) * main_text.MIN_SHARE)]
+    held = {""} | {place for c in valid for place in c}
+    return {"\t".join([place, *around[place]]) for c in valid if all(around[p][0] in held for p in c) for place in c}
+
+
+def test_template_equals_brute_force(spark):
+    """Pages of one host whose blocks come and go, repeat and nest."""
+    pages = ["<html><body>" + "<div class=a><p>x</p></div>" * (1 + n % 3) + "<div class=b><ul><li>y</ul></div>" * (n % 2) + "<section><div class=a>z</div></section>" * (n == 3)
+             + "<h1>t</h1></body></html>" for n in range(9)]
+    rows = [(n, "http://a.example.com/", page) for n, page in enumerate(pages)]
+    found = {r["host"]: r["places"] for r in main_text.templates(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert set(found["a.example.com"]) == template_by_brute_force(pages) and len(found["a.example.com"]) == len(set(found["a.example.com"]))
+
+
+def article(page):
+    return main_text.article(page, frozenset(), frozenset())
+
+
+def test_titles_and_hidden_elements_stay():
+    for head in ("<header class='entry-header'><h1>Title</h1></header>", "<div class='entry-header'><h1>Title</h1></div>", "<header><hgroup class=x><h2>Title</h2></hgroup></header>",
+                 "<h1 class=page-header>Title</h1>", "<p class=notice>Title</p>", "<div hidden>Title</div>", "<div style='display:none'>Title</div>"):
+        assert article(f"<body><header><h1>Site</h1></header><article>{head}<p>One.</p></article></body>") == "Title One.", head
+    for gone in ("<header class=toolbar>Tools</header>", "<nav>Menu</nav>", "<div class='cookie-notice'>Cookies</div>", "<p class='ad'>Buy</p>", "<ol class=comment-list><li>Hi</ol>",
+                 "<footer>End</footer>", "<ul class=breadcrumbs><li>Home</ul>", "<article class=comment><p>Hi</p></article>"):
+        assert article(f"<article>{gone}<p>One.</p></article>") == "One.", gone
+
+
+def test_broken_markup():
+    assert article('<p title="a>One.') == "One."
+    assert article('<article><p title="a>One.</p><p id=b>Two</p></article>') == "One. Two"
+    assert article("<article><p title='a > b' class=x>One.</p><p data-x=\"'>\">It's \"two\"</p></article>") == "One. It's \"two\""
+    assert article("<p>1 < 2 and 3 <4 <p>five <b") == "1 < 2 and 3 <4 five <b"
+    assert article("<p>a<!-- b <p>c") == "a" and article("<p>a<!-- b --><!doctype x><?y?>c") == "ac"
+    assert article("<div><p>a</q></section></p></div>b") == "a b"
+
+
+def test_hard_pages_take_linear_time():
+    for page, want in (("<a " * 350_000, None), ('<a =">"' * 150_000, None), ("<div>" * 200_000 + "deep", "deep"), ("<div>" * 50_000 + "</section>" * 50_000 + "x", "x"),
+                       ("<article>" * 50_000 + "x", "x"), ("<p><div>" + "<x>" * 50_000 + "</q>" * 50_000 + "x", "x"), ("<div>y" * 50_000, " ".join("y" * 50_000)),
+                       ("<p " + "a" * 1_000_000 + ">x", "x"), ("<p class" + " " * 1_000_000 + ">x", "x"), ("<!--" * 250_000, "")):
+        begin = time.process_time()
+        got = article(page)
+        assert want is None or got == want
+        assert time.process_time() - begin < 20, page[:20]
 
 
 def test_empty(spark):
