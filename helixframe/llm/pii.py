@@ -7,32 +7,41 @@ a valid check digit, dates stay dates, phone numbers keep their punctuation and
 Numbers and dates are validated before they are replaced, and what fails stays: a card number by its issuer, length and
 check digit, an IBAN by mod 97, a social security number by its ranges, a phone number by country code and length, an IP
 address by its parts, a date by the calendar. The replacement of a valid value is valid, with right check digits. Where a
-run of digits is not valid as a whole, its groups are looked at. E-mail addresses and secrets (the quoted or long value
-after a word such as token, key, password) are permuted letter for letter.
+run of digits is not valid as a whole, its groups are looked at. E-mail addresses and secrets (the value after a word
+such as token, key, password) are permuted letter for letter. A secret is quoted, or has a digit or a capital behind a
+small letter, so that prose after such a word stays.
 
-Null texts stay null; empty ones are unchanged. Rows that repeat are treated alike. Whole texts are scanned. Columns of
-the input named like an output column are replaced.
+The key is ``spark.helixframe.pii.key`` of the session; without it a key that anybody can read here is used, with a
+warning. Values of over 48 characters are permuted in pieces of 48, each by its place, so their time grows with their length.
+
+Null texts stay null; empty ones are unchanged, an empty table stays empty. Rows that repeat are treated alike. Whole
+texts are scanned, in time proportional to their length. Columns of the input named like an output column are replaced.
 """
 
 from __future__ import annotations
 
 import datetime
 import hashlib
+import logging
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 KEY = b"helixframe-demonstration-key"
+KEY_SETTING = "spark.helixframe.pii.key"
 ROUNDS = 8
+# A round's digest has 128 bits; half of a piece has fewer.
+PIECE = 48
 DAY_ZERO, DAYS = datetime.date(1900, 1, 1).toordinal(), 73_049  # 1900 to 2099
 
 # What is looked for. Order decides when two begin at the same place.
 PATTERNS = {
     "secret": r"(?i:\b(?:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|auth)\b\s*[=:]\s*)(?:\"[^\"\n]{4,}\"|'[^'\n]{4,}'|[A-Za-z0-9_\-+/.]{8,})",
-    "email": r"[A-Za-z0-9_][A-Za-z0-9_.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9_.+%-])[.+%-]*[A-Za-z0-9_][A-Za-z0-9_.+%-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "date": r"(?<![\d.\-/])(?:(?:19|20)\d\d([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2(?:19|20)\d\d)(?![\d\-/]|\.\d)",
     "ip": r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)",
@@ -58,14 +67,15 @@ FINDER = re.compile("|".join(f"(?P<{n}>{p.replace(chr(92) + '1', '(?P=d1)').repl
 EACH = {n: re.compile(p) for n, p in PATTERNS.items()}
 
 
+SECRET_HEAD = re.compile(r"[^=:]*[=:]\s*")
+
+
 class Permutation:
     """A keyed permutation of 0 .. n-1: an alternating Feistel network on a x b >= n, walked until inside."""
 
     def __init__(self, key: bytes, label: str, n: int):
         self.n = n
-        self.a = max(2, int(n**0.5))
-        while self.a * self.a < n:
-            self.a += 1
+        self.a = max(2, math.isqrt(n - 1) + 1)
         self.base = hashlib.blake2b(f"{label}/{n}".encode(), key=key[:64], digest_size=16)
 
     def _round(self, i: int, half: int) -> int:
@@ -120,6 +130,9 @@ def valid(kind: str, value: str) -> bool:
         return luhn_digit(held[:-1]) == held[-1] and any(lo <= held[: len(lo)] <= hi and len(held) in lengths for lo, hi, lengths in ISSUERS)
     if kind == "iban":
         return 15 <= len(value.replace(" ", "")) <= 34 and iban_digits(value) == value[2:4]
+    if kind == "secret":
+        core = value[len(SECRET_HEAD.match(value)[0]) :]
+        return core[0] in "\"'" or re.search(r"\d|[a-z][A-Z]", core) is not None
     if kind == "ssn":
         return held[:3] not in ("000", "666") and held[0] != "9" and held[3:5] != "00" and held[5:] != "0000"
     if kind == "phone":
@@ -144,7 +157,9 @@ def digits(value: str, key: bytes, label: str, back: bool = False, fixed: int =
 
 
 def letters(value: str, key: bytes, label: str, back: bool = False) -> str:
-    """Permute letters among letters of their case and digits among digits, as one mixed-radix number."""
+    """Permute letters among letters of their case and digits among digits, as one mixed-radix number per piece."""
+    if len(value) > PIECE:
+        return "".join(letters(value[i : i + PIECE], key, f"{label}/{i}/{len(value)}", back) for i in range(0, len(value), PIECE))
     kinds = [(26, "A") if "A" <= c <= "Z" else (26, "a") if "a" <= c <= "z" else (10, "0") if "0" <= c <= "9" else None for c in value]
     size, number = 1, 0
     for c, kind in zip(value, kinds, strict=True):
@@ -165,6 +180,10 @@ def letters(value: str, key: bytes, label: str, back: bool = False) -> str:
 
 def hexadecimal(value: str, key: bytes, label: str, back: bool = False) -> str:
     """Permute a hexadecimal value among those of its length and case."""
+    if len(value) > PIECE:
+        # A piece without letters has the case of the whole.
+        done = [hexadecimal(value[i : i + PIECE].lower(), key, f"{label}/{i}/{len(value)}", back) for i in range(0, len(value), PIECE)]
+        return "".join(done).upper() if value.lower() != value else "".join(done)
     got = permutation(key, f"{label}/{len(value)}", 16 ** len(value)).apply(int(value, 16), back)
     text = format(got, "x").zfill(len(value))
     return text.upper() if value.upper() == value and value.lower() != value else text
@@ -227,7 +246,7 @@ def _permuted(kind: str, value: str, key: bytes, back: bool) -> str | None:
         new = value[:4] + letters(value[4:], key, f"iban/{value[:2]}", back)
         return new[:2] + iban_digits(new) + new[4:]
     if kind == "secret":
-        head = re.match(r"(?i)\w+(?:[_-]?\w+)?\s*[=:]\s*", value)[0]
+        head = SECRET_HEAD.match(value)[0]
         body = value[len(head) :]
         quote = body[0] if body[0] in "\"'" else ""
         core = body[1:-1] if quote else body
@@ -271,6 +290,14 @@ def redact(text: str | None, key: bytes = KEY) -> tuple[str | None, list[tuple]]
     return "".join(out) + text[at:], spans
 
 
+def key_of(spark: SparkSession) -> bytes:
+    """The key that the session names."""
+    key = spark.conf.get(KEY_SETTING, "")
+    if not key:
+        logging.getLogger(__name__).warning("%s is not set: pseudonyms can be undone by anybody", KEY_SETTING)
+    return key.encode() or KEY
+
+
 def pseudonymise(docs: DataFrame, key: bytes = KEY, text: str = "text") -> DataFrame:
     """Replace the text and add ``pii``: kind and span, in the original text, of every value replaced."""
     span = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("stop", T.LongType())]))

@@ -50,7 +50,7 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    done = pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.key_of(spark))
     return done.select("doc_id", "text", F.size("pii").cast("long").alias("n_replaced"), "pii")
 
 
