@@ -45,8 +45,9 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "warc")
-    blocks = warc.write_archive(table(spark, sf_dir, "pages"), root)
-    return warc.read_archive(blocks, root)
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archive(pages, root)
+    return warc.lookup(spark, root, pages.select("url"), with_payload=False)
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,13 +2,16 @@
 
 Captures are dealt to archive files by ranges of their key (host name reversed, then path) and sorted by it, so a file
 and its index run in the same order. The index of a file is a row of compressed blocks of captures; a sparse directory
-keeps the first key and the place of each block. A look-up searches the directory by bisection, reads one block, searches
-it, and then reads the byte range of the record. Reading everything back walks the blocks: one range read per block.
+keeps the first key and the place of each block. A look-up of URLs searches the directories by bisection for the blocks
+that may hold each key; then each of these blocks is one row, so a key with many captures is spread over tasks: the block is
+searched by bisection and the byte ranges of its records are read, neighbours in one read. ``read_archive`` walks the blocks
+instead.
 
 Records with the same payload of at least ``min_bytes`` bytes are stored once, as the response of the largest
 page_id; the others are revisit records that name it. Rows that repeat the largest page_id are each a response. A null
 html is an empty payload; a null page_id has no number in its record and reads back as null; a null url has an empty
-key. Other columns of the input are ignored.
+key, which can be looked up. URLs that repeat are looked up once. Empty tables give an archive, and a result, without
+records. A payload of any length is one record. Other columns of the input are ignored.
 
 Files are written with pyarrow's file systems below the shared folder. A task writes under a name of its attempt and
 moves the file to its final name, so a task that is repeated after a lost executor leaves the same files.
@@ -24,6 +27,7 @@ import zlib
 from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 from types import SimpleNamespace
 
 import pandas as pd
@@ -44,6 +48,8 @@ BLOCK_BYTES = 4_000_000
 
 DIRECTORY = "first_key string, warc string, cdx string, position long, length int, captures int, start long, stop long"
 COLUMNS = [c.split()[0] for c in DIRECTORY.split(", ")]
+# What of a directory entry leads to its block.
+PLACE = ["first_key", "warc", "cdx", "position", "length"]
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 
@@ -205,10 +211,11 @@ def read_archive(blocks: DataFrame, root: str) -> DataFrame:
     return blocks.repartition(max(1, blocks.rdd.getNumPartitions())).mapInPandas(read, RECORDS)
 
 
-def lookup(spark: SparkSession, root: str, urls: DataFrame) -> DataFrame:
-    """Captures of the given URLs (column ``url``): bisect the directory, one block and one record at a time.
+def blocks_of_keys(spark: SparkSession, root: str, keys: DataFrame) -> DataFrame:
+    """The blocks that may hold captures with the given keys (column ``key``), each with its keys.
 
     What all tasks get is one first key per archive file; the directory of a file is read by the task that searches it.
+    A block has a bounded number of captures, and so of keys.
     """
     heads = directory(spark, root).groupBy("cdx").agg(F.min("first_key").alias("first"))
     files = sorted((r["first"], r["cdx"]) for r in heads.collect())  # one row per file, not per capture
@@ -218,27 +225,63 @@ def lookup(spark: SparkSession, root: str, urls: DataFrame) -> DataFrame:
         """Positions that may hold a key: captures of it may begin before the first place that starts with it."""
         return range(max(0, bisect_left(sorted_keys, key) - 1), bisect_right(sorted_keys, key))
 
-    def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, _ = arrow_fs.FileSystem.from_uri(root)
 
         @lru_cache(maxsize=64)
-        def blocks_of(cdx: str) -> tuple[list[str], list[SimpleNamespace]]:
+        def blocks_of(cdx: str) -> tuple[list[str], list[tuple]]:
             with store.open_input_stream(f"{cdx.removesuffix('.cdx.gz')}.dir", compression=None) as file:
-                entries = [SimpleNamespace(**x) for x in json.loads(file.read())]
-            return [e.first_key for e in entries], entries
+                entries = [tuple(x[c] for c in PLACE) for x in json.loads(file.read())]
+            return [e[0] for e in entries], entries
 
-        for frame in frames:
-            for name in frame["key"]:
-                out = []
+        def hits(names: list[str]) -> Iterator[tuple]:
+            for name in names:
                 for k in around(firsts, name):
                     first, entries = blocks_of(files[k][1])
                     for i in around(first, name):
-                        rows = _block(store, entries[i])
-                        names = [r[0] for r in rows]
-                        for _, at, length in rows[bisect_left(names, name) : bisect_right(names, name)]:
-                            got = parse(zlib.decompress(_range(store, entries[i].warc, at, length), 31))
-                            out.append((got["page_id"], got["url"], got["record_type"], got["payload"].decode()))
-                yield pd.DataFrame(out, columns=["page_id", "url", "record_type", "html"]).astype({"page_id": "Int64"})
-
-    keys = urls.select(capture_key(F.col("url")).alias("key")).distinct()
-    return keys.mapInPandas(search, "page_id long, url string, record_type string, html string")
+                        yield name, *entries[i][1:]
+
+        for batch in batches:
+            found = hits(batch.column("key").to_pylist())
+            while part := list(islice(found, 4096)):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*part, strict=True), (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int32()), strict=True)],
+                    ["key", *PLACE[1:]])
+
+    named = keys.select("key").distinct().mapInArrow(search, "key string, warc string, cdx string, position long, length int")
+    return named.groupBy(*PLACE[1:]).agg(F.collect_list("key").alias("keys"))
+
+
+def lookup(spark: SparkSession, root: str, urls: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Captures of the given URLs (column ``url``), found through the index.
+
+    With payload (page_id, url, record_type, html), else the columns of ``read_archive``.
+    """
+    wanted = ["page_id", "url", "record_type", "html"] if with_payload else [c.split()[0] for c in RECORDS.split(", ")]
+    found = save(blocks_of_keys(spark, root, urls.select(capture_key(F.col("url")).alias("key"))), "blocks")
+    # Each block is about as much work as any other.
+    dealt = found.repartition(max(1, directory(spark, root).rdd.getNumPartitions()))
+
+    def records(store, entry: SimpleNamespace) -> Iterator[dict]:
+        rows = _block(store, entry)
+        names = [r[0] for r in rows]
+        hit = sorted(i for key in set(entry.keys) for i in range(bisect_left(names, key), bisect_right(names, key)))
+        begin = 0
+        for j in range(1, len(hit) + 1):
+            if j < len(hit) and hit[j] == hit[j - 1] + 1:
+                continue
+            first, last = rows[hit[begin]], rows[hit[j - 1]]
+            data = _range(store, entry.warc, first[1], last[1] + last[2] - first[1])
+            for _, at, length in (rows[i] for i in hit[begin:j]):
+                yield parse(zlib.decompress(data[at - first[1] : at - first[1] + length], 31))
+            begin = j
+
+    def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, _ = arrow_fs.FileSystem.from_uri(root)
+        for frame in frames:
+            for entry in frame.itertuples():
+                found = [{**r, "html": r["payload"].decode()} if with_payload else r for r in records(store, entry)]
+                out = pd.DataFrame(found, columns=wanted).astype({"page_id": "Int64"})
+                yield out if with_payload else out.astype({"refers_to": "Int64"})
+
+    return dealt.mapInPandas(read, "page_id long, url string, record_type string, html string" if with_payload else RECORDS)

@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import json
 import random
 
 import pytest
@@ -84,6 +85,27 @@ def test_revisits_where_ids_and_urls_repeat(spark, tmp_path):
             other = html in newest and newest[html] != i
             want.append((i, len(html), hashlib.sha1(html.encode()).hexdigest(), "revisit" if other else "response", newest[html] if other else None))
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+        assert sorted(map(tuple, warc.lookup(spark, root, pages.select("url"), with_payload=False).collect()), key=str) == sorted(want, key=str)
+
+
+def test_lookup_searches_the_index(spark, tmp_path, monkeypatch):
+    """Hot keys over many blocks and files, keys between blocks, and a directory that leads astray."""
+    monkeypatch.setattr(warc, "BLOCK_CAPTURES", 4)
+    rows = [(i, None if i % 3 == 0 else f"http://h{i % 5}.example.com/{i % 40:02d}", f"page {i} " + "z" * (i * 7)) for i in range(300)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    root = f"file://{tmp_path}/w"
+    assert warc.write_archive(pages, root, files=4).count() >= 75
+    got = warc.lookup(spark, root, pages.select("url"), with_payload=False).collect()
+    assert sorted((r["page_id"], r["payload_digest"]) for r in got) == [(i, hashlib.sha1(h.encode()).hexdigest()) for i, _, h in rows]
+    some = spark.createDataFrame([(None,), ("http://h1.example.com/01",), ("http://h1.example.com/01",), ("http://h9.example.com/",), ("http://aa.example.com/0",)], "url string")
+    found = warc.lookup(spark, root, some).collect()
+    assert sorted((r["page_id"], r["html"]) for r in found) == [(i, h) for i, u, h in rows if u in (None, "http://h1.example.com/01")]
+    assert warc.lookup(spark, root, some.limit(0)).count() == 0
+    # With first keys that are too late no bisection can come to the records of the block.
+    for path in (tmp_path / "w").glob("*.dir"):
+        entries = json.loads(path.read_text())
+        path.write_text(json.dumps([{**e, "first_key": "zzz"} for e in entries]))
+    assert len(warc.lookup(spark, root, pages.select("url"), with_payload=False).collect()) < len(rows)
 
 
 def test_archive_of_nothing(spark, tmp_path):
