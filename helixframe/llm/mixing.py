@@ -3,9 +3,10 @@
 A source is a stream of words: its documents in the order of a keyed hash, repeated when the target exceeds its size. The
 stream up to the target is cut into blocks of equal size. The blocks of all sources are the quotas that a binary tree
 splits among the output shards: each node draws, without replacement, how many blocks of each source its left half gets,
-so the shards add up to the quotas exactly and each is a random share. Within a source the blocks are permuted and
+so the shards add up to the quotas exactly and each is a random share. Within a source the blocks are permuted by drawn
+keys (in each round a block and its mirror image at the round's key change places or not, by a hash of the pair) and
 given out in that order, so shards draw disjoint blocks; a document goes with the block in which it starts. Rows of a
-shard are shuffled by sorting on a second hash.
+shard are shuffled by sorting on a second hash, ``order``.
 
 Documents are taken whole, but for the one per source at which the target is reached: of it the first words are taken.
 A null or empty text has size 0 and is never taken. A null source is a source of its own, last in order. Rows that
@@ -18,7 +19,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from helixframe.llm.common import n_words
+from helixframe.llm.common import bound, n_words
 
 SEED = 20_240_501
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -26,6 +27,8 @@ SHARE = 1.5
 MOST_COPIES = 2.0
 SHARDS = 16
 BLOCK_WORDS = 1024
+# Rounds of the permutation of a source's blocks.
+ROUNDS = 48
 # Hash buckets get about this many documents each; a bucket is summed and ordered within one task.
 BUCKET_DOCS = 128
 
@@ -74,7 +77,7 @@ def _running(df: DataFrame, by: list[str], order: list[str], value: str) -> Colu
 def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block_words: int = BLOCK_WORDS) -> DataFrame:
     """All rows of ``docs`` with size, source_size, target, taken and the place in the mix.
 
-    ``place`` lists (copy, shard, words) for each copy taken. Only totals per source reach the driver.
+    ``place`` lists (copy, shard, words, order) for each copy taken. Only totals per source reach the driver.
     """
     added = ["size", "source_size", "target", "taken", "place"]
     kept = [c for c in docs.columns if c not in added]
@@ -95,12 +98,11 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block_words: i
     for i, r in enumerate(totals):
         ends = np.cumsum(shares[:, i])
         blocks = max(1, int(ends[-1]))
-        step = next(x for x in range(max(1, int(blocks * 0.618)), 2 * blocks + 2) if np.gcd(x, blocks) == 1)
-        rows.append((r["_null"], r["_src"], int(r["source_size"]), float(goal[i]), int(words[i]), blocks, int(step),
-                     int((seed + 7919 * i) % blocks), [int(x) for x in ends]))
+        keys = np.random.default_rng([seed, shards, i]).integers(0, 2**62, ROUNDS)
+        rows.append((r["_null"], r["_src"], int(r["source_size"]), float(goal[i]), int(words[i]), blocks, [int(x) for x in keys], [int(x) for x in ends]))
     spark = docs.sparkSession
     per_source = spark.createDataFrame(
-        rows, "_null int, _src string, source_size long, target double, _words long, _blocks long, _step long, _shift long, _ends array<long>")
+        rows, "_null int, _src string, source_size long, target double, _words long, _blocks long, _keys array<long>, _ends array<long>")
 
     bits = max(0, int(np.ceil(np.log2(max(1, sum(r["n"] for r in totals)) / BUCKET_DOCS))))
     bucket = F.shiftrightunsigned("_order", 64 - bits) if bits else F.lit(0).cast("long")
@@ -115,12 +117,17 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block_words: i
     placed = base.withColumn("_inside", inside).join(starts, [*key, "_bucket"]).join(F.broadcast(per_source), key)  # one row per source
     at = F.col("_before") + F.col("_inside")
 
+    def permuted(number: Column) -> Column:
+        """Place of a block among the blocks of its source: one to one, for any number of blocks."""
+        mirror = lambda x, key: F.pmod(key - x, F.col("_blocks"))
+        return F.aggregate("_keys", number, lambda x, key: F.when(
+            F.xxhash64(key, F.greatest(x, mirror(x, key))).bitwiseAND(F.lit(1)) == 1, mirror(x, key)).otherwise(x))
+
     def copy(n: Column) -> Column:
         start = at + n * F.col("source_size")
         words = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_words") - start)).cast("long")
-        position = F.pmod(F.floor(start / block) * F.col("_step") + F.col("_shift"), F.col("_blocks"))
-        shard = F.size(F.filter("_ends", lambda e: e <= position))
-        return F.struct(n.cast("int").alias("copy"), shard.cast("int").alias("shard"), words.alias("words"))
+        shard = bound(permuted(F.floor(start / block).cast("long")), lambda p: F.size(F.filter("_ends", lambda e: e <= p)))
+        return F.struct(n.cast("int").alias("copy"), shard.cast("int").alias("shard"), words.alias("words"), F.xxhash64(F.lit(seed + 1), "_order", n).alias("order"))
 
     copies = F.array(*[copy(F.lit(i)) for i in range(int(np.ceil(MOST_COPIES)))])
     taken = F.filter(copies, lambda c: c["words"] > 0)
@@ -130,19 +137,23 @@ def plan(docs: DataFrame, shards: int = SHARDS, seed: int = SEED, block_words: i
 
 
 def mix(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """One row per copy taken, with ``copy``, ``shard`` and ``words``; of a document cut at the target, its first words."""
+    """One row per copy taken, with ``copy``, ``shard``, ``words`` and ``order``; of a document cut at the target, its first words."""
     planned = plan(docs, shards, seed)
-    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "place", "copy", "shard", "words")]
+    kept = [c for c in docs.columns if c not in ("size", "source_size", "target", "taken", "place", "copy", "shard", "words", "order")]
     rows = planned.select(*kept, "size", F.explode("place").alias("_p"))
     head = F.regexp_extract("text", r"^[\x20\x09-\x0D]*", 0)
     pieces = F.slice(F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)")), F.lit(1), F.col("_p.words").cast("int"))
     cut = F.rtrim(F.concat(head, F.array_join(pieces, "")))
     text = F.when(F.col("_p.words") < F.col("size"), cut).otherwise(F.col("text"))
-    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in kept], "size", "_p.copy", "_p.shard", "_p.words")
+    return rows.select(*[text.alias(c) if c == "text" else F.col(c) for c in kept], "size", "_p.copy", "_p.shard", "_p.words", "_p.order")
+
+
+def shuffled(mixed: DataFrame) -> DataFrame:
+    """Rows of ``mix`` together by shard, in the order that a hash gives; a shard is spread over many tasks."""
+    spread = int(mixed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return mixed.repartition("shard", F.pmod("order", F.lit(spread))).sortWithinPartitions("shard", "order")
 
 
-def write_shards(mixed: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
-    """Write a folder per shard, its rows in an order that a hash shuffles; large shards are spread over many tasks."""
-    order = F.xxhash64(F.lit(seed + 1), "doc_id", "copy")
-    (mixed.withColumn("_order", order).repartitionByRange("shard", "_order").sortWithinPartitions("shard", "_order")
-     .drop("_order").write.partitionBy("shard").parquet(path))
+def write_shards(mixed: DataFrame, path: str) -> None:
+    """Write a folder per shard, its rows shuffled."""
+    shuffled(mixed).write.partitionBy("shard").parquet(path)

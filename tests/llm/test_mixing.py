@@ -71,3 +71,32 @@ def test_empty(docs_of):
 def test_draw_is_hypergeometric():
     first = np.array([mixing.split_tree([100, 300], 2, seed=s)[0] for s in range(400)])
     assert (first.sum(axis=1) == 200).all() and abs(first[:, 0].mean() - 50) < 1
+
+
+def test_shards_get_what_the_tree_draws(docs_of, spark, tmp_path):
+    """Documents of one block each: the copies per shard and source are the tree's numbers, each block in one place."""
+    rows = [(i, "w w w w", "a" if i < 90 else "b" if i < 97 else None) for i in range(140)]
+    planned = mixing.plan(docs_of(rows), shards=6, seed=3, block_words=4).collect()
+    order = ["a", "b", None]
+    goal = mixing.targets([(s, 4 * sum(x == s for _, _, x in rows)) for s in order])
+    want = mixing.split_tree([-(-round(g) // 4) for g in goal], 6, 3)
+    got = np.zeros_like(want)
+    for r in planned:
+        for p in r["place"]:
+            got[p["shard"], order.index(r["source"])] += 1
+    assert (got == want).all()
+    # The blocks of a source do not go to the shards in the order of its stream.
+    other = {r["doc_id"]: [p["shard"] for p in r["place"]] for r in mixing.plan(docs_of(rows), shards=6, seed=4, block_words=4).collect()}
+    assert other != {r["doc_id"]: [p["shard"] for p in r["place"]] for r in planned}
+    mixed = mixing.mix(docs_of(rows))
+    mixing.write_shards(mixed, f"file://{tmp_path}/s")
+    for path in (tmp_path / "s").glob("shard=*/*.parquet"):
+        held = [r["order"] for r in spark.read.parquet(f"file://{path}").collect()]
+        assert held == sorted(held)
+    assert sorted(r["order"] for r in spark.read.parquet(f"file://{tmp_path}/s").collect()) == sorted(p["order"] for r in mixing.plan(docs_of(rows)).collect() for p in r["place"])
+
+
+def test_long_texts_and_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "word " * 300_000, "a", "x", 7), (2, "b", "a", "y", 8)], "doc_id long, text string, source string, place string, order int")
+    got = mixing.mix(docs).collect()
+    assert sum(r["words"] for r in got) == round(1.5 * 300_001) == sum(len(r["text"].split()) for r in got)
