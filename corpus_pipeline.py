@@ -1,7 +1,12 @@
 """Corpus pipeline: toxicity, line dedup, near-dedup, mixing, byte-level BPE.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of ``docs``; ``run`` writes its result as Parquet below the
-shared folder and reads it back as the next stage's ``docs``. Columns beyond those of ``documents`` are left out.
+shared folder and reads it back as the next stage's ``docs``. Columns beyond those of ``documents`` are left out, also
+where their names clash with what a stage adds.
+
+A null or empty text is scored, has no lines to lose, is a near-copy of no other text, has size 0 and so is never taken by the mix.
+Null ids and sources are kept as they are. Rows that repeat an id or a text are separate documents until near-dedup, which
+keeps one row of a class. An empty table gives an empty result in each stage. Texts are processed whole.
 """
 
 from __future__ import annotations
@@ -34,8 +39,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one cut at its source's target keeps its first words."""
-    mixed = mixing.mix(with_defaults(docs))
+    """Documents as often as the mix takes them, shuffled within the shards; the one cut at its source's target keeps its first words."""
+    mixed = mixing.shuffled(mixing.mix(with_defaults(docs)))
     return with_defaults(mixed.withColumn("n_chars", F.when(F.col("words") < F.col("size"), F.length("text")).otherwise(F.col("n_chars")).cast("long")))
 
 
@@ -52,7 +57,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mix_sources), ("bpe", encode),
 ]
 
-#: The scorer, the signatures and the draw have no SQL form; tests hold the stages against brute force.
+#: The scorer, the signatures and the draw have no SQL form; tests of the operators hold each against brute force.
 ORACLE_SQL = None
 
 
