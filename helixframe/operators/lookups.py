@@ -93,13 +93,9 @@ def protein_features(t: Tables) -> DataFrame:
     return t["feature"].join(proteins, "feature_id", "left_semi")
 
 
-def _named(t: Tables, name: str) -> DataFrame:
-    return t["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.col("name").alias(name))
-
-
 def feature_properties(t: Tables) -> DataFrame:
     props = t["featureprop"].select("feature_id", "type_id", "value", "rank", "featureprop_id")
-    return props.join(_named(t, "property"), "type_id").drop("type_id")
+    return props.join(t.term_names("featureprop", "property"), "type_id").drop("type_id")
 
 
 def feature_publications(t: Tables) -> DataFrame:
@@ -119,7 +115,7 @@ def feature_cross_references(t: Tables) -> DataFrame:
 def feature_synonyms(t: Tables) -> DataFrame:
     synonyms = t["synonym"].select("synonym_id", "type_id", F.col("name").alias("synonym"))
     links = t["feature_synonym"].select("feature_synonym_id", "feature_id", "synonym_id")
-    return links.join(synonyms, "synonym_id").join(_named(t, "synonym_type"), "type_id").drop("type_id", "synonym_id")
+    return links.join(synonyms, "synonym_id").join(t.term_names("synonym", "synonym_type"), "type_id").drop("type_id", "synonym_id")
 
 
 def feature_ontology_terms(t: Tables, db: str) -> DataFrame:
@@ -129,7 +125,7 @@ def feature_ontology_terms(t: Tables, db: str) -> DataFrame:
 
 def annotation_properties(t: Tables) -> DataFrame:
     props = t["feature_cvtermprop"].select("feature_cvterm_id", "type_id", "value", "rank", "feature_cvtermprop_id")
-    return props.join(_named(t, "property"), "type_id").drop("type_id")
+    return props.join(t.term_names("feature_cvtermprop", "property"), "type_id").drop("type_id")
 
 
 def annotation_primary_publications(t: Tables) -> DataFrame:

@@ -79,7 +79,7 @@ def fasta_records(
         features = features.drop("residues").join(cut, "feature_id")
     features = features.where(valid_residues(F.col("residues"), kind))
 
-    type_names = t["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("type"))
+    type_names = t.term_names("feature", "type")
     version = t["organismprop"].where(F.col("type_id") == t.term_id("version")).groupBy("organism_id").agg(
         F.min_by("value", "organismprop_id").alias("version")
     )

@@ -50,7 +50,7 @@ def _annotations(t: Tables, organism: str | None, include_obsolete: bool) -> Dat
 def _targets(t: Tables, annotated: DataFrame, level: str) -> DataFrame:
     """feature_id, target id and type, gene name, gene_id for every annotated feature."""
     leveled = hierarchy.at_level(t, annotated.select("feature_id", "kind").distinct(), level).select("feature_id", "target_id")
-    type_names = t["cvterm"].select(F.col("cvterm_id").alias("type_id"), F.col("name").alias("DB_Object_Type"))
+    type_names = t.term_names("feature", "DB_Object_Type")
     names = t["feature"].select("feature_id", "type_id", "uniquename", "name")
     target = hierarchy.with_kind(
         t, leveled.select(F.col("target_id").alias("feature_id")).distinct().join(names.drop("name"), "feature_id")

@@ -12,6 +12,8 @@ from helixframe.schema import TABLES
 from helixframe.session import scratch_path
 
 MANIFEST = "_manifest"
+# Names of used terms are broadcast up to this many terms and bytes.
+MOST_TERMS, MOST_BYTES = 100_000, 16 << 20
 
 
 class Tables:
@@ -23,6 +25,7 @@ class Tables:
         self._names = names
         self._cache: dict[str, DataFrame] = {}
         self._ids: dict[tuple, list[int] | None] = {}
+        self._names_of: dict[tuple, tuple[DataFrame, bool]] = {}
 
     @classmethod
     def of(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> Tables:
@@ -86,6 +89,26 @@ class Tables:
         rows = self[table].where(F.col(label).isin(names))
         return self._restrict(df, column, table, ("names", tuple(names)), rows)
 
+    def term_names(self, table: str, name: str, column: str = "type_id") -> DataFrame:
+        """(``column``, ``name``): the names of the terms that a table has in a column.
+
+        Types are few, whatever the size of the vocabulary, and skewed. The
+        used ones are found once, from that column alone, and broadcast if
+        their number and bytes are within bounds; beyond, Spark chooses.
+        """
+        key = (table, column)
+        if key not in self._names_of:
+            used = self[table].select(F.col(column).alias("_id")).distinct()
+            terms = self["cvterm"].select(F.col("cvterm_id").alias("_id"), F.col("name").alias("_name")).join(used, "_id", "left_semi")
+            path = scratch_path(self.spark, "term_names")
+            terms.write.parquet(path)
+            held = self.spark.read.schema(terms.schema).parquet(path)
+            n, size = held.agg(F.count(F.lit(1)), F.sum(F.octet_length("_name") + 8)).first()
+            self._names_of[key] = held, n <= MOST_TERMS and (size or 0) <= MOST_BYTES
+        held, small = self._names_of[key]
+        out = held.select(F.col("_id").alias(column), F.col("_name").alias(name))
+        return F.broadcast(out) if small else out
+
     def term_id(self, name: str, cv: str | None = None) -> int:
         """Id of a required term; the lowest one if several vocabularies have it."""
         terms = self["cvterm"].where(F.col("name") == name)

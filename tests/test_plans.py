@@ -2,8 +2,11 @@
 
 import re
 
+import pytest
+
+from helixframe import tables
 from helixframe.operators import lookups, merge
-from helixframe.plans import reports
+from helixframe.plans import gff_export, reports
 from verification import fixtures
 
 SF = "/root/testdata/sf0.001"
@@ -38,3 +41,17 @@ def test_small_batch_does_not_shuffle_the_table(spark):
     text = plan(merge.update_rows(t["synonym"], resolved, ["synonym_sgml"], "synonym_id"))
     physical = text[text.index("== Physical Plan =="):]
     assert "BroadcastHashJoin" in physical and "SortMergeJoin" not in physical
+
+
+@pytest.mark.parametrize("make", [lookups.feature_properties, lookups.feature_synonyms, lookups.annotation_properties, gff_export.gff_records])
+def test_type_names_are_joined_without_a_shuffle_on_types(spark, monkeypatch, make):
+    exchange = re.compile(r"hashpartitioning\(type_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if no table were small
+    try:
+        assert not exchange.search(plan(make(fixtures.tables(spark, SF))))
+        # Names beyond the bound are not forced to all tasks.
+        monkeypatch.setattr(tables, "MOST_TERMS", 0)
+        assert exchange.search(plan(make(fixtures.tables(spark, SF).with_tables({}))))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
