@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from helixframe.functions.expr import ordered_number, percent_decode
+from helixframe.sources.fasta import with_header
 from helixframe.sources.text import read_lines
 
 SEQUENCE_MARKER = "##FASTA"
@@ -105,21 +106,11 @@ def has_sequences(lines: DataFrame) -> bool:
 def sequences_of_lines(lines: DataFrame, group: list[str] | None = None) -> DataFrame:
     """Sequence records of lines after the marker: group columns, id, description, residues, pos.
 
-    Each line gets the last header before it: within its split by a window,
-    across splits from the last header of the splits before.
+    A record becomes one row; ``fasta.sequence_pieces`` keeps long ones in pieces.
     """
     group = group or []
-    block = [F.col("pos.file").alias("_file"), F.col("pos.block").alias("_block")]
     header = F.when(F.startswith("value", F.lit(">")), F.struct("pos", F.substring("value", 2, 1 << 30).alias("text")))
-    rows = lines.select("*", *block, header.alias("_head"))
-    here = Window.partitionBy("_file", "_block").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_own", F.last("_head", ignorenulls=True).over(here))
-    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carried = rows.groupBy("_file", "_block").agg(F.max("_head").alias("_last")).withColumn(
-        "_carried", F.last("_last", ignorenulls=True).over(before)
-    ).drop("_last")
-    owned = rows.join(carried, ["_file", "_block"], "left").withColumn("_record", F.coalesce("_own", "_carried"))
-    body = owned.where(F.col("_record").isNotNull())
+    body = with_header(lines, header).where(F.col("_record").isNotNull())
     piece = F.when(F.col("_head").isNull(), F.struct("pos", F.translate("value", "\r ", "").alias("bases")))
     joined = body.groupBy(*group, "_record").agg(F.array_sort(F.collect_list(piece)).alias("_pieces"))
     return joined.select(

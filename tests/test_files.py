@@ -1,11 +1,12 @@
 """Reading, importing and exporting small files."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.plans import fasta_import, gaf_import, gff_export, gff_import, ontology_import
+from helixframe.plans import fasta_export, fasta_import, gaf_import, gff_export, gff_import, ontology_import
 from helixframe.session import cut_lineage
 from helixframe.sources import fasta, gaf, gff, ontology
 from helixframe.sources.text import read_lines
@@ -140,6 +141,65 @@ def test_fasta(spark, tmp_path):
     assert got == {"a": ("ACGT", "region"), "b": ("AAA", None), "c": ("", None)}
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    """Files are read in splits of 200 bytes."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    held = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[0], "200")
+    spark.conf.set(names[1], "0")
+    yield
+    for n, v in zip(names, held, strict=True):
+        spark.conf.set(n, v)
+
+
+def test_sequence_pieces(spark, tmp_path, tiny_splits):
+    """Pieces over many splits: wrapped, unwrapped, empty and repeated records, blank lines, CRLF."""
+    rng = random.Random(5)
+    made, text = [], "no header yet\n"
+    for name, n, wrap in [("a", 1500, 60), ("b", 0, 60), ("c", 700, 700), ("d", 30, 7), ("a", 41, 10), ("e", 60, 60)]:
+        bases = "".join(rng.choices("ACGTN", k=n))
+        made.append((name, bases))
+        text += f">{name} of {n}\r\n" + "".join(bases[i:i + wrap] + rng.choice(["\n", "\r\n", "\n\n"]) for i in range(0, n, wrap))
+    lines = read_lines(spark, write(tmp_path / "fa", text))
+    assert lines.select("pos.block").distinct().count() > 5
+    heads = {r["pos"]: (r["id"], r["description"]) for r in fasta.headers(lines).collect()}
+    for width in (7, 60, 12_000):
+        pieces = fasta.sequence_pieces(lines, width)
+        rows = sorted(pieces.collect(), key=lambda r: (r["pos"], r["chunk_no"]))
+        assert all(len(r["bases"]) <= width for r in rows)
+        whole = [(heads[p][0], "".join(r["bases"] for r in rows if r["pos"] == p)) for p in sorted(heads)]
+        assert whole == made
+        sized = {r["pos"]: r["seqlen"] for r in fasta.with_lengths(fasta.headers(lines), pieces).collect()}
+        assert [sized[p] for p in sorted(sized)] == [len(b) for _, b in made]
+    assert sorted(heads.values()) == sorted((n, f"{n} of {len(b)}") for n, b in made)
+    assert fasta.sequence_pieces(lines.where("false")).count() == 0
+
+
+def test_import_and_genes_of_pieces(spark, small, tmp_path):
+    """Of two records with one id the last is imported; genes are cut from its pieces and the file is written again from them."""
+    bases = "".join(random.Random(6).choices("ACGT", k=900))
+    text = ">seq1 old\n" + "A" * 500 + "\n>seq1 new\n" + "\n".join(bases[i:i + 60] for i in range(0, 900, 60)) + "\n"
+    lines = read_lines(spark, write(tmp_path / "fa", text))
+    pieces = fasta.sequence_pieces(lines).cache()
+    records = gff_import.of_organism(small, fasta.with_lengths(fasta.headers(lines), pieces), "ONE")
+    t = load(small, fasta_import.import_fasta(small, records, "chromosome"))
+    top = t["feature"].where("uniquename = 'seq1'")
+    assert [(r["residues"], r["seqlen"]) for r in top.collect()] == [(None, 900)]
+    rows = "".join("\t".join(["seq1", "s", "gene", str(a), str(b), ".", strand, ".", f"ID={i}"]) + "\n" for i, a, b, strand in [
+        ("g1", 1, 61, "+"), ("g2", 400, 800, "-"), ("g3", 850, 900, "+")])
+    gff_records = gff_import.of_organism(small, gff.read_gff(spark, write(tmp_path / "g", "##gff-version 3\n" + rows)), "ONE")
+    t = load(t, gff_import.import_gff(t, gff_records))
+    placed = fasta_export.pieces_of_features(t, records, pieces)
+    got = {r["id"]: r["residues"] for r in fasta_export.fasta_records(t, "genes", "ONE", pieces=placed, strict_end=False).collect()}
+    turned = bases[399:800][::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert got == {"g1": bases[:61], "g2": turned, "g3": bases[849:]}
+    assert set(r["id"] for r in fasta_export.fasta_records(t, "genes", "ONE", pieces=placed).collect()) == {"g1", "g2"}
+    fasta_export.write_pieces(t, str(tmp_path / "out"), top, placed)
+    again = fasta.read_fasta(spark, str(tmp_path / "out")).collect()
+    assert [(r["id"], r["residues"]) for r in again] == [("seq1", bases)]
+
+
 def gaf_line(**cells):
     from helixframe.terms import GAF_COLUMNS
 

@@ -8,6 +8,7 @@ from helixframe.plans import fasta_export, gaf_export, gff_export
 from helixframe.session import scratch_path
 from helixframe.sinks.delimited import write_text
 from helixframe.sources import fasta as fasta_source, gaf as gaf_source
+from helixframe.sources.text import read_lines
 from verification.registry import query
 from verification.report_queries import H, PROTEINS
 
@@ -204,6 +205,57 @@ def _(c):
     return fasta_source.read_fasta(c.spark, _fasta_file(c, "genes")).drop("pos")
 
 
+_PIECES: dict[tuple[str, str], tuple] = {}
+
+
+def _contig_pieces(c):
+    """Records and stored pieces of a file of all top-level sequences."""
+    key = (c.spark.sparkContext.applicationId, c.sf_dir)
+    if key not in _PIECES:
+        lines = read_lines(c.spark, _fasta_file(c, "contigs"))
+        path = scratch_path(c.spark, "pieces")
+        fasta_source.sequence_pieces(lines).write.parquet(path)
+        pieces = c.spark.read.parquet(path)
+        owners = c.tables["feature"].where("type_id = 4").select("organism_id", F.col("uniquename").alias("id"))
+        _PIECES[key] = fasta_source.headers(lines).join(owners, "id"), pieces
+    return _PIECES[key]
+
+
+@query(
+    "S4_sequence_pieces",
+    f"""SELECT id, seqlen, cast(i AS int) AS chunk_no, substr(residues, cast({fasta_source.PIECE} * i AS int) + 1, {fasta_source.PIECE}) AS bases FROM (
+SELECT id, residues, cast(length(residues) AS bigint) AS seqlen,
+ unnest(range(0, (length(residues) + {fasta_source.PIECE - 1}) // {fasta_source.PIECE})) AS i FROM (
+{_fasta_sql("SELECT uniquename, name, organism_id, type_id, residues FROM feature WHERE type_id = 4")}) q) r""",
+)
+def _(c):
+    records, pieces = _contig_pieces(c)
+    sized = fasta_source.with_lengths(records, pieces).select("pos", "id", "seqlen")
+    return pieces.join(sized, "pos").select("id", "seqlen", "chunk_no", "bases")
+
+
+@query("E3_genes_from_pieces", _fasta_sql(_genes_sql(1)))
+def _(c):
+    placed = fasta_export.pieces_of_features(c.tables, *_contig_pieces(c))
+    return fasta_export.fasta_records(c.tables, "genes", release="r+1", pieces=placed)
+
+
+_CONTIGS = _fasta_sql("SELECT uniquename, name, organism_id, type_id, residues FROM feature WHERE type_id = 4")
+
+
+@query(
+    "K4_lines_from_pieces",
+    f"""SELECT '>' || id || ' ' || description AS value FROM ({_CONTIGS}) q
+UNION ALL SELECT substr(residues, cast(60 * i AS int) + 1, 60) FROM (
+ SELECT residues, unnest(range(0, (length(residues) + 59) // 60)) AS i FROM ({_CONTIGS}) q) r""",
+)
+def _(c):
+    placed = fasta_export.pieces_of_features(c.tables, *_contig_pieces(c))
+    path = scratch_path(c.spark, "fasta")
+    fasta_export.write_pieces(c.tables, path, c.tables["feature"].where("type_id = 4"), placed, "r+1")
+    return c.spark.read.text(path)
+
+
 @query("S11_read_gzip", f"SELECT id, residues FROM ({_fasta_sql(PEPTIDES)}) q")
 def _(c):
     return fasta_source.read_fasta(c.spark, _fasta_file(c, "proteins", compress=True)).select("id", "residues")
