@@ -6,7 +6,11 @@ Term columns: id, name, namespace, definition, comment, is_obsolete, synonyms
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from helixframe.sources.fasta import with_header
 
 TERM_COLUMNS = [
     "id", "name", "namespace", "definition", "comment", "is_obsolete", "synonyms", "xrefs", "alt_ids", "relations",
@@ -96,12 +100,12 @@ def read_obo(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, str]
 
 _TEXT = "STRUCT<_VALUE: STRING>"
 _RESOURCE = "STRUCT<`_rdf:resource`: STRING>"
-OWL_CLASS = f"""`_rdf:about` STRING, `rdfs:label` ARRAY<{_TEXT}>, `obo:IAO_0000115` ARRAY<{_TEXT}>,
+OWL_CLASS = f"""`_rdf:about` STRING, `_rdf:ID` STRING, `rdf:type` ARRAY<{_RESOURCE}>, `rdfs:label` ARRAY<{_TEXT}>, `obo:IAO_0000115` ARRAY<{_TEXT}>,
  `rdfs:comment` ARRAY<{_TEXT}>, `owl:deprecated` {_TEXT}, `oboInOwl:hasOBONamespace` ARRAY<{_TEXT}>,
  `oboInOwl:hasExactSynonym` ARRAY<{_TEXT}>, `oboInOwl:hasNarrowSynonym` ARRAY<{_TEXT}>,
  `oboInOwl:hasBroadSynonym` ARRAY<{_TEXT}>, `oboInOwl:hasRelatedSynonym` ARRAY<{_TEXT}>,
  `oboInOwl:hasDbXref` ARRAY<{_TEXT}>, `oboInOwl:hasAlternativeId` ARRAY<{_TEXT}>,
- `rdfs:subClassOf` ARRAY<STRUCT<`_rdf:resource`: STRING, `owl:Restriction`: STRUCT<
+ `rdfs:subClassOf` ARRAY<STRUCT<`_rdf:resource`: STRING, `owl:Class`: STRUCT<`_rdf:about`: STRING>, `owl:Restriction`: STRUCT<
    `owl:onProperty`: {_RESOURCE}, `owl:someValuesFrom`: {_RESOURCE}>>>"""
 
 
@@ -110,19 +114,116 @@ def _local_id(iri: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(iri, "^.*[/#]", ""), "_(?=[0-9]+$)", ":")
 
 
-OWL_START = "<owl:Class rdf:about="
-OWL_END = "</owl:Class>"
+# Namespaces of OWL files by the prefix that is used for them here.
+NAMESPACES = {
+    "owl": "http://www.w3.org/2002/07/owl#",
+    "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#",
+    "rdfs": "http://www.w3.org/2000/01/rdf-schema#",
+    "obo": "http://purl.obolibrary.org/obo/",
+    "oboInOwl": "http://www.geneontology.org/formats/oboInOwl#",
+}
+# A tag up to its end; quoted attribute values may hold ">".
+TAG = r"""^((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
+
+
+def _opaque(tags: DataFrame) -> DataFrame:
+    """Add ``_opaque``: "comment" or "data" for what lies in a comment or CDATA section, tags included, else ""."""
+    value = F.col("value")
+    opens = F.when(F.startswith(value, F.lit("!--")), "comment").when(F.startswith(value, F.lit("![CDATA[")), "data")
+    closes = F.contains(value, F.lit("-->")) | F.contains(value, F.lit("]]>"))
+    mark = F.when(closes, F.lit("")).otherwise(opens)
+    marked = with_header(tags, F.when(mark.isNotNull(), F.struct("pos", mark.alias("state"))))
+    state = F.coalesce(F.col("_record.state"), F.lit(""))
+    # The row that ends a section still belongs to it: what follows the end is text.
+    inside = F.when(state != "", state).when(F.startswith(value, F.lit("!--")), "comment").when(closes & F.contains(value, F.lit("-->")), "comment")
+    return marked.withColumn("_opaque", F.coalesce(inside.when(closes, "data"), F.lit(""))).drop("_head", "_record", "_file", "_block")
+
+
+def owl_elements(spark: SparkSession, path: str) -> DataFrame:
+    """The elements below the root, if there is one, of OWL (RDF/XML) files: kind (``owl:Class`` ...), xml.
+
+    Each tag with the text behind it is a row, so a file is read by many tasks, however it is laid out. The depth of a tag
+    is the sum of the tags before it that open or close an element: within its split by a window, plus the sums of the
+    splits before. Prefixes and entities that the file declares are written as those of ``NAMESPACES``. Comments are left out.
+    An element is one row; elements without content of their own carry no data and are left out.
+    """
+    raw = spark.read.option("lineSep", "<").text(path)
+    place = F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    tags = _opaque(raw.select("value", place.alias("pos")).where(F.trim("value") != "")).where("_opaque <> 'comment'")
+    body = F.regexp_extract("value", TAG, 1)
+    tags = tags.withColumn("value", F.when(F.col("_opaque") == "", _canonical(body, raw)).otherwise(F.col("value")))
+    turn = F.when(F.rlike("value", F.lit(r"^([?!]|/?rdf:RDF[\s>])")) | (F.col("_opaque") != ""), 0).when(F.startswith("value", F.lit("/")), -1).when(
+        F.endswith(body, F.lit("/")), 0).otherwise(1)
+    rows = tags.withColumns({"_turn": turn, "_file": F.col("pos.file"), "_block": F.col("pos.block")})
+    sums = rows.groupBy("_file", "_block").agg(F.sum("_turn").alias("_sum"))
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_file", "_block", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+    within = Window.partitionBy("_file", "_block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    deep = rows.withColumn("_within", F.coalesce(F.sum("_turn").over(within), F.lit(0))).join(sums, ["_file", "_block"])
+    deep = deep.select("pos", "value", "_turn", (F.col("_within") + F.col("_before")).alias("_depth"))
+    starts = (F.col("_depth") == 0) & (F.col("_turn") == 1)
+    owned = with_header(deep.where("_depth > 0 OR _turn = 1"), F.when(starts, F.col("pos")))
+    grouped = owned.where(F.col("_record").isNotNull()).groupBy("_record").agg(F.array_sort(F.collect_list(F.struct("pos", "value"))).alias("t"))
+    text = F.trim(F.concat(F.lit("<"), F.array_join(F.transform("t", lambda x: x["value"]), "<")), F.lit(" \r\n\t"))
+    found = grouped.select(text.alias("xml"))
+    return found.select(F.regexp_extract("xml", r"^<([^\s/>]+)", 1).alias("kind"), "xml")
+
+
+def _canonical(body: Column, raw: DataFrame) -> Column:
+    """A row of a tag (``body``) and text with the file's own prefixes and entities replaced: as many as its header declares."""
+    text = F.substring("value", F.length(body) + 1, F.length("value"))
+    entities = raw.where(F.startswith("value", F.lit("!ENTITY"))).select(
+        F.regexp_extract("value", "^!ENTITY\\s+(\\S+)\\s+[\"']([^\"']*)", 1).alias("name"),
+        F.regexp_extract("value", "^!ENTITY\\s+(\\S+)\\s+[\"']([^\"']*)", 2).alias("text")).distinct().collect()
+    whole = {e["name"]: e["text"] for e in entities}
+    for name, stands in whole.items():
+        body, text = (F.replace(x, F.lit(f"&{name};"), F.lit(stands)) for x in (body, text))
+    pattern = F.lit(r"""xmlns(?::([\w.-]+))?\s*=\s*["']([^"']*)""")
+    declared = raw.where(F.rlike("value", F.lit(r"^(?:[\w.-]+:)?RDF\s"))).select(F.explode(F.arrays_zip(
+        F.regexp_extract_all("value", pattern, F.lit(1)).alias("p"), F.regexp_extract_all("value", pattern, F.lit(2)).alias("n"))).alias("x"))
+    known = {iri: prefix for prefix, iri in NAMESPACES.items()}
+    own = {}
+    for prefix, iri in declared.select("x.*").distinct().collect():
+        for name, stands in whole.items():
+            iri = iri.replace(f"&{name};", stands)
+        if known.get(iri, prefix) != prefix:
+            own[prefix] = known[iri]
+    # Marked until all are done, as a file may use a prefix of this list for another namespace.
+    for prefix, name in own.items():
+        if prefix:
+            old = re.escape(prefix)
+            body = F.regexp_replace(body, rf"^(/?){old}:", f"$1\u0001{name}:")
+            body = F.regexp_replace(body, rf"(?<=\s){old}:(?=[\w.-]+\s*=)", f"\u0001{name}:")
+        else:
+            body = F.regexp_replace(body, r"^(/?)(?=[\w.-]+(?:[\s/]|$))", f"$1\u0001{name}:")
+    return F.translate(F.concat(body, text), "\u0001", "")
+
+
+def _named(elements: DataFrame, kind: str) -> DataFrame:
+    """Parsed elements of a kind with an id: typed ones, or descriptions that name the kind as their type."""
+    parsed = elements.where(F.col("kind").isin(kind, "rdf:Description")).select(
+        "kind", F.from_xml("xml", OWL_CLASS, {"attributePrefix": "_", "valueTag": "_VALUE"}).alias("c")).select("kind", "c.*")
+    stated = F.exists(F.col("`rdf:type`"), lambda x: x["_rdf:resource"] == NAMESPACES["owl"] + kind.removeprefix("owl:"))
+    ident = F.coalesce("`_rdf:about`", "`_rdf:ID`")
+    return parsed.where(ident.isNotNull() & ((F.col("kind") == kind) | F.coalesce(stated, F.lit(False)))).withColumn("_id", _local_id(ident))
+
+
+def owl_typedefs(elements: DataFrame) -> DataFrame:
+    """Relationship types of an OWL file: its object properties, by id."""
+    return _named(elements, "owl:ObjectProperty").select(F.col("_id").alias("name")).distinct()
 
 
 def read_owl(spark: SparkSession, path: str) -> DataFrame:
-    """Term records of the named classes of an OWL (RDF/XML) file.
+    """Term records of the named classes of an OWL (RDF/XML) file."""
+    return owl_terms(owl_elements(spark, path))
 
-    The file is split at the start of each named class, so a large one is read
-    by many tasks; each class is then parsed on its own.
-    """
-    chunks = spark.read.option("lineSep", OWL_START).text(path).where(F.contains("value", F.lit(OWL_END)))
-    whole = F.concat(F.lit(OWL_START), F.regexp_replace("value", f"(?s){OWL_END}(?!.*{OWL_END}).*$", OWL_END))
-    raw = chunks.select(F.from_xml(whole, OWL_CLASS, {"attributePrefix": "_", "valueTag": "_VALUE"}).alias("c")).select("c.*")
+
+def owl_terms(elements: DataFrame) -> DataFrame:
+    """Term records of the named classes among the elements of an OWL file."""
+    raw = _named(elements, "owl:Class")
     texts = lambda name: F.coalesce(
         F.transform(F.col(f"`{name}`"), lambda v: v["_VALUE"]), F.expr("cast(array() AS array<string>)")
     )
@@ -135,15 +236,15 @@ def read_owl(spark: SparkSession, path: str) -> DataFrame:
     relations = F.transform(
         F.coalesce(F.col("`rdfs:subClassOf`"), F.expr("array()").cast(raw.schema["rdfs:subClassOf"].dataType)),
         lambda s: F.when(
-            s["_rdf:resource"].isNotNull(),
-            F.struct(F.lit("is_a").alias("type"), _local_id(s["_rdf:resource"]).alias("object")),
+            F.coalesce(s["_rdf:resource"], s["owl:Class"]["_rdf:about"]).isNotNull(),
+            F.struct(F.lit("is_a").alias("type"), _local_id(F.coalesce(s["_rdf:resource"], s["owl:Class"]["_rdf:about"])).alias("object")),
         ).otherwise(F.struct(
             _local_id(s["owl:Restriction"]["owl:onProperty"]["_rdf:resource"]).alias("type"),
             _local_id(s["owl:Restriction"]["owl:someValuesFrom"]["_rdf:resource"]).alias("object"),
         )),
     )
-    return raw.where(F.col("`_rdf:about`").isNotNull()).select(
-        _local_id(F.col("`_rdf:about`")).alias("id"), first("rdfs:label").alias("name"),
+    return raw.select(
+        F.col("_id").alias("id"), first("rdfs:label").alias("name"),
         first("oboInOwl:hasOBONamespace").alias("namespace"), first("obo:IAO_0000115").alias("definition"),
         first("rdfs:comment").alias("comment"),
         F.coalesce(F.lower(F.col("`owl:deprecated`")["_VALUE"]) == "true", F.lit(False)).alias("is_obsolete"),

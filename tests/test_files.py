@@ -324,3 +324,42 @@ def test_last_record_of_an_id_counts_as_a_whole(small, spark, tmp_path):
     records = gff_import.of_organism(small, fasta.read_fasta(spark, path), "ONE")
     got = load(small, fasta_import.import_fasta(small, records, "chromosome"))["feature"]
     assert {r["uniquename"]: (r["residues"], r["seqlen"]) for r in got.collect()} == {"c1": ("TTTT", 4), "c2": ("AA", 2)}
+
+
+OWL_FILE = """<?xml version="1.0"?>
+<!DOCTYPE rdf:RDF [
+ <!ENTITY obo "http://purl.obolibrary.org/obo/" >
+ <!ENTITY owl "http://www.w3.org/2002/07/owl#" >
+]>
+<rdf:RDF xmlns="http://www.w3.org/2002/07/owl#" xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns:o="&owl;"
+  xmlns:label="http://www.w3.org/2000/01/rdf-schema#" xmlns:obo="&obo;" xmlns:oio="http://www.geneontology.org/formats/oboInOwl#">
+ <Ontology rdf:about="&obo;x.owl"/>
+ <!-- <o:Class rdf:about="&obo;GO_9"><label:label>not this</label:label></o:Class> -->
+ <o:ObjectProperty   rdf:about='&obo;x#part_of'><label:label>part of</label:label></o:ObjectProperty>
+ <rdf:Description rdf:about="&obo;x#has_part"><rdf:type rdf:resource="&owl;ObjectProperty"/></rdf:Description>
+ <o:Class
+   xml:base="x>y"  rdf:about="&obo;GO_1">
+  <label:label xml:lang="en">one &lt; two</label:label><obo:IAO_0000115><![CDATA[a <b>bold</b> text]]></obo:IAO_0000115>
+  <oio:hasExactSynonym>uno</oio:hasExactSynonym>
+ </o:Class>
+ <Class rdf:ID="GO_2"><label:label>two</label:label><label:subClassOf rdf:resource="&obo;GO_1"/>
+  <label:subClassOf><Restriction><onProperty rdf:resource="&obo;x#part_of"/><someValuesFrom rdf:resource="&obo;GO_3"/></Restriction></label:subClassOf></Class>
+ <rdf:Description rdf:about="&obo;GO_3"><rdf:type rdf:resource="&owl;Class"/><label:label>three</label:label>
+  <label:subClassOf><o:Class rdf:about="&obo;GO_2"/></label:subClassOf><o:deprecated>true</o:deprecated></rdf:Description>
+ <o:Class rdf:about="&obo;GO_4"/>
+ <o:Axiom><o:annotatedSource rdf:resource="&obo;GO_1"/></o:Axiom>
+</rdf:RDF>
+"""
+
+
+def test_owl_forms(spark, tmp_path, tiny_splits):
+    """Prefixes, entities, rdf:ID, attribute order, descriptions, nested classes, comments and CDATA, over many splits."""
+    path = write(tmp_path / "owl", OWL_FILE)
+    elements = ontology.owl_elements(spark, path)
+    terms = {r["id"]: r for r in ontology.owl_terms(elements).collect()}
+    assert {k: (r["name"], r["is_obsolete"]) for k, r in terms.items()} == {
+        "GO:1": ("one < two", False), "GO:2": ("two", False), "GO:3": ("three", True)}
+    assert terms["GO:1"]["definition"] == "a <b>bold</b> text" and terms["GO:1"]["synonyms"] == [("uno", "exact")]
+    assert [tuple(x) for x in terms["GO:2"]["relations"]] == [("is_a", "GO:1"), ("part_of", "GO:3")]
+    assert [tuple(x) for x in terms["GO:3"]["relations"]] == [("is_a", "GO:2")]
+    assert {r["name"] for r in ontology.owl_typedefs(elements).collect()} == {"part_of", "has_part"}
