@@ -29,3 +29,12 @@ def test_shared_views_are_worked_out_once(spark, tmp_path):
     shared = fixtures._defined(spark, str(tmp_path), root, "fx_model")
     assert plan(shared).count("hashpartitioning(l_orderkey") <= 1 and "l_linenumber#" not in "".join(
         x for x in plan(shared).splitlines() if "Exchange" in x)
+
+
+def test_cut_rows_are_read_by_column(spark):
+    df = spark.createDataFrame([(1, "a", ["x"]), (2, None, [])], "id long, name string, tags array<string>")
+    cut = cut_lineage(df)
+    assert cut.dtypes == df.dtypes
+    assert sorted(map(tuple, cut.collect())) == [(1, "a", ["x"]), (2, None, [])]
+    narrow = plan(cut.select("id"))
+    assert "parquet" in narrow and "ReadSchema: struct<id:bigint>" in narrow
