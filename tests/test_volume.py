@@ -38,3 +38,12 @@ def test_cut_rows_are_read_by_column(spark):
     assert sorted(map(tuple, cut.collect())) == [(1, "a", ["x"]), (2, None, [])]
     narrow = plan(cut.select("id"))
     assert "parquet" in narrow and "ReadSchema: struct<id:bigint>" in narrow
+
+
+def test_lines_are_not_exchanged_to_find_the_marker(spark, tmp_path):
+    (tmp_path / "a.gff").write_text("##gff-version 3\na\n##FASTA\n>s\nAC\n")
+    (tmp_path / "b.gff").write_text("b\nc\n")
+    before, after = gff.annotation_lines(read_lines(spark, str(tmp_path)))
+    assert sorted(r[0] for r in before.select("value").collect()) == ["##gff-version 3", "a", "b", "c"]
+    assert sorted(r[0] for r in after.select("value").collect()) == [">s", "AC"]
+    assert "SortMergeJoin" not in plan(before) and "BroadcastHashJoin" in plan(before)
