@@ -47,3 +47,19 @@ def test_lines_are_not_exchanged_to_find_the_marker(spark, tmp_path):
     assert sorted(r[0] for r in before.select("value").collect()) == ["##gff-version 3", "a", "b", "c"]
     assert sorted(r[0] for r in after.select("value").collect()) == [">s", "AC"]
     assert "SortMergeJoin" not in plan(before) and "BroadcastHashJoin" in plan(before)
+
+
+def test_association_records_are_exchanged_once(spark, small):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        records, _ = gaf_export.gaf_records(small, "Db")
+        # The last exchange takes whole records to their annotations; none takes them to publications or genes before that.
+        exchanges = [x for x in plan(records).splitlines() if "Exchange hashpartitioning(" in x]
+        last = min(exchanges, key=lambda x: x.index("Exchange"))
+        assert "hashpartitioning(feature_cvterm_id#" in last
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
