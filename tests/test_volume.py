@@ -44,9 +44,16 @@ def test_lines_are_not_exchanged_to_find_the_marker(spark, tmp_path):
     (tmp_path / "a.gff").write_text("##gff-version 3\na\n##FASTA\n>s\nAC\n")
     (tmp_path / "b.gff").write_text("b\nc\n")
     before, after = gff.annotation_lines(read_lines(spark, str(tmp_path)))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
     assert sorted(r[0] for r in before.select("value").collect()) == ["##gff-version 3", "a", "b", "c"]
     assert sorted(r[0] for r in after.select("value").collect()) == [">s", "AC"]
-    assert "SortMergeJoin" not in plan(before) and "BroadcastHashJoin" in plan(before)
+    try:
+        spark.conf.set(threshold, "-1")  # files too large to be broadcast by their size
+        before, _ = gff.annotation_lines(read_lines(spark, str(tmp_path)))
+        assert "SortMergeJoin" not in plan(before) and "BroadcastHashJoin" in plan(before)
+    finally:
+        spark.conf.set(threshold, held)
 
 
 def test_association_records_are_exchanged_once(spark, small):
