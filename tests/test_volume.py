@@ -2,10 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from helixframe.plans import gaf_export
+from helixframe.operators import deletion, merge, validate
+from helixframe.plans import gaf_export, gaf_import, gff_import
+from helixframe.schema import TABLES
 from helixframe.session import cut_lineage
-from helixframe.sources import gff
+from helixframe.sources import gaf, gff
 from helixframe.sources.text import read_lines
+from helixframe.tables import Tables
 from verification import fixtures
 
 
@@ -70,3 +73,15 @@ def test_association_records_are_exchanged_once(spark, small):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_features_after_an_import_are_read_not_merged_again(spark, small, tmp_path):
+    (tmp_path / "a.gff").write_text("##gff-version 3\nseq\t.\tgene\t1\t9\t.\t+\t.\tID=g1;Name=n;translation=mk;odd=1\n")
+    records = gff_import.of_organism(small, gff.read_gff(spark, str(tmp_path)), "ONE")
+    result = gff_import.import_gff(small, records)
+    held = result.features.select("feature_id", "organism_id", "uniquename")
+    assert "Join" not in plan(held) and "Exchange" not in plan(held)
+    assert sorted(map(tuple, held.collect())) == sorted(
+        (r["feature_id"], r["organism_id"], r["uniquename"]) for r in merge.applied(result.merges["feature"]).collect())
+    left = gff_import._without_merged(records).first()["attributes"]
+    assert [a["key"] for a in left] == ["odd"]
