@@ -85,3 +85,13 @@ def test_features_after_an_import_are_read_not_merged_again(spark, small, tmp_pa
         (r["feature_id"], r["organism_id"], r["uniquename"]) for r in merge.applied(result.merges["feature"]).collect())
     left = gff_import._without_merged(records).first()["attributes"]
     assert [a["key"] for a in left] == ["odd"]
+
+
+def test_deleted_keys_are_worked_out_once(spark):
+    feature = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "feature_id long, organism_id long")
+    prop = spark.createDataFrame([(10, 1), (11, 3)], "featureprop_id long, feature_id long")
+    frames = {n: spark.createDataFrame([], TABLES[n].struct) for n in TABLES}
+    t = Tables.of(spark, {**frames, "feature": feature, "featureprop": prop})
+    gone = deletion.doomed_rows(t, "feature", feature.where("organism_id = 1"))
+    assert [sorted(r[0] for r in gone[n].collect()) for n in ("feature", "featureprop")] == [[1, 2], [10]]
+    assert all("Join" not in plan(g) and "Exchange" not in plan(g) for g in gone.values())
