@@ -17,33 +17,43 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 def unique_violations(df: DataFrame, table: str) -> DataFrame:
     """Keys held by more than one row: table_name, constraint, key, n_rows. Keys with a null are free.
 
-    All keys of the table are taken in one scan and counted in one aggregation.
+    Each key is counted by its own columns as they are; only repeated keys become text.
     """
-    entries = []
+    parts = []
     for key in ((TABLES[table].key,),) + TABLES[table].unique:
         whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in key])
-        parts = F.array(*[F.col(c).cast("string") for c in key])
-        entries.append(F.when(whole, F.struct(F.lit(",".join(key)).alias("constraint"), parts.alias("parts"))))
-    keys = df.select(F.explode(F.array(*entries)).alias("k")).where("k IS NOT NULL").select("k.*")
-    counts = keys.groupBy("constraint", "parts").agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
-    return counts.select(F.lit(table).alias("table_name"), "constraint", F.concat_ws(",", "parts").alias("key"), "n_rows")
+        counts = df.where(whole).groupBy(*key).agg(F.count(F.lit(1)).alias("n_rows")).where("n_rows > 1")
+        shown = F.concat_ws(",", *[F.col(c).cast("string") for c in key]).alias("key")
+        parts.append(counts.select(F.lit(table).alias("table_name"), F.lit(",".join(key)).alias("constraint"), shown, "n_rows"))
+    return _union(parts)
 
 
 def reference_violations(t: Tables, df: DataFrame, table: str) -> DataFrame:
-    """References without a parent row: table_name, column_name, value, n_rows.
+    """References without a parent row: table_name, column_name, value, n_rows."""
+    return _dangling(t, {table: df}) if TABLES[table].references else _no_references(df)
 
-    All references of the table are taken in one scan and counted per value before the join, so a value that most rows
-    share is one row in the shuffle.
+
+def _dangling(t: Tables, frames: dict[str, DataFrame]) -> DataFrame:
+    """The same for all references of several tables.
+
+    The keys of a parent and all references to it are counted per value in one aggregation, so a value that most rows share is
+    one row per task in the shuffle, the keys of a parent are exchanged once, and nothing is joined.
     """
-    columns = TABLES[table].references
-    if not columns:
-        return _no_references(df)
-    entries = [F.struct(F.lit(c.name).alias("column_name"), F.lit(c.parent).alias("parent"), F.col(c.name).alias("value")) for c in columns]
-    used = df.select(F.explode(F.array(*entries)).alias("r")).select("r.*").where(F.col("value").isNotNull())
-    counts = used.groupBy("column_name", "parent", "value").agg(F.count(F.lit(1)).alias("n_rows"))
-    parents = _union([
-        t[p].select(F.lit(p).alias("parent"), F.col(TABLES[p].key).alias("value")) for p in sorted({c.parent for c in columns})])
-    return counts.join(parents, ["parent", "value"], "left_anti").select(F.lit(table).alias("table_name"), "column_name", "value", "n_rows")
+    references: dict[str, list[tuple[str, str]]] = {}
+    for name in frames:
+        for column in TABLES[name].references:
+            references.setdefault(column.parent, []).append((name, column.name))
+    parts = []
+    for parent, refs in sorted(references.items()):
+        rows = [t[parent].select(F.col(TABLES[parent].key).alias("value"), F.lit(0).alias("ref"))]
+        rows += [frames[n].select(F.col(c).alias("value"), F.lit(i).alias("ref")) for i, (n, c) in enumerate(refs, 1)]
+        counts = _union(rows).where("value IS NOT NULL").groupBy("value").agg(
+            *[F.count(F.when(F.col("ref") == i, 1)).alias(f"n{i}") for i in range(len(rows))])
+        found = [F.struct(F.lit(n).alias("table_name"), F.lit(c).alias("column_name"), F.col(f"n{i}").alias("n_rows"))
+                 for i, (n, c) in enumerate(refs, 1)]
+        lost = counts.where("n0 = 0").select("value", F.explode(F.array(*found)).alias("r")).where("r.n_rows > 0")
+        parts.append(lost.select("r.table_name", "r.column_name", "value", "r.n_rows"))
+    return _union(parts)
 
 
 def _no_references(df: DataFrame) -> DataFrame:
@@ -56,7 +66,7 @@ def all_violations(t: Tables, names: list[str] | None = None) -> dict[str, DataF
     names = names or list(TABLES)
     return {
         "unique": _union([unique_violations(t[n], n) for n in names]),
-        "references": _union([reference_violations(t, t[n], n) for n in names if TABLES[n].references]),
+        "references": _dangling(t, {n: t[n] for n in names if TABLES[n].references}),
         "required": _union([required_violations(t[n], n) for n in names]),
     }
 

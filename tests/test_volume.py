@@ -95,3 +95,22 @@ def test_deleted_keys_are_worked_out_once(spark):
     gone = deletion.doomed_rows(t, "feature", feature.where("organism_id = 1"))
     assert [sorted(r[0] for r in gone[n].collect()) for n in ("feature", "featureprop")] == [[1, 2], [10]]
     assert all("Join" not in plan(g) and "Exchange" not in plan(g) for g in gone.values())
+
+
+def test_checks_count_keys_as_they_are_and_join_nothing(spark):
+    terms = spark.createDataFrame(
+        [(1, 1, 1, "a,b", None, 0, 0), (2, 1, 2, "a,b", None, 0, 0), (2, 1, None, None, None, 0, 0)], TABLES["cvterm"].struct)
+    twice = validate.unique_violations(terms, "cvterm")
+    assert "explode" not in plan(twice).lower() and "array" not in plan(twice)
+    assert sorted(map(tuple, twice.collect())) == [("cvterm", "cvterm_id", "2", 2), ("cvterm", "name,cv_id,is_obsolete", "a,b,1,0", 2)]
+    frames = {n: spark.createDataFrame([], TABLES[n].struct) for n in TABLES}
+    cv = spark.createDataFrame([(1, "x", None), (None, "y", None)], TABLES["cv"].struct)
+    prop = spark.createDataFrame([(1, 1, 9, "v", 0), (2, 1, 9, "v", 1), (3, None, 1, "v", 0), (4, 7, 1, "v", 0)], TABLES["cvtermprop"].struct)
+    t = Tables.of(spark, {**frames, "cv": cv, "cvterm": terms, "cvtermprop": prop})
+    found = validate.all_violations(t, ["cvterm", "cvtermprop"])["references"]
+    assert "Join" not in plan(found)
+    assert sorted(map(tuple, found.collect())) == [
+        ("cvterm", "dbxref_id", 1, 1), ("cvterm", "dbxref_id", 2, 1), ("cvtermprop", "cvterm_id", 7, 1), ("cvtermprop", "type_id", 9, 2)]
+    assert sorted(map(tuple, validate.reference_violations(t, prop, "cvtermprop").collect())) == [
+        ("cvtermprop", "cvterm_id", 7, 1), ("cvtermprop", "type_id", 9, 2)]
+    assert validate.reference_violations(t, cv, "cv").count() == 0
