@@ -87,6 +87,17 @@ def test_features_after_an_import_are_read_not_merged_again(spark, small, tmp_pa
     assert [a["key"] for a in left] == ["odd"]
 
 
+def test_located_association_records_lose_what_nothing_reads(spark, small, tmp_path, monkeypatch):
+    cells = ["Db", "g1", "abc", "", "GO:1", "PMID:1", "IDA", "", "P", "", "", "gene", "taxon:1", "20200101", "Db"]
+    (tmp_path / "a.gaf").write_text("\t".join(cells) + "\n")
+    held = []
+    monkeypatch.setattr(gaf_import, "cut_lineage", lambda df: held.append(df.columns) or cut_lineage(df))
+    gaf_import.import_gaf(small, gff_import.of_organism(small, gaf.read_gaf(spark, str(tmp_path)), "ONE"), "protein")
+    located, linked = held[0], held[-1]
+    assert "GO_ID" in located and not {"DB", "With", "DB_Reference", "Aspect", "Taxon_ID"} & set(located)
+    assert "pubs" in linked and not {"DB_Object_Name", "DB_Object_Symbol", "Synonym", "GO_ID"} & set(linked)
+
+
 def test_deleted_keys_are_worked_out_once(spark):
     feature = spark.createDataFrame([(1, 1), (2, 1), (3, 2)], "feature_id long, organism_id long")
     prop = spark.createDataFrame([(10, 1), (11, 3)], "featureprop_id long, feature_id long")
