@@ -29,7 +29,6 @@ from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -42,6 +41,7 @@ PREFIXES = (3, 4, 5, 6, 7)
 LEVELS = (1, 2, 4)
 CUT = 0.3
 MEMO_ENTRIES, MEMO_LENGTH = 100_000, 64  # a memo lives as long as its task and keeps no longer words
+SLICE = 128  # rows of the fit whose features a task holds at a time
 OTHERS_PER_LETTER, STARS_PER_LETTER = 2, 3
 
 # Letters that a character may stand for.
@@ -225,6 +225,35 @@ def levelled(counts: Counter) -> Iterator[tuple[str, int]]:
                 yield feature, level
 
 
+def slices(batches: Iterator[pa.RecordBatch], n: int = SLICE) -> Iterator[pa.RecordBatch]:
+    """The rows in parts of ``n``, so that a task holds the Python objects of few rows at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, n):
+            yield batch.slice(at, n)
+
+
+def feature_batches(batches: Iterator[pa.RecordBatch], reader: Reader, wanted: frozenset | None) -> Iterator[pa.RecordBatch]:
+    """Levelled features of each text beside its label; only the wanted ones, if given."""
+    # A wanted feature is one string, however many rows have it.
+    names = None if wanted is None else {(f.rsplit("\t", 1)[0], int(f.rsplit("\t", 1)[1])): f for f in wanted}
+    bases = None if names is None else {f for f, _ in names}
+    memo: dict[str, tuple[str, ...]] = {}
+    for part in slices(batches):
+        out = []
+        for text in part.column("text").to_pylist():
+            tally: Counter = Counter()
+            for w in reader.words(text):
+                told = memo.get(w)
+                if told is None:
+                    told = tuple(f for f in word_features(w) if bases is None or f in bases)
+                    if bases is not None and len(memo) < MEMO_ENTRIES and len(w) <= MEMO_LENGTH:
+                        memo[w] = told
+                if told:
+                    tally.update(told)
+            out.append([f"{f}\t{n}" for f, n in levelled(tally)] if names is None else [names[x] for x in levelled(tally) if x in names])
+        yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(out, pa.list_(pa.string()))], ["toxic", "features"])
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learned from."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
@@ -329,26 +358,10 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     def extract(rows: DataFrame, wanted: frozenset | None = None) -> DataFrame:
         """Features of each row; only the wanted ones, if given."""
 
-        def features_of(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            reader = Reader(CharacterModel(shared.value))
-            bases = None if wanted is None else {f.rsplit("\t", 1)[0] for f in wanted}
-            memo: dict[str, tuple[str, ...]] = {}
-            for frame in frames:
-                out = []
-                for text, toxic in zip(frame["text"], frame["toxic"], strict=True):
-                    tally: Counter = Counter()
-                    for w in reader.words(text):
-                        told = memo.get(w)
-                        if told is None:
-                            told = tuple(f for f in word_features(w) if bases is None or f in bases)
-                            if bases is not None and len(memo) < MEMO_ENTRIES and len(w) <= MEMO_LENGTH:
-                                memo[w] = told
-                        if told:
-                            tally.update(told)
-                    out.append((toxic, [x for x in (f"{f}\t{n}" for f, n in levelled(tally)) if wanted is None or x in wanted]))
-                yield pd.DataFrame(out, columns=["toxic", "features"])
-
-        return rows.mapInPandas(features_of, "toxic int, features array<string>")
+        def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            return feature_batches(batches, Reader(CharacterModel(shared.value)), wanted)
+
+        return rows.select("toxic", "text").mapInArrow(features_of, "toxic int, features array<string>")
 
     # Toxic rows first: only what several of them have is then counted in the others. Both are bounded by fit_rows.
     toxic = extract(sample.where("toxic = 1")).select(F.explode("features").alias("feature"))
@@ -371,11 +384,12 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Scorer:
     features = [(f, int(n)) for f, n in (r["feature"].rsplit("\t", 1) for r in best)]
     index = {f"{f}\t{n}": i for i, (f, n) in enumerate(features)}
 
-    def project(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            yield pd.DataFrame({"toxic": frame["toxic"], "features": [sorted(index[f] for f in fs if f in index) for fs in frame["features"]]})
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches):
+            numbers = [sorted(index[f] for f in fs if f in index) for fs in part.column("features").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(numbers, pa.list_(pa.int32()))], ["toxic", "features"])
 
-    got = rows.mapInPandas(project, "toxic int, features array<int>").collect()  # at most fit_rows rows of feature numbers
+    got = rows.select("toxic", "features").mapInArrow(project, "toxic int, features array<int>").collect()  # at most fit_rows rows of feature numbers
     got.sort(key=lambda r: (r["toxic"], r["features"]))  # sums in one order, whatever the partitions
     held = [np.array(r["features"], dtype=np.int64) for r in got]
     weights, bias = fit_weights(held, np.array([r["toxic"] for r in got], dtype=float), len(features))

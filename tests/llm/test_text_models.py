@@ -3,6 +3,7 @@ import time
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from helixframe.llm import pii, toxicity
@@ -214,3 +215,17 @@ def test_key_of_the_session(spark):
 
 def test_pseudonymise_empty_table(docs_of):
     assert pii.pseudonymise(docs_of([])).count() == 0
+
+
+def test_features_of_the_fit_leave_in_small_parts():
+    reader = toxicity.Reader(toxicity.CharacterModel(toxicity.count_trigrams(Counter({"idiot": 9, "good": 9}))))
+    n = 2 * toxicity.SLICE + 3
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1] * n, pa.int32()), pa.array(["idiot good", None, ""] * (n // 3 + 1)).slice(0, n)], ["toxic", "text"])
+    parts = list(toxicity.feature_batches(iter([batch]), reader, None))
+    assert [p.num_rows for p in parts] == [toxicity.SLICE, toxicity.SLICE, 3]
+    first = parts[0].column("features").to_pylist()
+    assert {"=idiot\t1", "idi\t1", "=good\t1", "goo\t1"} <= set(first[0]) and first[1] == first[2] == []
+    wanted = frozenset(["idi\t1", "idi\t2", "=good\t1"])
+    kept = next(toxicity.feature_batches(iter([batch]), reader, wanted))
+    assert sorted(kept.column("features").to_pylist()[0]) == ["=good\t1", "idi\t1"]
