@@ -2,8 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from helixframe.operators import deletion, merge, validate
-from helixframe.plans import gaf_export, gaf_import, gff_import
+from helixframe.operators import deletion, lookups, merge, validate
+from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import
 from helixframe.schema import TABLES
 from helixframe.session import cut_lineage
 from helixframe.sources import gaf, gff
@@ -125,3 +125,42 @@ def test_checks_count_keys_as_they_are_and_join_nothing(spark):
     assert sorted(map(tuple, validate.reference_violations(t, prop, "cvtermprop").collect())) == [
         ("cvtermprop", "cvterm_id", 7, 1), ("cvtermprop", "type_id", 9, 2)]
     assert validate.reference_violations(t, cv, "cv").count() == 0
+
+
+def test_flagged_features_are_found_without_an_exchange(spark, small, tmp_path):
+    spark.range(3000).selectExpr(
+        "id AS featureprop_id", "id AS feature_id", "-id AS type_id", "uuid() AS value", "0 AS rank").write.parquet(f"{tmp_path}/featureprop")
+    spark.range(3000).selectExpr("id AS feature_id", "uuid() AS residues").write.parquet(f"{tmp_path}/feature")
+    flag = spark.createDataFrame([(-1, 7, small.term_id("top_level_seq"), "true", 0)], "featureprop_id long, feature_id long, type_id long, value string, rank int")
+    t = Tables.of(spark, {
+        "cvterm": small["cvterm"], "cv": small["cv"], "feature": spark.read.parquet(f"{tmp_path}/feature"),
+        "featureprop": spark.read.parquet(f"{tmp_path}/featureprop").unionByName(flag)})
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "4000")
+        found = lookups.features_with_property(t, "top_level_seq")
+        assert "BroadcastHashJoin" in plan(found) and "hashpartitioning" not in plan(found)
+        assert [r["feature_id"] for r in found.collect()] == [7]
+    finally:
+        spark.conf.set(threshold, held)
+
+
+def test_locations_are_exchanged_once_for_genes(spark, small):
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        loc = spark.createDataFrame([(1, 5, 9, 0, False, 2, False, 1, None, None, 0, 0)], TABLES["featureloc"].struct)
+        genes, source = spark.createDataFrame([(5,)], "feature_id long"), spark.createDataFrame([(9, "ACGT")], "feature_id long, residues string")
+        cut = fasta_export.gene_sequences(small.with_tables({"featureloc": loc}), genes, source)
+        lines = plan(cut).splitlines()
+        # No aggregate lies between the locations and their exchange by feature.
+        first = next(i for i, x in enumerate(lines) if "fmin#" in x and "LocalTableScan" in x or "Scan ExistingRDD" in x and "fmin#" in x)
+        exchange = max(i for i, x in enumerate(lines[:first]) if "Exchange hashpartitioning(feature_id#" in x)
+        assert not any("Aggregate" in x for x in lines[exchange:first])
+        assert [tuple(r) for r in cut.collect()] == [(5, "AC")]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
