@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.functions import expr
 from helixframe.operators import changelog, deletion, hierarchy, merge, validate
 from helixframe.schema import TABLES, audit_struct
+from helixframe.session import cut_lineage
 from helixframe.sinks.delimited import delimited_lines, json_lines
 from helixframe.tables import Tables, write_snapshot
 
@@ -226,3 +227,13 @@ def test_repeated_organism_counts_once(spark, small):
     assert [r["comment"] for r in result["organism"].where("abbreviation = 'NEW'").collect()] == ["new"]
     new = result["organism"].where("abbreviation = 'NEW'").first()["organism_id"]
     assert [r["value"] for r in result["organismprop"].where(f"organism_id = {new}").collect()] == ["v1"]
+
+
+def test_tree_works_out_edges_once_and_leaves_are_not_joined_again(spark, monkeypatch):
+    t = family(spark, [("b", "a", "part_of"), ("c", "b", "part_of")])
+    held = []
+    monkeypatch.setattr(hierarchy, "cut_lineage", lambda df: held.append(df) or cut_lineage(df))
+    assert {r["parent"] for r in hierarchy.tree(t).collect()} == {None, "a", "b"}
+    levels = [df for df in held if "depth" in df.columns]
+    assert len(levels) == 3  # the sequence and a, b, c; nothing is sought below c
+    assert not any("Aggregate" in df._jdf.queryExecution().executedPlan().toString() for df in levels[1:])
