@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from helixframe.operators import deletion, lookups, merge, validate
+from helixframe.operators import deletion, hierarchy, lookups, merge, validate
 from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import
 from helixframe.schema import TABLES
-from helixframe.session import cut_lineage
+from helixframe.session import cut_lineage, partitions_for
 from helixframe.sources import gaf, gff
 from helixframe.sources.text import read_lines
 from helixframe.tables import Tables
@@ -164,3 +164,15 @@ def test_locations_are_exchanged_once_for_genes(spark, small):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def test_tasks_of_shared_views_follow_their_rows():
+    assert [partitions_for(n) for n in (0, 1, 100_001, 36_000_000, 600_000_000)] == [1, 1, 2, 200, 400]
+
+
+def test_parent_is_taken_from_the_path(spark):
+    step = "struct<place:int,start:bigint,name:string,id:bigint>"
+    s, g, x, p = (0, 0, "S", 1), (1, 5, "g", 2), (0, 0, "x", 3), (1, 0, "p", 4)
+    paths = spark.createDataFrame([([s],), ([g],), ([g, x],), ([g, x, p],)], f"path array<{step}>")
+    got = paths.select(*hierarchy.parent_of(F.col("path"))).collect()
+    assert [tuple(r) for r in got] == [(None, None), (None, None), ("g", "part_of"), ("x", "derives_from")]
