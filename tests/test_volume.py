@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from helixframe.operators import deletion, hierarchy, lookups, merge, validate
-from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import
+from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import, reports
 from helixframe.schema import TABLES
 from helixframe.session import cut_lineage, partitions_for
 from helixframe.sources import gaf, gff
@@ -176,3 +176,62 @@ def test_parent_is_taken_from_the_path(spark):
     paths = spark.createDataFrame([([s],), ([g],), ([g, x],), ([g, x, p],)], f"path array<{step}>")
     got = paths.select(*hierarchy.parent_of(F.col("path"))).collect()
     assert [tuple(r) for r in got] == [(None, None), (None, None), ("g", "part_of"), ("x", "derives_from")]
+
+
+def _reported(spark, small, tmp_path):
+    """Two products of two transcripts of one gene, in tables large enough that none is broadcast at 4 kB."""
+    product, derives, part, flag = 5001, small.term_id("derives_from"), small.term_id("part_of"), small.term_id("genedb_public")
+    one, two = small.name_id("organism", "ONE"), small.name_id("organism", "TWO")
+    cv = small.name_id("cv", "genedb_products")
+    feature = spark.createDataFrame(
+        [(1, one, "g", False), (2, one, "t1", False), (3, one, "t2", True), (4, one, "p1", False), (5, one, "p2", False),
+         (6, two, "h", False), (7, two, "u", False), (8, two, "q", False)],
+        "feature_id long, organism_id long, uniquename string, is_obsolete boolean")
+    more = spark.range(100, 3100).selectExpr("id AS feature_id", f"{one}L AS organism_id", "uuid() AS uniquename", "false AS is_obsolete")
+    feature = feature.unionByName(more).selectExpr("*", f"{product}L AS type_id", "uniquename AS name")
+    edge = spark.createDataFrame(
+        [(2, 1, part), (3, 1, part), (4, 2, derives), (5, 3, derives), (7, 6, part), (8, 7, derives)], "subject_id long, object_id long, type_id long")
+    more = spark.range(10000, 13000).selectExpr("id AS subject_id", "xxhash64(id) AS object_id", f"{part}L AS type_id")
+    edge = edge.union(more).union(more.selectExpr("-subject_id", "object_id", f"{derives}L"))
+    said = spark.createDataFrame([(4, product, 0), (4, product, 1), (5, product, 0), (8, product, 0)], "feature_id long, cvterm_id long, rank int")
+    more = spark.range(10000, 13000).selectExpr("id AS feature_id", "xxhash64(id) AS cvterm_id", "0 AS rank")
+    frames = {"feature": feature, "feature_relationship": edge, "feature_cvterm": said.unionByName(more)}
+    for name, df in frames.items():
+        df.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        frames[name] = spark.read.parquet(f"{tmp_path}/{name}")
+    term = spark.createDataFrame([(product, cv, product, "kinase", None, 0, 0)], small["cvterm"].schema)
+    flags = spark.createDataFrame([(901, one, flag, "true", 0), (902, one, flag, "yes", 0)], TABLES["organismprop"].struct)
+    given = {n: small[n] for n in ("cv", "organism")} | {"cvterm": small["cvterm"].unionByName(term), "organismprop": flags}
+    return Tables.of(spark, given | frames)
+
+
+def test_public_organisms_are_found_without_an_exchange_of_features(spark, small, tmp_path):
+    t = _reported(spark, small, tmp_path)
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    held = spark.conf.get(threshold)
+    try:
+        spark.conf.set(threshold, "4000")
+        found = reports.gene_products(t, public=True)
+        assert "hashpartitioning(organism_id" not in plan(found)
+        # An organism flagged twice doubles its rows.
+        assert [tuple(r) for r in found.collect()] == [("ONE", "t1", "g", "g", "kinase", 0)] * 2 + [("ONE", "t1", "g", "g", "kinase", 1)] * 2
+    finally:
+        spark.conf.set(threshold, held)
+
+
+def test_products_are_not_exchanged_to_find_transcripts_and_genes(spark, small, tmp_path):
+    t = _reported(spark, small, tmp_path)
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = reports.gene_products(t)
+        exchanges = [x for x in plan(found).splitlines() if "Exchange hashpartitioning(" in x]
+        # Paths, products and transcripts meet by transcript; a product's name meets them by product only.
+        assert [sum(f"({key}#" in x for x in exchanges) for key in ("transcript_id", "gene_id", "product_id")] == [3, 2, 2]
+        assert [tuple(r) for r in found.collect()] == [
+            ("ONE", "t1", "g", "g", "kinase", 0), ("ONE", "t1", "g", "g", "kinase", 1), ("TWO", "u", "h", "h", "kinase", 0)]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
