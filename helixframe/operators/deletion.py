@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from helixframe.schema import TABLES
 from helixframe.session import cut_lineage
@@ -17,17 +17,21 @@ def delete_missing(existing: DataFrame, present: DataFrame, key: list[str], scop
     return inside.join(present.select(*key), key, "left_anti")
 
 
-def mark_obsolete(features: DataFrame, loaded: DataFrame, organisms: DataFrame) -> DataFrame:
+def mark_obsolete(
+    features: DataFrame, loaded: DataFrame | None, organisms: DataFrame, present: Column | None = None
+) -> DataFrame:
     """Mark features of the organisms that are not loaded as obsolete; adds ``_action``, or changes it where it is.
 
     ``loaded`` has organism_id and uniquename of everything in the file,
-    including the names of its sequences.
+    including the names of its sequences, or of what ``present`` does not tell.
     """
     scope = organisms.select("organism_id").distinct().withColumn("_scope", F.lit(True))
-    names = loaded.select("organism_id", "uniquename").distinct().withColumn("_loaded", F.lit(True))
-    gone = F.col("_scope") & F.col("_loaded").isNull() & ~F.col("is_obsolete")
-    gone = F.coalesce(gone, F.lit(False))
-    joined = features.join(names, ["organism_id", "uniquename"], "left").join(scope, "organism_id", "left")
+    missing, joined = F.lit(True) if present is None else ~present, features
+    if loaded is not None:
+        names = loaded.select("organism_id", "uniquename").distinct().withColumn("_loaded", F.lit(True))
+        missing, joined = missing & F.col("_loaded").isNull(), features.join(names, ["organism_id", "uniquename"], "left")
+    gone = F.coalesce(F.col("_scope") & missing & ~F.col("is_obsolete"), F.lit(False))
+    joined = joined.join(scope, "organism_id", "left")
     values = [F.when(gone, True).otherwise(F.col(c)).alias(c) if c == "is_obsolete" else F.col(c) for c in features.columns]
     before = F.col("_action") if "_action" in features.columns else F.lit("keep")
     values = [v for v, c in zip(values, features.columns, strict=True) if c != "_action"]

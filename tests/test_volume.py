@@ -235,3 +235,65 @@ def test_products_are_not_exchanged_to_find_transcripts_and_genes(spark, small,
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
+
+
+def _imported(spark, small, tmp_path, lines, t=None):
+    (tmp_path / "in.gff").write_text("##gff-version 3\n##sequence-region seq 1 99\n" + "".join(f"seq\t.\t{x}\n" for x in lines))
+    text = read_lines(spark, f"{tmp_path}/in.gff")
+    of = lambda rows: gff_import.of_organism(small, rows, "ONE")
+    return gff_import.import_gff(
+        t or small, of(gff.read_gff(spark, f"{tmp_path}/in.gff")), full_genome=True, full_attributes=True,
+        sequence_names=of(gff.sequence_names(text)))
+
+
+LINES = [
+    "gene\t1\t9\t.\t+\t.\tID=g1;Name=n%2C+m;synonym=s;literature=PMID:1;Dbxref=DB:a", "mRNA\t1\t9\t.\t+\t.\tID=g1.1;Parent=g1;protein_source_id=P1",
+    "polypeptide\t1\t9\t.\t+\t.\tID=x;translation=mk;Derives_from=g1.1;comment=c", "strange\t1\t9\t.\t+\t.\tID=y",
+    "mRNA\t2\t8\t.\t-\t.\tID=e;Parent=none;protein_source_id=P2", "CDS\t1\t9\t.\t+\t0\tParent=g1;protein_source_id=P3",
+]
+
+
+def _shown(result):
+    skip = {"timeaccessioned", "timelastmodified"}
+    return {n: sorted(map(repr, m.select(sorted(set(m.columns) - skip)).collect())) for n, m in result.merges.items()} | {
+        "rejects": sorted(map(repr, result.rejects.collect())), "names": sorted(map(repr, result.features.collect()))}
+
+
+def test_merges_of_an_import_are_worked_out_when_read(spark, small, tmp_path, monkeypatch):
+    keys, targets = [], merge.targets
+    monkeypatch.setattr(merge, "targets", lambda *a: keys.append(a[3]) or targets(*a))
+    result = _imported(spark, small, tmp_path, LINES)
+    # Features meet the table once, by name; every other table is resolved when somebody reads it.
+    assert keys == [] and "featureloc" in result.merges
+    loc = result.merges["featureloc"]
+    assert keys == ["featureloc_id"] and result.merges["featureloc"] is loc
+    assert {"feature", "db", "dbxref", "pub", "synonym", "feature_relationship"} <= set(result.merges)
+
+
+def test_records_that_meet_the_table_once_give_the_same_import(spark, small, tmp_path, monkeypatch):
+    first = _imported(spark, small, tmp_path, LINES)
+    t = small.with_tables({n: cut_lineage(df) for n, df in first.tables().items()})
+    lines = [x for x in LINES if "ID=e" not in x] + ["gene\t3\t7\t.\t+\t.\tID=g2;protein_source_id=P4"]
+    again = _shown(_imported(spark, small, tmp_path, lines, t))
+    monkeypatch.setattr(gff_import, "_located", lambda *a: None)
+    assert again == _shown(_imported(spark, small, tmp_path, lines, t))
+    assert [x for x in again["feature"] if "'e'" in x and "_action='update'" in x and "is_obsolete=True" in x]
+
+
+def test_a_name_that_two_features_share_is_merged_as_before(spark, small, tmp_path, monkeypatch):
+    first = _imported(spark, small, tmp_path, LINES).tables()
+    twice = first["feature"].where("uniquename = 'g1'").withColumn("feature_id", F.col("feature_id") + 1)
+    t = small.with_tables({n: cut_lineage(df) for n, df in (first | {"feature": first["feature"].unionByName(twice)}).items()})
+    found = _shown(_imported(spark, small, tmp_path, LINES, t))
+    monkeypatch.setattr(gff_import, "_located", lambda *a: None)
+    assert found == _shown(_imported(spark, small, tmp_path, LINES, t))
+
+
+def test_lines_are_parsed_once_for_records_and_rejected_types(spark, small, tmp_path):
+    result = _imported(spark, small, tmp_path, LINES)
+    unknown = result.rejects.where("reason = 'unknown feature type'")
+    assert "FileScan text" not in plan(unknown) and [r["item"] for r in unknown.collect()] == ["strange"]
+
+
+def test_text_without_a_percent_sign_is_not_decoded():
+    assert "contains(" in gff._attribute_expr()
