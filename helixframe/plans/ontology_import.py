@@ -34,7 +34,7 @@ def sync_xrefs(existing: DataFrame, refs: DataFrame) -> tuple[DataFrame, DataFra
     hits = refs.join(have, ["db_id", "accession"], "left").groupBy("db_id", "accession", "version").agg(
         F.coalesce(F.min(exact), F.min("dbxref_id")).alias("_target")
     )
-    resolved = merge.with_ids(hits, XREF_RULE)
+    resolved = cut_lineage(merge.with_ids(hits, XREF_RULE))
     once = resolved.where(F.col("_target").isNotNull()).groupBy("_target").agg(F.max("version").alias("version"))
     kept = merge.update_rows(existing, once, ["version"], "dbxref_id")
     added = merge.insert_rows(resolved, XREF_RULE)
@@ -84,7 +84,6 @@ def _vocabulary(t: Tables, records: DataFrame, typedefs: DataFrame, namespace: s
     refs = parts.select(F.lit(db_id).alias("db_id"), "accession", "version").unionByName(fresh).distinct()
     merged, resolved = sync_xrefs(t["dbxref"], refs)
     result.merges["dbxref"] = merged
-    resolved = cut_lineage(resolved)
     named = parts.join(resolved.select("accession", "version", "dbxref_id"), ["accession", "version"]).join(
         cvs.select(F.col("name").alias("_space"), "cv_id"), F.coalesce("namespace", F.lit(namespace)) == F.col("_space")
     ).drop("_space")
@@ -126,21 +125,23 @@ def _terms(t: Tables, named: DataFrame, types: DataFrame, db_id: int, result: Im
         F.when((F.col("_obs") > 0) & (F.col("_cv") == F.col("cv_id")) & (F.col("_name") == _obsolete_name(F.col("name"))),
                F.col("_obs")).alias("held"),
     )
-    leaving = dropped.select("dbxref_id").union(in_file).distinct()
+    # Each step is written before the next reads it several times, so that no plan holds them all.
+    leavers = cut_lineage(dropped.unionByName(flagged))
+    leaving = leavers.select("dbxref_id").union(in_file).distinct()
     fixed = existing.join(leaving, "dbxref_id", "left_anti").select("cv_id", "name", "is_obsolete")
-    retired = number_obsolete(dropped.unionByName(flagged), fixed)
+    retired = number_obsolete(leavers, fixed)
     batch = active.select("dbxref_id", "cv_id", "name", "definition", F.lit(0).alias("is_obsolete")).unionByName(
         retired.select("dbxref_id", "cv_id", "name", "definition", "is_obsolete")
     ).withColumn("is_relationshiptype", F.lit(0)).unionByName(
         types.select("dbxref_id", "cv_id", "name", F.lit(None).cast("string").alias("definition"),
                      F.lit(0).alias("is_obsolete"), "is_relationshiptype")
     )
-    resolved = cut_lineage(merge.resolve(existing, batch, TERM_RULE))
+    resolved = cut_lineage(merge.resolve(existing, cut_lineage(batch), TERM_RULE))
     merged = merge.merge_resolved(existing, resolved, TERM_RULE)
     # A definition in the file replaces the stored one even when it is empty.
-    given = resolved.join(in_file, "dbxref_id", "left_semi").select(
+    given = cut_lineage(resolved.join(in_file, "dbxref_id", "left_semi").select(
         "cvterm_id", F.struct("definition").alias("_given")
-    )
+    ))
     joined = merged.join(given, "cvterm_id", "left").join(gone.withColumn("_gone", F.lit(True)), "cvterm_id", "left")
     replaced = F.when(F.col("_given").isNotNull(), F.col("_given.definition")).otherwise(F.col("definition"))
     changed = ~replaced.eqNullSafe(F.col("definition")) & (F.col("_action") == "keep")
@@ -167,12 +168,14 @@ def _comments(t: Tables, found: DataFrame, result: ImportResult) -> None:
     best = given.join(own, "cvterm_id", "left").groupBy("cvterm_id", "type_id", "value").agg(
         F.coalesce(F.min(same), F.min("cvtermprop_id")).alias("_target")
     )
-    resolved = merge.with_ids(best, rule)
-    merged = merge.merge_resolved(t["cvtermprop"], resolved, rule)
-    scope = found.select("cvterm_id", F.lit(True).alias("_scope"))
-    joined = merged.join(scope, "cvterm_id", "left")
-    scoped = F.coalesce("_scope", F.lit(False)) & (F.col("type_id") == type_id)
-    result.merges["cvtermprop"] = merge.delete_unmatched(joined, scoped).drop("_scope")
+
+    def merged() -> DataFrame:
+        rows = merge.merge_resolved(t["cvtermprop"], cut_lineage(merge.with_ids(best, rule)), rule)
+        scope = found.select("cvterm_id", F.lit(True).alias("_scope"))
+        scoped = F.coalesce("_scope", F.lit(False)) & (F.col("type_id") == type_id)
+        return merge.delete_unmatched(rows.join(scope, "cvterm_id", "left"), scoped).drop("_scope")
+
+    result.merges.later("cvtermprop", merged)
 
 
 def _synonyms(t: Tables, found: DataFrame, result: ImportResult) -> None:
@@ -186,8 +189,9 @@ def _synonyms(t: Tables, found: DataFrame, result: ImportResult) -> None:
     batch = typed.where(F.col("type_id").isNotNull()).groupBy("cvterm_id", F.col("text").alias("synonym")).agg(
         F.max_by("type_id", "place").alias("type_id")
     )
-    merged = merge.merge(t["cvtermsynonym"], batch, merge.Rule("cvtermsynonym", ("cvterm_id", "synonym"), ("type_id",)))
-    result.merges["cvtermsynonym"] = _scoped(merged, found, "cvterm_id")
+    rule = merge.Rule("cvtermsynonym", ("cvterm_id", "synonym"), ("type_id",))
+    result.merges.later(
+        "cvtermsynonym", lambda: _scoped(merge.merge(t["cvtermsynonym"], batch, rule, cut_lineage), found, "cvterm_id"))
 
 
 def _cross_references(t: Tables, found: DataFrame, result: ImportResult) -> None:
@@ -198,28 +202,27 @@ def _cross_references(t: Tables, found: DataFrame, result: ImportResult) -> None
     refs = split.where(F.col("x").isNotNull()).select("cvterm_id", "x.*")
     dbs = merge.applied(result.merges["db"])
     names = refs.select(F.col("db").alias("name")).distinct()
-    db_found = merge.resolve(dbs, names, "db")
+    db_found = cut_lineage(merge.resolve(dbs, names, "db"))
     before = result.merges["db"].where(F.col("_action") == "insert").select("db_id", F.lit("insert").alias("_b"))
     result.merges["db"] = merge.merge_resolved(dbs, db_found, "db").join(before, "db_id", "left").withColumn(
         "_action", F.coalesce("_b", "_action")).drop("_b")
     keyed = refs.join(db_found.select("db_id", F.col("name").alias("db")), "db")
     earlier = result.merges["dbxref"]
     merged, resolved = sync_xrefs(merge.applied(earlier), keyed.select("db_id", "accession", "version").distinct())
-    acted = earlier.where(F.col("_action") != "keep").select("dbxref_id", F.col("_action").alias("_b"))
+    acted = cut_lineage(earlier.where(F.col("_action") != "keep").select("dbxref_id", F.col("_action").alias("_b")))
     result.merges["dbxref"] = merged.join(acted, "dbxref_id", "left").withColumn(
         "_action", F.when(F.col("_b").isNotNull(), F.col("_b")).otherwise(F.col("_action"))).drop("_b")
     links = keyed.join(resolved, ["db_id", "accession", "version"]).select("cvterm_id", "dbxref_id").distinct()
-    merged = merge.merge(
-        t["cvterm_dbxref"], links.withColumn("is_for_definition", F.lit(0)),
-        merge.Rule("cvterm_dbxref", ("cvterm_id", "dbxref_id")),
-    )
-    result.merges["cvterm_dbxref"] = _scoped(merged, found, "cvterm_id")
+    batch = links.withColumn("is_for_definition", F.lit(0))
+    rule = merge.Rule("cvterm_dbxref", ("cvterm_id", "dbxref_id"))
+    result.merges.later(
+        "cvterm_dbxref", lambda: _scoped(merge.merge(t["cvterm_dbxref"], batch, rule, cut_lineage), found, "cvterm_id"))
 
 
 def _relationships(t: Tables, found: DataFrame, authority: str, result: ImportResult) -> None:
-    types = merge.applied(result.merges["cvterm"]).where(F.col("is_relationshiptype") == 1).groupBy(
+    types = cut_lineage(merge.applied(result.merges["cvterm"]).where(F.col("is_relationshiptype") == 1).groupBy(
         F.col("name").alias("type")
-    ).agg(F.max("cvterm_id").alias("type_id"))
+    ).agg(F.max("cvterm_id").alias("type_id")))
     rows = found.select("id", F.col("cvterm_id").alias("subject_id"), F.explode("relations").alias("r")).select(
         "id", "subject_id", "r.type", "r.object")
     typed = rows.join(types, "type", "left")
@@ -232,8 +235,8 @@ def _relationships(t: Tables, found: DataFrame, authority: str, result: ImportRe
         "id", F.col("object").alias("item"), F.lit("related term not in the file").alias("reason")))
     batch = joined.where(F.col("object_id").isNotNull()).select("subject_id", "type_id", "object_id").distinct()
     rule = merge.Rule("cvterm_relationship", ("subject_id", "type_id", "object_id"))
-    merged = merge.merge(t["cvterm_relationship"], batch, rule)
-    result.merges["cvterm_relationship"] = _scoped(merged, found, "subject_id")
+    result.merges.later(
+        "cvterm_relationship", lambda: _scoped(merge.merge(t["cvterm_relationship"], batch, rule, cut_lineage), found, "subject_id"))
 
 
 def import_ontology(t: Tables, records: DataFrame, typedefs: DataFrame, namespace: str, authority: str) -> ImportResult:

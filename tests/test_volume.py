@@ -3,10 +3,10 @@
 from pyspark.sql import functions as F
 
 from helixframe.operators import deletion, hierarchy, lookups, merge, validate
-from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import, reports
+from helixframe.plans import fasta_export, gaf_export, gaf_import, gff_import, ontology_import, reports
 from helixframe.schema import TABLES
 from helixframe.session import cut_lineage, partitions_for
-from helixframe.sources import gaf, gff
+from helixframe.sources import gaf, gff, ontology
 from helixframe.sources.text import read_lines
 from helixframe.tables import Tables
 from verification import fixtures
@@ -297,3 +297,14 @@ def test_lines_are_parsed_once_for_records_and_rejected_types(spark, small, tmp_
 
 def test_text_without_a_percent_sign_is_not_decoded():
     assert "contains(" in gff._attribute_expr()
+
+
+def test_ontology_tables_are_read_with_few_joins(spark, small, tmp_path):
+    (tmp_path / "o.obo").write_text(
+        "default-namespace: animals\n\n[Term]\nid: T:1\nname: beast\nxref: DB:7\n\n[Term]\nid: T:2:5\nname: dog\nis_a: T:1\nsynonym: \"hound\" EXACT []\ncomment: good\n")
+    terms, typedefs, space = ontology.read_obo(spark, f"{tmp_path}/o.obo")
+    merges = ontology_import.import_ontology(small, terms, typedefs, space, "T").merges
+    # What an import has worked out is written, not repeated below every table that builds on it.
+    assert max(plan(m).count("Join") for m in merges.values()) <= 8
+    assert [r["_action"] for r in merges["cvterm_relationship"].collect() if r["_action"] != "keep"] == ["insert"]
+    assert [r["accession"] for r in merges["dbxref"].where("_action = 'insert'").orderBy("accession").collect()] == ["1", "2", "7"]
