@@ -308,3 +308,18 @@ def test_ontology_tables_are_read_with_few_joins(spark, small, tmp_path):
     assert max(plan(m).count("Join") for m in merges.values()) <= 8
     assert [r["_action"] for r in merges["cvterm_relationship"].collect() if r["_action"] != "keep"] == ["insert"]
     assert [r["accession"] for r in merges["dbxref"].where("_action = 'insert'").orderBy("accession").collect()] == ["1", "2", "7"]
+
+
+def test_rejected_associations_are_read_not_located_again(spark, small, tmp_path):
+    cells = ["Db", "g1", "abc", "", "GO:1", "PMID:1", "IDA", "", "P", "", "", "gene", "taxon:1", "20200101", "Db"]
+    (tmp_path / "a.gaf").write_text("\t".join(cells) + "\n")
+    result = gaf_import.import_gaf(small, gff_import.of_organism(small, gaf.read_gaf(spark, str(tmp_path)), "ONE"), "protein")
+    assert "FileScan text" not in plan(result.rejects) and plan(result.rejects).count("Join") <= 2
+    assert [(r["item"], r["reason"]) for r in result.rejects.collect()] == [("g1", "unknown feature")]
+    assert {"feature_cvtermprop", "feature_cvterm_dbxref", "feature_cvterm_pub", "synonym"} <= set(result.merges)
+
+
+def test_annotations_are_worked_out_once_for_targets_and_records(spark, small):
+    records, _ = gaf_export.gaf_records(small, "Db", level="protein")
+    assert "feature_relationship" not in plan(records) and plan(records).count("Join") <= 8
+    assert records.collect() == []
